@@ -1128,8 +1128,8 @@ def _land(spark, sf_dir, path: str) -> None:
     landed = {
         "listing": star.listing(spark, sf_dir),
         "details": star.details(spark, sf_dir),
-        "airports": airports,
-        "airlines": airlines.withColumn("icao", F.col("icao").cast("string")),
+        "raw_airports": airports,
+        "raw_airlines": airlines.withColumn("icao", F.col("icao").cast("string")),
         "countries": star.countries(spark, sf_dir),
     }
     for name, df in landed.items():

@@ -48,39 +48,46 @@ class Run:
             self.failed.append(step)
             self.log.append(quality.failure(self.spark, step, error))
 
-    def together(self, *jobs: Callable[[], None]) -> None:
+    def together(self, *jobs: Callable) -> list:
         """Run independent writes side by side, so that small ones do not wait for each other.
 
         All of them get their turn; the first failure is then raised.
         """
         with ThreadPoolExecutor(max_workers=4) as pool:
             done = [pool.submit(inheritable_thread_target(self.spark)(job)) for job in jobs]
-        for one in done:
-            one.result()
+        return [one.result() for one in done]
+
+
+def _staged(run: Run, landing: str, name: str, schema) -> tuple[DataFrame, DataFrame]:
+    """Parse a landed table once, into Parquet; give its sound records and its rejects from there."""
+    parsed = files.read_json_lines(run.spark, f"{landing}/{name}", schema)
+    run.save(parsed, zones.BRONZE, name)
+    written = run.spark.read.schema(parsed.schema).parquet(run.path(zones.BRONZE, name))
+    return files.split_corrupt(written, name)
 
 
 def extract(run: Run, landing: str, cap: int | None = None) -> None:
     """Landed JSON Lines to bronze. Flights are shaped once and written split by outcome."""
-    read = lambda name, schema: files.split_corrupt(
-        files.read_json_lines(run.spark, f"{landing}/{name}", schema), name
-    )
-    listing, bad_listing = read("listing", schemas.LISTING)
-    details, bad_details = read("details", schemas.DETAILS)
-    raw_airports, bad_airports = read("airports", schemas.RAW_AIRPORTS)
-    raw_airlines, bad_airlines = read("airlines", schemas.RAW_AIRLINES)
-    countries, bad_countries = read("countries", schemas.COUNTRIES)
+    tables = {
+        "listing": schemas.LISTING,
+        "details": schemas.DETAILS,
+        "raw_airports": schemas.RAW_AIRPORTS,
+        "raw_airlines": schemas.RAW_AIRLINES,
+        "countries": schemas.COUNTRIES,
+    }
+    staged = run.together(*[partial(_staged, run, landing, *table) for table in tables.items()])
+    (listing, details, raw_airports, raw_airlines, countries), broken = zip(*staged)
     countries = one_per_key(countries, "country")
 
     flights = bronze.shape_flights(listing, details, cap).write.mode("overwrite").partitionBy("outcome")
     airports = bronze.with_continent(raw_airports, countries)
     airlines = bronze.airline_records(raw_airlines)
-    broken = [bad_listing, bad_details, bad_airports, bad_airlines, bad_countries,
-              bronze.airport_rejects(raw_airports, countries)]
+    rejects = reduce(DataFrame.unionByName, [*broken, bronze.airport_rejects(raw_airports, countries)])
     run.together(
         partial(flights.json, run.path(zones.BRONZE, "flights")),
         partial(files.write_json, airports, run.path(zones.BRONZE, "airports")),
         partial(files.write_json, airlines, run.path(zones.BRONZE, "airlines")),
-        partial(run.save, reduce(DataFrame.unionByName, broken), zones.BRONZE, "rejects"),
+        partial(run.save, rejects, zones.BRONZE, "rejects"),
     )
 
 

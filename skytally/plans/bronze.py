@@ -69,12 +69,13 @@ def verdict(flights: DataFrame) -> DataFrame:
 def shape_flights(listing: DataFrame, details: DataFrame, cap: int | None = None) -> DataFrame:
     """Bronze flight records, each marked with its outcome and, where refused, the reason.
 
-    Details fetched more than once for a flight count in their newest version. With a cap, only that
-    many sound records are kept, the first by flight id.
+    Exact copies of a listing entry count once, and details fetched more than once for a flight in their
+    newest version; so no flight id is hot when the two sides meet. With a cap, only that many sound
+    records are kept, the first by flight id.
     """
     versions = details.withColumn("updated", F.col("time.other.updated"))
     newest = newest_by(versions, "id", "updated").drop("updated")
-    marked = verdict(with_details(with_id(listing), newest))
+    marked = verdict(with_details(with_id(listing).dropDuplicates(), newest))
     if cap is not None:
         marked = capped(marked.filter(F.col("reason").isNull()), cap, "id")
     return with_flying(with_icao(marked)).select(*[f.name for f in BRONZE_FLIGHT.fields], "reason", "outcome")

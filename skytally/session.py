@@ -12,6 +12,8 @@ RUNTIME_SETTINGS = {
     # A hot join key is split at run time, even where that costs one more shuffle later on.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A task that writes few partitions keeps them open side by side instead of sorting its rows.
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
 

@@ -11,15 +11,27 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skytally.functions.scalars import epoch
 
 
+_known_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its wall-clock times become points in time (the session runs in UTC)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    clocks = {c: F.col(c).cast("timestamp") for c, kind in df.dtypes if kind == "timestamp_ntz"}
-    return df.withColumns(clocks) if clocks else df
+    """A given table. Its wall-clock times become points in time (the session runs in UTC).
+
+    The schema is taken from the file once per application; asking again would cost a job each time.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _known_schemas:
+        _known_schemas[key] = spark.read.parquet(path).schema
+    schema = _known_schemas[key]
+    df = spark.read.schema(schema).parquet(path)
+    clocks = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in clocks}) if clocks else df
 
 
 # Table -> (own key, key on the flight's side, table that must be joined before).

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder. A folder of this machine serves only a local session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -15,9 +18,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="skytally-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="skytally-")
+    return _local_folders[application]
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -1,0 +1,151 @@
+"""Whole runs over hand-made landed snapshots."""
+
+import json
+from datetime import datetime
+
+import pytest
+
+from skytally import schemas
+from skytally.plans import batch, indicators
+from skytally.sources import files, zones
+
+SIX, EIGHT = datetime(2024, 3, 5, 6), datetime(2024, 3, 5, 8)
+
+
+def flight(id, icao="AAA", model="Airbus A320", arrival=None):
+    return {
+        "id": id,
+        "airline": {"name": f"Air {icao}", "code": {"icao": icao}},
+        "aircraft": {"registration": f"R-{id}", "model": {"text": model}, "images": {"large": []}},
+        "time": {
+            "real": {"departure": 1709618400, "arrival": arrival},
+            "scheduled": {"departure": 1709618400, "arrival": 1709622000},
+        },
+    }
+
+
+def snapshot(folder, details, texts=(), airlines=True):
+    listed = [{"id": d["id"], "origin_airport_iata": "CDG", "destination_airport_iata": "LHR"} for d in details]
+    tables = {
+        "listing": [*listed, {"id": None, "origin_airport_iata": "CDG"}],
+        "details": details,
+        "raw_airports": [
+            {"name": "Paris", "iata": "CDG", "country": "France"},
+            {"name": "London", "iata": "LHR", "country": "United Kingdom"},
+            {"name": "Lost", "iata": "LST", "country": "Atlantis"},
+        ],
+        "countries": [{"country": c, "continent": "Europe"} for c in ("France", "United Kingdom", "France")],
+    }
+    if airlines:
+        tables["raw_airlines"] = [{"name": "Air AAA", "icao": "AAA", "country": "France"}]
+    for name, records in tables.items():
+        (folder / name).mkdir(parents=True)
+        lines = [json.dumps(r) for r in records] + (list(texts) if name == "details" else [])
+        (folder / name / "part.json").write_text("\n".join(lines))
+    return str(folder)
+
+
+DETAILS = [
+    flight("1"), flight("2"), flight("2"), flight("3", "BBB", "Boeing 737"), flight("4", arrival=1709622000),
+    flight("5") | {"airline": None}, flight("6") | {"time": {}},
+]
+
+
+def gold(spark, root, name, run_ts=SIX):
+    return spark.read.parquet(zones.batch_path(zones.table_path(root, zones.GOLD, name), run_ts))
+
+
+def metrics(spark, root, run_ts=SIX):
+    return {
+        (r.metric, r.detail) if r.detail else r.metric: r.value
+        for r in gold(spark, root, "run_metrics", run_ts).collect()
+    }
+
+
+def test_run(spark, tmp_path, rows):
+    root = str(tmp_path / "zones")
+    landing = snapshot(tmp_path / "landing", DETAILS, texts=['{"id": "7", "air'])
+    run = batch.run(spark, landing, root, SIX)
+    assert run.failed == []
+    assert rows(gold(spark, root, "top_airline")) == [("Air AAA", 2)]
+    assert rows(gold(spark, root, "regional_active")) == [("Europe", "Air AAA", 2)]
+    assert rows(gold(spark, root, "regional_all")) == [("Europe", "Air AAA", 3)]
+    assert rows(gold(spark, root, "longest_flight"), "registration", "duration_hours") == [
+        ("R-1", 1.0), ("R-2", 1.0), ("R-3", 1.0)
+    ]
+    assert rows(gold(spark, root, "avg_duration")) == [("Europe", 1.0)]
+    assert rows(gold(spark, root, "top_maker")) == [("Airbus", 2)]
+    assert rows(gold(spark, root, "top_models")) == [("France", "Airbus A320", 3, 1)]
+    assert rows(gold(spark, root, "airport_imbalance")) == [("CDG", 4, 0, 4)]
+    counted = metrics(spark, root)
+    assert counted["bronze_flights"] == 4
+    assert counted["duplicate_flights"] == 0
+    assert counted["rejects", "details/corrupt"] == 1
+    assert counted["rejects", "flights/no_airline_code"] == 1
+    assert counted["rejects", "flights/no_real_times"] == 1
+    assert counted["rejects", "airports/no_continent"] == 1
+    assert (counted["flights"], counted["unmatched_airline_icao"], counted["airports"]) == (4, 1, 2)
+
+
+def test_repeating_a_run_changes_nothing_and_hours_are_apart(spark, tmp_path, rows):
+    root = str(tmp_path / "zones")
+    first = snapshot(tmp_path / "first", DETAILS)
+    second = snapshot(tmp_path / "second", [flight("9", "CCC")])
+    batch.run(spark, first, root, SIX)
+    before = {n: rows(gold(spark, root, n)) for n in ("top_airline", "top_models", "longest_flight")}
+    batch.run(spark, second, root, EIGHT)
+    batch.run(spark, first, root, SIX)
+    assert {n: rows(gold(spark, root, n)) for n in before} == before
+    assert rows(gold(spark, root, "top_airline", EIGHT)) == [("Air CCC", 1)]
+    found = zones.read_batch(spark, zones.table_path(root, zones.GOLD, "top_airline"),
+                             schemas.struct(airline_name=schemas.SILVER_FLIGHTS["airline_name"].dataType), EIGHT)
+    assert rows(found, "airline_name", "tech_day", "tech_hour") == [("Air CCC", "2024-03-05", "08")]
+
+
+def test_missing_airlines_leave_the_other_indicators(spark, tmp_path, rows):
+    root = str(tmp_path / "zones")
+    landing = snapshot(tmp_path / "landing", DETAILS, airlines=False)
+    assert batch.run(spark, landing, root, SIX).failed == []
+    assert rows(gold(spark, root, "top_airline")) == [("Air AAA", 2)]
+    assert gold(spark, root, "top_models").count() == 0
+    assert metrics(spark, root)["unmatched_airline_icao"] == 4
+
+
+def test_nothing_landed(spark, tmp_path):
+    root = str(tmp_path / "zones")
+    assert batch.run(spark, str(tmp_path / "nowhere"), root, SIX).failed == []
+    assert gold(spark, root, "top_airline").count() == 0
+    assert metrics(spark, root)["bronze_flights"] == 0
+
+
+def test_one_failing_indicator_does_not_stop_the_others(spark, tmp_path, rows, monkeypatch):
+    def broken(*_, **__):
+        return spark.range(1).selectExpr("assert_true(id < 0, 'broken on purpose') AS x")
+
+    monkeypatch.setattr(indicators, "top_maker", broken)
+    root = str(tmp_path / "zones")
+    run = batch.run(spark, snapshot(tmp_path / "landing", DETAILS), root, SIX)
+    assert run.failed == ["top_maker"]
+    assert rows(gold(spark, root, "airport_imbalance")) == [("CDG", 4, 0, 4)]
+    log = gold(spark, root, "run_metrics").filter("metric = 'failed'").collect()
+    assert [r.step for r in log] == ["top_maker"] and "broken on purpose" in log[0].detail
+
+
+def test_each_indicator_has_a_path_of_its_own(spark, tmp_path):
+    run = batch.Run(spark, str(tmp_path), SIX)
+    empty = [spark.createDataFrame([], s) for s in (schemas.SILVER_FLIGHTS, schemas.SILVER_AIRLINES, schemas.SILVER_AIRPORTS)]
+    names = list(batch.indicator_plans(*empty))
+    assert len({run.path(zones.GOLD, n) for n in names}) == len(names) == 8
+
+
+def test_a_cap_limits_the_flights(spark, tmp_path):
+    root = str(tmp_path / "zones")
+    batch.run(spark, snapshot(tmp_path / "landing", DETAILS), root, SIX, cap=2)
+    assert metrics(spark, root)["bronze_flights"] == 2
+
+
+def test_rows_in_are_rows_out_plus_rejects(spark, tmp_path):
+    landing = snapshot(tmp_path / "landing", DETAILS, texts=["{", "[]", "null"])
+    parsed = files.read_json_lines(spark, f"{landing}/details", schemas.DETAILS)
+    sound, broken = files.split_corrupt(parsed, "details")
+    assert (sound.count(), broken.count()) == (len(DETAILS), 3)

@@ -1,0 +1,148 @@
+"""Shape of the physical plans, independence of partitioning, and hot keys."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from skytally.catalog import QUERIES
+from skytally.operators import aggregates, joins, ranking
+from skytally.plans import indicators
+from skytally.sources import star_tables as star
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def final_plan(df):
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+# Runs whose plan is that of the written result.
+WRITTEN = {"gold_publish", "landed_to_gold", "zone_partition_write"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITTEN))
+def test_no_python_and_no_cross_product(name, spark, sf_dir):
+    text = plan(QUERIES[name](spark, sf_dir))
+    assert not re.search(r"Python|BroadcastNestedLoopJoin|CartesianProduct|Pandas", text)
+    # Only partial results of a global aggregate may meet in one task, never rows for a window or sort.
+    for above, _ in re.findall(r"(\w+)[^\n]*\n[^\n]*Exchange (SinglePartition)", text):
+        assert above == "HashAggregate"
+
+
+def test_filter_and_columns_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "flights")
+    spark.range(10).selectExpr("cast(id % 2 as int) flying", "string(id) airline_name", "id other").write.parquet(path)
+    text = plan(indicators.top_airline(spark.read.parquet(path)))
+    assert "PushedFilters: [IsNotNull(flying), EqualTo(flying,1)]" in text
+    assert "ReadSchema: struct<flying:int,airline_name:string>" in text
+    assert "TakeOrderedAndProject" in text
+
+
+def test_only_needed_tables_are_joined(spark, sf_dir):
+    text = plan(QUERIES["q1_top_airline"](spark, sf_dir))
+    assert text.count("FileScan") == 2  # line items and suppliers
+    assert plan(QUERIES["count_by_key"](spark, sf_dir)).count("FileScan") == 2
+
+
+def test_top_three_is_cut_before_the_shuffle(spark, sf_dir):
+    text = plan(QUERIES["rank_top3"](spark, sf_dir))
+    assert re.search(r"WindowGroupLimit.*Partial", text) and re.search(r"WindowGroupLimit.*Final", text)
+
+
+def test_leaders_compute_their_counts_once(spark, sf_dir):
+    text = final_plan(QUERIES["rank_top1_ties"](spark, sf_dir))
+    assert "ReusedExchange" in text
+    assert "Window" not in text
+
+
+def test_flights_are_counted_before_they_are_joined(spark, sf_dir):
+    flights, airlines = star.flights(spark, sf_dir, "airline_icao", "aircraft_model_text"), star.airlines(spark, sf_dir)
+    text = QUERIES["q6_top_models"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    above, _, below = text.partition("Join Inner")
+    assert "Aggregate [airline_icao" in below and "Aggregate [country" in above
+    assert flights.count() > 0 and airlines.count() > 0
+
+
+@pytest.fixture
+def small_joins_shuffled(spark):
+    """Thresholds at which a few rows behave like many."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot_flights(spark):
+    """A third of all flights belongs to one airline."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("A"), F.col("id") % 997))
+    return spark.range(0, 60000, 1, 8).select(
+        hot.alias("airline_icao"), F.sha2(F.col("id").cast("string"), 256).alias("registration"),
+        F.concat(F.lit("M"), F.col("id") % 5).alias("aircraft_model_text"),
+    )
+
+
+def hot_airlines(spark):
+    codes = spark.range(997).select(F.concat(F.lit("A"), "id").alias("icao"))
+    return codes.unionAll(spark.range(1).select(F.lit("HOT").alias("icao"))).select(
+        F.col("icao").alias("name"), "icao", F.lit("X").alias("country")
+    )
+
+
+def test_a_hot_key_is_split_in_a_shuffled_join(spark, small_joins_shuffled):
+    joined = joins.with_airline(hot_flights(spark), hot_airlines(spark))
+    text = final_plan(joined)
+    assert "SortMergeJoin(skew=true)" in text or re.search(r"skew", text)
+    assert joined.count() == 60000
+
+
+def test_a_hot_key_is_one_row_after_counting(spark, small_joins_shuffled, rows):
+    found = rows(indicators.top_models(hot_flights(spark), hot_airlines(spark)))
+    assert [r[1:] for r in found] == [("M0", 12000, 1), ("M1", 12000, 2), ("M2", 12000, 3)]
+
+
+def test_all_rows_may_tie(spark, rows):
+    ties = spark.range(0, 5000, 1, 8).select(F.lit("all").alias("continent"), "id", F.lit(1).alias("n"))
+    assert ranking.leaders_by(ties, "continent", "n").count() == 5000
+
+
+def test_a_null_group_has_leaders_too(spark, rows):
+    df = spark.createDataFrame([(None, "a", 2), (None, "b", 1), ("g", "c", 1)], "g string, k string, n int")
+    assert rows(ranking.leaders_by(df, "g", "n")) == [("g", "c", 1), (None, "a", 2)]
+
+
+def test_newest_and_unique(spark, rows):
+    df = spark.createDataFrame([("k", 1, "old"), ("k", 2, "new"), ("k", 2, "new"), ("j", None, "x")], "k string, v int, t string")
+    assert rows(aggregates.newest_by(df, "k", "v")) == [("j", None, "x"), ("k", 2, "new")]
+    assert rows(aggregates.one_per_key(df, "k"), "k", "v") == [("j", None), ("k", 1)]
+
+
+@pytest.mark.parametrize("name", ["q1_top_airline", "q2_regional_all", "q5_top_maker", "q6_top_models", "rank_top3", "bronze_batch_cap"])
+def test_results_do_not_depend_on_partitioning(name, spark, sf_dir, rows):
+    results = []
+    for partitions in ("1", "200"):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        results.append(rows(QUERIES[name](spark, sf_dir)))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert results[0] == results[1]
+
+
+def test_star_keys_are_unique_and_resolve(spark, sf_dir):
+    """What the view of line items as flights rests on."""
+    for name, (key, _, _) in star._JOINS.items():
+        df = star.table(spark, sf_dir, name)
+        assert df.count() == df.select(key).distinct().count()
+    assert star.flights(spark, sf_dir).count() == star.table(spark, sf_dir, "lineitem").count()
