@@ -104,12 +104,17 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], No
     """Folder that ``write`` filled from the tables of ``sf_dir``, once per application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _written:
-        path = new_folder(spark, name)
-        write(f"{path}/data")
-        _written[key] = f"{path}/data"
+        path = _fresh(spark, name)
+        write(path)
+        _written[key] = path
     return _written[key]
 
 
+def _fresh(spark: SparkSession, name: str) -> str:
+    """A path in the work folder where nothing is yet."""
+    return f"{new_folder(spark, name)}/data"
+
+
 # --- Indicators -----------------------------------------------------------------------------------
 
 
@@ -872,7 +877,9 @@ def src_json_records(spark, sf_dir):
     "landed",
 )
 def sink_json(spark, sf_dir):
-    written = spark.read.schema(schemas.BRONZE_FLIGHT).json(_bronze_files(spark, sf_dir))
+    path = _fresh(spark, "sink")
+    files.write_json(_sound_flights(spark, sf_dir), path)
+    written = spark.read.schema(schemas.BRONZE_FLIGHT).json(path)
     return _bronze_columns(written).groupBy("flying").agg(
         F.count(F.lit(1)).alias("flight_count"),
         F.count("registration").alias("registered"),
@@ -883,20 +890,21 @@ def sink_json(spark, sf_dir):
 _STORED = ("registration", "airline_icao", "origin_airport", "real_departure", "scheduled_arrival", "flying")
 
 
-def _stored_flights(spark, sf_dir) -> str:
-    flights = star.flights(spark, sf_dir, *_STORED)
-    return _once(spark, sf_dir, "flights", lambda path: files.write_parquet(flights, path, 5_000_000))
+_ROWS_PER_FILE = 5_000_000
 
 
 @_register("src_parquet", f"SELECT {', '.join(_STORED)} FROM flights WHERE flying = 1", "flights")
 def src_parquet(spark, sf_dir):
-    schema = star.flights(spark, sf_dir, *_STORED).schema
-    return filters.active(files.read_parquet(spark, _stored_flights(spark, sf_dir), schema))
+    flights = star.flights(spark, sf_dir, *_STORED)
+    path = _once(spark, sf_dir, "flights", lambda path: files.write_parquet(flights, path, _ROWS_PER_FILE))
+    return filters.active(files.read_parquet(spark, path, flights.schema))
 
 
 @_register("sink_parquet", f"SELECT {', '.join(_STORED)} FROM flights", "flights")
 def sink_parquet(spark, sf_dir):
-    return spark.read.parquet(_stored_flights(spark, sf_dir))
+    path = _fresh(spark, "sink")
+    files.write_parquet(star.flights(spark, sf_dir, *_STORED), path, _ROWS_PER_FILE)
+    return spark.read.parquet(path)
 
 
 _DATED = """
@@ -910,14 +918,19 @@ _EVENT = schemas.struct(
 )
 
 
+def _write_events(spark, sf_dir, path: str) -> None:
+    zones.write_by_time(star.events(spark, sf_dir).select(*_EVENT.fieldNames()), path, "ts")
+
+
 def _dated_events(spark, sf_dir) -> str:
-    events = star.events(spark, sf_dir).select(*_EVENT.fieldNames())
-    return _once(spark, sf_dir, "events", lambda path: zones.write_by_time(events, path, "ts"))
+    return _once(spark, sf_dir, "events", lambda path: _write_events(spark, sf_dir, path))
 
 
 @_register("zone_partition_write", _DATED)
 def zone_partition_write(spark, sf_dir):
-    return zones.read_table(spark, _dated_events(spark, sf_dir), _EVENT)
+    path = _fresh(spark, "events")
+    _write_events(spark, sf_dir, path)
+    return zones.read_table(spark, path, _EVENT)
 
 
 @_register("zone_partition_read", f"{_DATED} WHERE CAST(ts AS DATE) = DATE '2024-01-15'")
@@ -1034,6 +1047,12 @@ def _report_sql(flights: str, airlines: str, airports: str) -> str:
 _SHOW_REPORT = "\n    SELECT indicator, label, round(CAST(measure AS DOUBLE), 6) AS measure FROM report"
 
 
+def _complete(run: batch.Run) -> batch.Run:
+    if run.failed:
+        raise RuntimeError(f"failed steps: {run.failed}")
+    return run
+
+
 def _published(run: batch.Run) -> dict[str, DataFrame]:
     return {name: run.spark.read.parquet(run.path(zones.GOLD, name)) for name in _REPORT}
 
@@ -1046,13 +1065,9 @@ def _published(run: batch.Run) -> dict[str, DataFrame]:
     "flights",
 )
 def gold_publish(spark, sf_dir):
-    def write(path: str) -> None:
-        run = batch.Run(spark, path, _RUN_TS)
-        batch.publish(
-            run, star.flights(spark, sf_dir), star.airlines(spark, sf_dir), star.airports(spark, sf_dir)
-        )
-
-    return _report(_published(batch.Run(spark, _once(spark, sf_dir, "gold", write), _RUN_TS)))
+    run = batch.Run(spark, _fresh(spark, "gold"), _RUN_TS)
+    batch.publish(run, star.flights(spark, sf_dir), star.airlines(spark, sf_dir), star.airports(spark, sf_dir))
+    return _report(_published(_complete(run)))
 
 
 @_register(
@@ -1067,7 +1082,7 @@ def gold_publish(spark, sf_dir):
 )
 def missing_input_is_empty(spark, sf_dir):
     """All indicators over a batch whose airlines never arrived."""
-    absent = files.read_parquet(spark, f"{new_folder(spark, 'absent')}/airlines", schemas.SILVER_AIRLINES)
+    absent = files.read_parquet(spark, _fresh(spark, "absent"), schemas.SILVER_AIRLINES)
     flights = star.flights(spark, sf_dir)
     results = batch.indicator_plans(flights, absent, star.airports(spark, sf_dir))
     return _report(results).groupBy("indicator").agg(F.count(F.lit(1)).alias("result_rows"))
@@ -1089,6 +1104,8 @@ def missing_input_is_empty(spark, sf_dir):
         FROM flights)
     SELECT 'transform' AS step, metric, value FROM (UNPIVOT facts ON COLUMNS(*) INTO NAME metric VALUE value)
     UNION ALL
+    SELECT 'transform', 'lines', count(*) FROM lineitem
+    UNION ALL
     SELECT 'transform', 'duplicate_lines', (SELECT count(*) FROM lineitem)
         - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
     UNION ALL
@@ -1115,7 +1132,7 @@ def run_metrics(spark, sf_dir):
         "metric", F.concat_ws("/", "metric", F.substring_index("detail", "/", -1))
     )
     facts = quality.flight_counts(flights, known, near, "transform")
-    doubles = quality.duplicate_counts(lines, lines.dropDuplicates(), "transform", "duplicate_lines")
+    doubles = quality.dedup_counts(lines, lines.dropDuplicates(), "transform", "lines", "duplicate_lines")
     return facts.unionByName(doubles).unionByName(rejects).select("step", "metric", "value")
 
 
@@ -1150,8 +1167,4 @@ def _land(spark, sf_dir, path: str) -> None:
 def landed_to_gold(spark, sf_dir):
     """A whole run, from landed JSON to published indicators."""
     landing = _once(spark, sf_dir, "landing", lambda path: _land(spark, sf_dir, path))
-    path = f"{new_folder(spark, 'run')}/zones"
-    run = batch.run(spark, landing, path, _RUN_TS)
-    if run.failed:
-        raise RuntimeError(f"failed steps: {run.failed}")
-    return _report(_published(run))
+    return _report(_published(_complete(batch.run(spark, landing, _fresh(spark, "run"), _RUN_TS))))

@@ -7,7 +7,7 @@ A step that fails is entered in the run log and does not stop the ones that do n
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -96,17 +96,41 @@ def _bronze_flights(run: Run, outcome: str, schema) -> DataFrame:
     return files.or_empty(run.spark, schema, lambda: run.spark.read.schema(schema).json(path))
 
 
+def refine(run: Run, flights: DataFrame, airports: DataFrame, airlines: DataFrame) -> None:
+    """Write the silver tables made from bronze records."""
+    tables = {
+        "flights": silver.flights(flights),
+        "airports": silver.airports(airports),
+        "airlines": silver.airlines(airlines),
+    }
+    run.together(*[partial(run.save, df, zones.SILVER, name) for name, df in tables.items()])
+
+
 def transform(run: Run) -> None:
     """Bronze to silver."""
     json = lambda table, schema: files.or_empty(
         run.spark, schema, lambda: run.spark.read.schema(schema).json(run.path(zones.BRONZE, table))
     )
-    tables = {
-        "flights": silver.flights(_bronze_flights(run, "good", schemas.BRONZE_FLIGHT)),
-        "airports": silver.airports(json("airports", schemas.SILVER_AIRPORTS)),
-        "airlines": silver.airlines(json("airlines", schemas.SILVER_AIRLINES)),
-    }
-    run.together(*[partial(run.save, df, zones.SILVER, name) for name, df in tables.items()])
+    refine(
+        run,
+        _bronze_flights(run, "good", schemas.BRONZE_FLIGHT),
+        json("airports", schemas.SILVER_AIRPORTS),
+        json("airlines", schemas.SILVER_AIRLINES),
+    )
+
+
+def adopt(run: Run, flights: str, airports: str, airlines: str) -> None:
+    """Existing files to silver: arrays of shaped flight records, and wrapped airports and airlines."""
+    read = lambda path, schema, name: files.split_corrupt(
+        files.read_json_array(run.spark, path, schema), name
+    )
+    records, bad_flights = read(flights, schemas.BRONZE_FLIGHT, "flights")
+    wrapped_airports, bad_airports = read(airports, schemas.BRONZE_AIRPORTS, "airports")
+    wrapped_airlines, bad_airlines = read(airlines, schemas.BRONZE_AIRLINES, "airlines")
+    run.save(bad_flights.unionByName(bad_airports).unionByName(bad_airlines), zones.BRONZE, "rejects")
+    refine(
+        run, records, files.unwrap(wrapped_airports, "airports"), files.unwrap(wrapped_airlines, "airlines")
+    )
 
 
 def indicator_plans(
@@ -151,14 +175,16 @@ def measure(run: Run) -> None:
     flights = run.silver("flights", schemas.SILVER_FLIGHTS)
     airlines = run.silver("airlines", schemas.SILVER_AIRLINES)
     airports = run.silver("airports", schemas.SILVER_AIRPORTS)
-    good = _bronze_flights(run, "good", schemas.BRONZE_FLIGHT)
+    # One record per line, so counting needs no parsing.
+    good = files.or_empty(
+        run.spark, schemas.LINES, lambda: run.spark.read.text(f"{run.path(zones.BRONZE, 'flights')}/outcome=good")
+    )
     refused = _bronze_flights(run, "reject", schemas.REFUSED_FLIGHT)
     broken = files.read_parquet(run.spark, run.path(zones.BRONZE, "rejects"), schemas.REJECTS)
     facts = [
-        quality.row_count(good, "extract", "bronze_flights"),
+        quality.dedup_counts(good, flights, "transform", "bronze_flights", "duplicate_flights"),
         quality.reject_counts(refused.withColumn("source", F.lit("flights")), "extract"),
         quality.reject_counts(broken, "extract"),
-        quality.duplicate_counts(good, flights, "transform", "duplicate_flights"),
         quality.row_count(airlines, "transform", "airlines"),
         quality.row_count(airports, "transform", "airports"),
         quality.flight_counts(flights, airlines, airports, "transform"),
@@ -166,13 +192,34 @@ def measure(run: Run) -> None:
     run.save(reduce(DataFrame.unionByName, [*facts, *run.log]), zones.GOLD, "run_metrics")
 
 
+STEPS = ("extract", "transform", "analyse", "measure")
+
+
 def run(
-    spark: SparkSession, landing: str, root: str, run_ts: datetime, cap: int | None = None
+    spark: SparkSession,
+    landing: str | None,
+    root: str,
+    run_ts: datetime,
+    cap: int | None = None,
+    steps: Sequence[str] = STEPS,
+    existing: tuple[str, str, str] | None = None,
 ) -> Run:
-    """The whole batch. The caller decides what ``failed`` steps mean for the exit status."""
+    """The whole batch, or some of its steps.
+
+    ``existing`` names files of flights, airports and airlines that are shaped already; they replace
+    the first two steps. The caller decides what ``failed`` steps mean for the exit status.
+    """
     batch = Run(spark, root, run_ts)
-    batch.attempt("extract", lambda: extract(batch, landing.rstrip("/"), cap))
-    batch.attempt("transform", lambda: transform(batch))
-    batch.attempt("analyse", lambda: analyse(batch))
-    batch.attempt("run_metrics", lambda: measure(batch))
+    work = {
+        "extract": lambda: extract(batch, str(landing).rstrip("/"), cap),
+        "transform": lambda: transform(batch),
+        "analyse": lambda: analyse(batch),
+        "measure": lambda: measure(batch),
+    }
+    if existing is not None:
+        del work["extract"]
+        work["transform"] = lambda: adopt(batch, *existing)
+    for step, do in work.items():
+        if step in steps:
+            batch.attempt(step, do)
     return batch

@@ -149,3 +149,35 @@ def test_rows_in_are_rows_out_plus_rejects(spark, tmp_path):
     parsed = files.read_json_lines(spark, f"{landing}/details", schemas.DETAILS)
     sound, broken = files.split_corrupt(parsed, "details")
     assert (sound.count(), broken.count()) == (len(DETAILS), 3)
+
+
+def test_existing_files_are_taken_over(spark, tmp_path, rows):
+    """Arrays of shaped records and wrapped dimensions, as a run of the command line."""
+    from skytally.__main__ import main
+
+    record = flight("1") | {"icao": "AAA", "origin_airport": "CDG", "destination_airport": "LHR", "flying": True}
+    folder = tmp_path / "day"
+    folder.mkdir()
+    (folder / "flights1.json").write_text(json.dumps([record, record], indent=4))
+    (folder / "flights2.json").write_text(json.dumps([record | {"flying": False}]))
+    (folder / "flights3.json").write_text('[{"icao": "AAA", "air')
+    (tmp_path / "airports.json").write_text(json.dumps({"airports": [
+        {"name": n, "iata": n, "continent": "Europe"} for n in ("CDG", "LHR")]}))
+    (tmp_path / "airlines.json").write_text(json.dumps({"airlines": [{"name": "A", "icao": "AAA", "country": "France"}]}))
+    root = str(tmp_path / "zones")
+    status = main([
+        "--root", root, "--run-ts", "2024-03-05T06", "--flights", str(folder),
+        "--airports", str(tmp_path / "airports.json"), "--airlines", str(tmp_path / "airlines.json"),
+    ])
+    assert status == 0
+    assert rows(gold(spark, root, "regional_all")) == [("Europe", "Air AAA", 2)]
+    assert rows(gold(spark, root, "top_models")) == [("France", "Airbus A320", 2, 1)]
+    assert metrics(spark, root)["rejects", "flights/corrupt"] == 1
+
+
+def test_steps_run_alone(spark, tmp_path, rows):
+    root = str(tmp_path / "zones")
+    landing = snapshot(tmp_path / "landing", DETAILS)
+    for step in batch.STEPS:
+        assert batch.run(spark, landing, root, SIX, steps=[step]).failed == []
+    assert rows(gold(spark, root, "top_airline")) == [("Air AAA", 2)]
