@@ -134,27 +134,38 @@ def adopt(run: Run, flights: str, airports: str, airlines: str) -> None:
 
 
 def indicator_plans(
-    flights: DataFrame, airlines: DataFrame, airports: DataFrame, tallied: DataFrame | None = None
+    flights: DataFrame,
+    airlines: DataFrame,
+    airports: DataFrame,
+    routes: DataFrame | None = None,
+    models: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """All indicators by name. With a tally, the flights are read only for the longest one."""
-    counted = flights if tallied is None else tallied
+    """All indicators by name. With tallies, the flights are read only for the longest one."""
+    by_route = flights if routes is None else routes
+    by_model = flights if models is None else models
     return {
-        "top_airline": indicators.top_airline(counted),
-        "regional_all": indicators.regional_leaders(counted, airlines, airports, active_only=False),
-        "regional_active": indicators.regional_leaders(counted, airlines, airports, active_only=True),
-        "longest_flight": indicators.longest_flights(flights, tallied),
-        "avg_duration": indicators.mean_duration(counted, airports),
-        "top_maker": indicators.top_maker(counted),
-        "top_models": indicators.top_models(counted, airlines),
-        "airport_imbalance": indicators.airport_imbalance(counted),
+        "top_airline": indicators.top_airline(by_route),
+        "regional_all": indicators.regional_leaders(by_route, airlines, airports, active_only=False),
+        "regional_active": indicators.regional_leaders(by_route, airlines, airports, active_only=True),
+        "longest_flight": indicators.longest_flights(flights, routes),
+        "avg_duration": indicators.mean_duration(by_route, airports),
+        "top_maker": indicators.top_maker(by_model),
+        "top_models": indicators.top_models(by_model, airlines),
+        "airport_imbalance": indicators.airport_imbalance(by_route),
     }
 
 
 def publish(run: Run, flights: DataFrame, airlines: DataFrame, airports: DataFrame) -> None:
-    """Write the tally of the batch, then each indicator from it, each to a path of its own."""
-    run.save(indicators.tally(flights), zones.GOLD, "flight_tally")
-    tallied = run.spark.read.parquet(run.path(zones.GOLD, "flight_tally"))
-    plans = indicator_plans(flights, airlines, airports, tallied)
+    """Write two tallies of the batch, then each indicator from them, each to a path of its own.
+
+    The flights are read three times in all: for each tally, and for the longest flight.
+    """
+    tallies = {
+        "route_tally": indicators.route_tally(flights), "model_tally": indicators.model_tally(flights)
+    }
+    run.together(*[partial(run.save, df, zones.GOLD, name) for name, df in tallies.items()])
+    routes, models = (run.spark.read.parquet(run.path(zones.GOLD, name)) for name in tallies)
+    plans = indicator_plans(flights, airlines, airports, routes, models)
     run.together(
         *[partial(run.attempt, name, partial(run.save, df, zones.GOLD, name)) for name, df in plans.items()]
     )
