@@ -1,0 +1,49 @@
+"""Work off the hours for which new bronze files have arrived since the last look."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from skytally.schemas import FILES
+from skytally.sources import zones
+
+
+def _hours(files: DataFrame) -> list[datetime]:
+    """The distinct hours named in the paths of files; one short row per hour comes to the driver."""
+    names = [F.regexp_extract("path", f"{level}=([^/]+)", 1).alias(level) for level in ("tech_day", "tech_hour")]
+    hours = files.select(*names).filter("tech_day != '' AND tech_hour != ''").distinct().collect()
+    return sorted(datetime.strptime(f"{h.tech_day} {h.tech_hour}", "%Y-%m-%d %H") for h in hours)
+
+
+def follow_bronze(
+    spark: SparkSession, root: str, checkpoint: str, work: Callable[[datetime], None]
+) -> StreamingQuery:
+    """Call ``work`` for each hour with new bronze flights, then stop.
+
+    Meant to be started by the schedule: a run that was missed is made up by the next one. The stream
+    carries the files' paths only, never their content, and ``work`` computes an hour as a whole from
+    bronze. So it may be repeated after a failure, and files that arrive late are counted in full.
+    """
+    arrived = (
+        spark.readStream.format("binaryFile")
+        .schema(FILES)
+        .option("recursiveFileLookup", "true")
+        .load(zones.table_path(root, zones.BRONZE, "flights"))
+        .select("path")
+    )
+
+    def work_off(files: DataFrame, _: int) -> None:
+        for hour in _hours(files):
+            work(hour)
+
+    return (
+        arrived.writeStream.foreachBatch(work_off)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

@@ -1,0 +1,38 @@
+"""Hours with new bronze files are worked off once each."""
+
+from datetime import datetime
+
+from skytally.plans import batch
+from skytally.sources import zones
+from skytally.streaming.arrivals import follow_bronze
+from tests.test_batch import DETAILS, EIGHT, SIX, flight, gold, snapshot
+
+
+def follow(spark, root, tmp_path):
+    seen = []
+
+    def work(hour: datetime) -> None:
+        seen.append(hour)
+        batch.run(spark, None, root, hour, steps=["transform", "analyse", "measure"])
+
+    query = follow_bronze(spark, root, str(tmp_path / "checkpoint"), work)
+    query.awaitTermination()
+    assert query.exception() is None
+    return seen
+
+
+def test_new_hours_are_worked_off_once(spark, tmp_path, rows):
+    root = str(tmp_path / "zones")
+    first = snapshot(tmp_path / "first", DETAILS)
+    batch.run(spark, first, root, SIX, steps=["extract"])
+    assert follow(spark, root, tmp_path) == [SIX]
+    assert rows(gold(spark, root, "top_airline")) == [("Air AAA", 2)]
+    assert follow(spark, root, tmp_path) == []
+
+    batch.run(spark, snapshot(tmp_path / "second", [flight("9", "CCC")]), root, EIGHT, steps=["extract"])
+    later = snapshot(tmp_path / "again", [*DETAILS, flight("10", "BBB"), flight("11", "BBB")])
+    batch.run(spark, later, root, SIX, steps=["extract"])  # the first hour once more, with more flights
+    assert follow(spark, root, tmp_path) == [SIX, EIGHT]
+    assert rows(gold(spark, root, "top_airline")) == [("Air BBB", 3)]
+    assert rows(gold(spark, root, "top_airline", EIGHT)) == [("Air CCC", 1)]
+    assert zones.latest_batch(spark, zones.table_path(root, zones.GOLD, "top_airline")) == EIGHT

@@ -7,6 +7,7 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from skytally import schemas
 from skytally.sources import files, workspace, zones
@@ -149,3 +150,24 @@ def test_a_folder_of_this_machine_serves_only_a_local_session():
 def test_work_folders_are_fresh(spark):
     first, second = workspace.new_folder(spark, "x"), workspace.new_folder(spark, "x")
     assert first != second and os.path.isdir(first.removeprefix("file:"))
+
+
+def test_a_hot_hour_is_written_by_several_tasks(spark, tmp_path):
+    table = tmp_path / "t"
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hour = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 24)
+        ts = F.timestamp_seconds(F.lit(1709596800) + hour * 3600)
+        events = spark.range(0, 40000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), ts.alias("ts"))
+        zones.write_by_time(events, str(table), "ts")
+        files_of = lambda hour: len(list(table.glob(f"*/*/*/tech_hour={hour}/*.parquet")))
+        assert files_of("00") > 3
+        assert spark.read.parquet(str(table)).count() == 40000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
