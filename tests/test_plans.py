@@ -141,7 +141,7 @@ def test_results_do_not_depend_on_partitioning(name, spark, sf_dir, rows):
 
 def test_star_keys_are_unique_and_resolve(spark, sf_dir):
     """What the view of line items as flights rests on."""
-    for name, (key, _, _) in star._JOINS.items():
+    for name, (_, _, key) in star._JOINS.items():
         df = star.table(spark, sf_dir, name)
         assert df.count() == df.select(key).distinct().count()
     assert star.flights(spark, sf_dir).count() == star.table(spark, sf_dir, "lineitem").count()
