@@ -2,7 +2,8 @@
 
 ``run_ts`` names the batch in every zone; no step looks at the clock. Each step hands over through
 written tables only, so a step can be repeated alone, and repeating it replaces its own hour.
-A step that fails is entered in the run log and does not stop the ones that do not need it.
+What fails is entered in the run log: an indicator does not stop the others, a step stops the next ones,
+which would work on an older state.
 """
 
 from __future__ import annotations
@@ -40,27 +41,29 @@ class Run:
     def save(self, df: DataFrame, zone: str, table: str) -> None:
         zones.write_batch(df, zones.table_path(self.root, zone, table), self.run_ts)
 
-    def attempt(self, step: str, work: Callable[[], None]) -> None:
-        """Do a step; a failure goes to the run log and to ``failed``."""
+    def attempt(self, step: str, work: Callable[[], None]) -> bool:
+        """Do a step and say whether it worked; a failure goes to the run log and to ``failed``."""
         try:
             work()
         except Exception as error:
             self.failed.append(step)
             self.log.append(quality.failure(self.spark, step, error))
+            return False
+        return True
 
     def together(self, *jobs: Callable) -> list:
         """Run independent writes side by side, so that small ones do not wait for each other.
 
         All of them get their turn; the first failure is then raised.
         """
-        with ThreadPoolExecutor(max_workers=4) as pool:
+        with ThreadPoolExecutor(max_workers=8) as pool:
             done = [pool.submit(inheritable_thread_target(self.spark)(job)) for job in jobs]
         return [one.result() for one in done]
 
 
 def _staged(run: Run, landing: str, name: str, schema) -> tuple[DataFrame, DataFrame]:
     """Parse a landed table once, into Parquet; give its sound records and its rejects from there."""
-    parsed = files.read_json_lines(run.spark, f"{landing}/{name}", schema)
+    parsed = files.read_json_lines(run.spark, f"{landing.rstrip('/')}/{name}", schema)
     run.save(parsed, zones.BRONZE, name)
     written = run.spark.read.schema(parsed.schema).parquet(run.path(zones.BRONZE, name))
     return files.split_corrupt(written, name)
@@ -79,15 +82,41 @@ def extract(run: Run, landing: str, cap: int | None = None) -> None:
     (listing, details, raw_airports, raw_airlines, countries), broken = zip(*staged)
     countries = one_per_key(countries, "country")
 
-    flights = bronze.shape_flights(listing, details, cap).write.mode("overwrite").partitionBy("outcome")
-    airports = bronze.with_continent(raw_airports, countries)
-    airlines = bronze.airline_records(raw_airlines)
-    rejects = reduce(DataFrame.unionByName, [*broken, bronze.airport_rejects(raw_airports, countries)])
+    _write_bronze(
+        run,
+        bronze.shape_flights(listing, details, cap),
+        bronze.with_continent(raw_airports, countries),
+        bronze.airline_records(raw_airlines),
+        [*broken, bronze.airport_rejects(raw_airports, countries)],
+    )
+
+
+def adopt(run: Run, flights: str, airports: str, airlines: str) -> None:
+    """Existing files to bronze: arrays of shaped flight records, and wrapped airports and airlines."""
+    read = lambda path, schema, name: files.split_corrupt(
+        files.read_json_array(run.spark, path, schema), name
+    )
+    records, bad_flights = read(flights, schemas.BRONZE_FLIGHT, "flights")
+    wrapped_airports, bad_airports = read(airports, schemas.BRONZE_AIRPORTS, "airports")
+    wrapped_airlines, bad_airlines = read(airlines, schemas.BRONZE_AIRLINES, "airlines")
+    _write_bronze(
+        run,
+        records.withColumn("outcome", F.lit("good")),
+        files.unwrap(wrapped_airports, "airports"),
+        files.unwrap(wrapped_airlines, "airlines"),
+        [bad_flights, bad_airports, bad_airlines],
+    )
+
+
+def _write_bronze(
+    run: Run, flights: DataFrame, airports: DataFrame, airlines: DataFrame, rejects: list[DataFrame]
+) -> None:
+    by_outcome = flights.write.mode("overwrite").partitionBy("outcome")
     run.together(
-        partial(flights.json, run.path(zones.BRONZE, "flights")),
+        partial(by_outcome.json, run.path(zones.BRONZE, "flights")),
         partial(files.write_json, airports, run.path(zones.BRONZE, "airports")),
         partial(files.write_json, airlines, run.path(zones.BRONZE, "airlines")),
-        partial(run.save, rejects, zones.BRONZE, "rejects"),
+        partial(run.save, reduce(DataFrame.unionByName, rejects), zones.BRONZE, "rejects"),
     )
 
 
@@ -96,41 +125,17 @@ def _bronze_flights(run: Run, outcome: str, schema) -> DataFrame:
     return files.or_empty(run.spark, schema, lambda: run.spark.read.schema(schema).json(path))
 
 
-def refine(run: Run, flights: DataFrame, airports: DataFrame, airlines: DataFrame) -> None:
-    """Write the silver tables made from bronze records."""
-    tables = {
-        "flights": silver.flights(flights),
-        "airports": silver.airports(airports),
-        "airlines": silver.airlines(airlines),
-    }
-    run.together(*[partial(run.save, df, zones.SILVER, name) for name, df in tables.items()])
-
-
 def transform(run: Run) -> None:
     """Bronze to silver."""
     json = lambda table, schema: files.or_empty(
         run.spark, schema, lambda: run.spark.read.schema(schema).json(run.path(zones.BRONZE, table))
     )
-    refine(
-        run,
-        _bronze_flights(run, "good", schemas.BRONZE_FLIGHT),
-        json("airports", schemas.SILVER_AIRPORTS),
-        json("airlines", schemas.SILVER_AIRLINES),
-    )
-
-
-def adopt(run: Run, flights: str, airports: str, airlines: str) -> None:
-    """Existing files to silver: arrays of shaped flight records, and wrapped airports and airlines."""
-    read = lambda path, schema, name: files.split_corrupt(
-        files.read_json_array(run.spark, path, schema), name
-    )
-    records, bad_flights = read(flights, schemas.BRONZE_FLIGHT, "flights")
-    wrapped_airports, bad_airports = read(airports, schemas.BRONZE_AIRPORTS, "airports")
-    wrapped_airlines, bad_airlines = read(airlines, schemas.BRONZE_AIRLINES, "airlines")
-    run.save(bad_flights.unionByName(bad_airports).unionByName(bad_airlines), zones.BRONZE, "rejects")
-    refine(
-        run, records, files.unwrap(wrapped_airports, "airports"), files.unwrap(wrapped_airlines, "airlines")
-    )
+    tables = {
+        "flights": silver.flights(_bronze_flights(run, "good", schemas.BRONZE_FLIGHT)),
+        "airports": silver.airports(json("airports", schemas.SILVER_AIRPORTS)),
+        "airlines": silver.airlines(json("airlines", schemas.SILVER_AIRLINES)),
+    }
+    run.together(*[partial(run.save, df, zones.SILVER, name) for name, df in tables.items()])
 
 
 def indicator_plans(
@@ -164,7 +169,9 @@ def publish(run: Run, flights: DataFrame, airlines: DataFrame, airports: DataFra
         "route_tally": indicators.route_tally(flights), "model_tally": indicators.model_tally(flights)
     }
     run.together(*[partial(run.save, df, zones.GOLD, name) for name, df in tallies.items()])
-    routes, models = (run.spark.read.parquet(run.path(zones.GOLD, name)) for name in tallies)
+    routes, models = (
+        run.spark.read.schema(df.schema).parquet(run.path(zones.GOLD, name)) for name, df in tallies.items()
+    )
     plans = indicator_plans(flights, airlines, airports, routes, models)
     run.together(
         *[partial(run.attempt, name, partial(run.save, df, zones.GOLD, name)) for name, df in plans.items()]
@@ -217,20 +224,19 @@ def run(
 ) -> Run:
     """The whole batch, or some of its steps.
 
-    ``existing`` names files of flights, airports and airlines that are shaped already; they replace
-    the first two steps. The caller decides what ``failed`` steps mean for the exit status.
+    ``existing`` names files of flights, airports and airlines that are shaped already, and stands in for
+    the landed snapshot. A failed step ends the run, but the run log is still written. The caller
+    decides what ``failed`` means for the exit status.
     """
     batch = Run(spark, root, run_ts)
     work = {
-        "extract": lambda: extract(batch, str(landing).rstrip("/"), cap),
+        "extract": lambda: adopt(batch, *existing) if existing else extract(batch, str(landing), cap),
         "transform": lambda: transform(batch),
         "analyse": lambda: analyse(batch),
         "measure": lambda: measure(batch),
     }
-    if existing is not None:
-        del work["extract"]
-        work["transform"] = lambda: adopt(batch, *existing)
+    sound = True
     for step, do in work.items():
-        if step in steps:
-            batch.attempt(step, do)
+        if step in steps and (sound or step == "measure"):
+            sound = batch.attempt(step, do) and sound
     return batch

@@ -131,6 +131,17 @@ def test_one_failing_indicator_does_not_stop_the_others(spark, tmp_path, rows, m
     assert [r.step for r in log] == ["top_maker"] and "broken on purpose" in log[0].detail
 
 
+def test_a_failed_step_stops_the_next_ones_but_is_logged(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "zones")
+    landing = snapshot(tmp_path / "landing", DETAILS)
+    batch.run(spark, landing, root, SIX)
+    monkeypatch.setattr(batch.silver, "flights", lambda _: spark.range(1).selectExpr("assert_true(id < 0, 'no') AS x"))
+    run = batch.run(spark, landing, root, SIX)
+    assert run.failed == ["transform"]
+    log = gold(spark, root, "run_metrics").filter("metric = 'failed'").collect()
+    assert [r.step for r in log] == ["transform"]
+
+
 def test_each_indicator_has_a_path_of_its_own(spark, tmp_path):
     run = batch.Run(spark, str(tmp_path), SIX)
     empty = [spark.createDataFrame([], s) for s in (schemas.SILVER_FLIGHTS, schemas.SILVER_AIRLINES, schemas.SILVER_AIRPORTS)]
@@ -172,7 +183,9 @@ def test_existing_files_are_taken_over(spark, tmp_path, rows):
     assert status == 0
     assert rows(gold(spark, root, "regional_all")) == [("Europe", "Air AAA", 2)]
     assert rows(gold(spark, root, "top_models")) == [("France", "Airbus A320", 2, 1)]
-    assert metrics(spark, root)["rejects", "flights/corrupt"] == 1
+    counted = metrics(spark, root)
+    assert counted["rejects", "flights/corrupt"] == 1
+    assert (counted["bronze_flights"], counted["duplicate_flights"]) == (3, 1)
 
 
 def test_steps_run_alone(spark, tmp_path, rows):
