@@ -1,4 +1,4 @@
-"""Run a batch: ``spark-submit ... skytally/__main__.py`` or ``python -m skytally``.
+"""Run a batch: ``spark-submit run_batch.py`` or ``python -m skytally``.
 
 The scheduler passes the batch time, so that all steps of a run, and a repetition, mean the same hour.
 """

@@ -802,22 +802,27 @@ def airlines_projection(spark, sf_dir):
     "landed",
 )
 def reject_split(spark, sf_dir):
-    """Detail records as JSON text, some cut off and some with a text where a number belongs."""
-    details = bronze.without_images(star.details(spark, sf_dir))
+    path = _once(spark, sf_dir, "spoilt", lambda path: _spoilt_details(spark, sf_dir).write.text(path))
+    marked = bronze.verdict(files.read_json_lines(spark, path, schemas.DETAILS))
+    # What did not parse can still be traced by the id in its text.
+    traced = F.coalesce("id", F.regexp_extract(schemas.CORRUPT, '"id":"([^"]*)"', 1))
+    return marked.select(
+        traced.alias("id"), "outcome", "reason", F.col("airline.name").alias("airline_name")
+    )
+
+
+def _spoilt_details(spark, sf_dir) -> DataFrame:
+    """Detail records as lines of JSON, some cut off and some with a text where a number belongs."""
     listed = star.listing(spark, sf_dir).filter(F.col("id").isNotNull()).select("id", F.lit(True).alias("listed"))
-    text = F.to_json(F.struct("airline", "aircraft", "time"))
-    misfit = F.col("aircraft.model.code") == "ECONOMY"
-    spoilt = F.regexp_replace(text, '"countryId":[0-9]+', '"countryId":"N/A"')
-    lines = details.join(listed, "id", "left").select(
-        "id",
+    details = bronze.without_images(star.details(spark, sf_dir)).join(listed, "id", "left")
+    text = F.to_json(F.struct("id", "airline", "aircraft", "time"))
+    misfit = F.regexp_replace(text, '"countryId":[0-9]+', '"countryId":"N/A"')
+    return details.select(
         F.when(F.col("listed").isNull(), F.substr(text, F.lit(1), F.length(text) - 1))
-        .when(misfit, spoilt)
+        .when(F.col("aircraft.model.code") == "ECONOMY", misfit)
         .otherwise(text)
-        .alias("value"),
+        .alias("value")
     )
-    fields = [field for field in schemas.DETAILS.fields if field.name != "id"]
-    parsed = files.parse_lines(lines, T.StructType(fields))
-    return bronze.verdict(parsed).select("id", "outcome", "reason", F.col("airline.name").alias("airline_name"))
 
 
 # --- Sources and sinks ----------------------------------------------------------------------------

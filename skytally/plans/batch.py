@@ -8,6 +8,7 @@ which would work on an older state.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -29,7 +30,7 @@ class Run:
     spark: SparkSession
     root: str
     run_ts: datetime
-    log: list[DataFrame] = field(default_factory=list)
+    log: list[tuple] = field(default_factory=list)
     failed: list[str] = field(default_factory=list)
 
     def path(self, zone: str, table: str) -> str:
@@ -42,13 +43,15 @@ class Run:
         zones.write_batch(df, zones.table_path(self.root, zone, table), self.run_ts)
 
     def attempt(self, step: str, work: Callable[[], None]) -> bool:
-        """Do a step and say whether it worked; a failure goes to the run log and to ``failed``."""
+        """Do a step and say whether it worked. Its time, or its failure, goes to the run log."""
+        start = time.perf_counter()
         try:
             work()
         except Exception as error:
             self.failed.append(step)
-            self.log.append(quality.failure(self.spark, step, error))
+            self.log.append((step, "failed", 1, f"{type(error).__name__}: {error}"[:2000]))
             return False
+        self.log.append((step, "milliseconds", round(1000 * (time.perf_counter() - start)), None))
         return True
 
     def together(self, *jobs: Callable) -> list:
@@ -207,7 +210,8 @@ def measure(run: Run) -> None:
         quality.row_count(airports, "transform", "airports"),
         quality.flight_counts(flights, airlines, airports, "transform"),
     ]
-    run.save(reduce(DataFrame.unionByName, [*facts, *run.log]), zones.GOLD, "run_metrics")
+    log = run.spark.createDataFrame(run.log, schemas.RUN_METRICS)
+    run.save(reduce(DataFrame.unionByName, [*facts, log]), zones.GOLD, "run_metrics")
 
 
 STEPS = ("extract", "transform", "analyse", "measure")

@@ -3,7 +3,6 @@
 import json
 from datetime import datetime
 
-import pytest
 
 from skytally import schemas
 from skytally.plans import batch, indicators
@@ -56,10 +55,10 @@ def gold(spark, root, name, run_ts=SIX):
 
 
 def metrics(spark, root, run_ts=SIX):
-    return {
-        (r.metric, r.detail) if r.detail else r.metric: r.value
-        for r in gold(spark, root, "run_metrics", run_ts).collect()
-    }
+    log = gold(spark, root, "run_metrics", run_ts).collect()
+    timed = {r.step for r in log if r.metric == "milliseconds"}
+    assert not timed or timed >= {"extract", "transform", "analyse", "top_airline"}
+    return {(r.metric, r.detail) if r.detail else r.metric: r.value for r in log}
 
 
 def test_run(spark, tmp_path, rows):
