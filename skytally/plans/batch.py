@@ -1,6 +1,6 @@
 """One run over one snapshot: landed files to bronze, silver and gold.
 
-``run_ts`` names the batch in every zone; no step looks at the clock. Each step hands over through
+``run_ts`` names the batch in every zone; no result depends on the clock. Each step hands over through
 written tables only, so a step can be repeated alone, and repeating it replaces its own hour.
 What fails is entered in the run log: an indicator does not stop the others, a step stops the next ones,
 which would work on an older state.
@@ -114,7 +114,10 @@ def adopt(run: Run, flights: str, airports: str, airlines: str) -> None:
 def _write_bronze(
     run: Run, flights: DataFrame, airports: DataFrame, airlines: DataFrame, rejects: list[DataFrame]
 ) -> None:
-    by_outcome = flights.write.mode("overwrite").partitionBy("outcome")
+    # Static: without rejects this time, those of an earlier run of the hour must go.
+    by_outcome = (
+        flights.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("outcome")
+    )
     run.together(
         partial(by_outcome.json, run.path(zones.BRONZE, "flights")),
         partial(files.write_json, airports, run.path(zones.BRONZE, "airports")),

@@ -101,6 +101,18 @@ def test_repeating_a_run_changes_nothing_and_hours_are_apart(spark, tmp_path, ro
     assert rows(found, "airline_name", "tech_day", "tech_hour") == [("Air CCC", "2024-03-05", "08")]
 
 
+def test_rejects_of_an_earlier_run_go(spark, tmp_path):
+    root = str(tmp_path / "zones")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        batch.run(spark, snapshot(tmp_path / "first", DETAILS), root, SIX)
+        assert ("rejects", "flights/no_airline_code") in metrics(spark, root)
+        batch.run(spark, snapshot(tmp_path / "second", [flight("1")]), root, SIX)
+        assert ("rejects", "flights/no_airline_code") not in metrics(spark, root)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
 def test_missing_airlines_leave_the_other_indicators(spark, tmp_path, rows):
     root = str(tmp_path / "zones")
     landing = snapshot(tmp_path / "landing", DETAILS, airlines=False)
