@@ -76,6 +76,8 @@ def test_run(spark, tmp_path, rows):
     assert rows(gold(spark, root, "top_maker")) == [("Airbus", 2)]
     assert rows(gold(spark, root, "top_models")) == [("France", "Airbus A320", 3, 1)]
     assert rows(gold(spark, root, "airport_imbalance")) == [("CDG", 4, 0, 4)]
+    for name, schema in schemas.GOLD.items():
+        assert gold(spark, root, name).dtypes == spark.createDataFrame([], schema).dtypes
     counted = metrics(spark, root)
     assert counted["bronze_flights"] == 4
     assert counted["duplicate_flights"] == 0
@@ -96,8 +98,8 @@ def test_repeating_a_run_changes_nothing_and_hours_are_apart(spark, tmp_path, ro
     batch.run(spark, first, root, SIX)
     assert {n: rows(gold(spark, root, n)) for n in before} == before
     assert rows(gold(spark, root, "top_airline", EIGHT)) == [("Air CCC", 1)]
-    found = zones.read_batch(spark, zones.table_path(root, zones.GOLD, "top_airline"),
-                             schemas.struct(airline_name=schemas.SILVER_FLIGHTS["airline_name"].dataType), EIGHT)
+    table = zones.table_path(root, zones.GOLD, "top_airline")
+    found = zones.read_batch(spark, table, schemas.GOLD["top_airline"], EIGHT)
     assert rows(found, "airline_name", "tech_day", "tech_hour") == [("Air CCC", "2024-03-05", "08")]
 
 
@@ -158,6 +160,7 @@ def test_each_indicator_has_a_path_of_its_own(spark, tmp_path):
     empty = [spark.createDataFrame([], s) for s in (schemas.SILVER_FLIGHTS, schemas.SILVER_AIRLINES, schemas.SILVER_AIRPORTS)]
     names = list(batch.indicator_plans(*empty))
     assert len({run.path(zones.GOLD, n) for n in names}) == len(names) == 8
+    assert set(names) == set(schemas.GOLD)
 
 
 def test_a_cap_limits_the_flights(spark, tmp_path):
