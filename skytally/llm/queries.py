@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import chat, dedup, licenses, pii, urlfilter
+from skytally.llm import bpe, chat, dedup, licenses, pii, urlfilter
 from skytally.llm.storage import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +94,22 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The vocabulary of the query; any file of its kind serves.
+VOCABULARY = "word_bpe_49k.json"
+
+
+@_query
+def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = bpe.encode(docs, public_tokenizers.path(VOCABULARY), decoded="decoded")
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @_query
 def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
