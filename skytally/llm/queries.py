@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, chat, dedup, licenses, pii, urlfilter
+from skytally.llm import bpe, chat, dedup, licenses, pii, quality, urlfilter
 from skytally.llm.storage import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,18 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+@_query
+def op3_quality_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, network).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @_query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = dedup.exact_groups(table(spark, sf_dir, "documents"))
