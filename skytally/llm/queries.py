@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, chat, dedup, licenses, pii, quality, urlfilter
+from skytally.llm import bpe, chat, dedup, licenses, neardup, pii, quality, urlfilter
 from skytally.llm.storage import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,11 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 #: The vocabulary of the query; any file of its kind serves.
 VOCABULARY = "word_bpe_49k.json"
 
