@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, chat, dedup, licenses, neardup, pii, quality, urlfilter
+from skytally.llm import bpe, chat, decontaminate, dedup, licenses, neardup, pii, quality, urlfilter
 from skytally.llm.storage import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -127,6 +127,11 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
