@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, chat, decontaminate, dedup, licenses, neardup, pii, quality, urlfilter
+from skytally.llm import bpe, brown, chat, decontaminate, dedup, licenses, neardup, pii, quality, urlfilter
 from skytally.llm.storage import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,22 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op5_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = brown.train(docs.filter(~brown.held_out(F.col("doc_id"))))
+    return brown.score(docs, model).select(
+        "doc_id",
+        brown.held_out(F.col("doc_id")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.total).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        "perplexity",
+    )
+
+
 @_query
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))

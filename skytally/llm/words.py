@@ -64,6 +64,7 @@ class Words:
     """All words of a slice, in order."""
 
     rows: int
+    data: np.ndarray  # the flat bytes, A-Z in lower case if asked for
     row: np.ndarray  # of each word
     start: np.ndarray  # in the flat bytes
     end: np.ndarray
@@ -84,7 +85,7 @@ def words(column: pa.Array, kept: np.ndarray = NOT_SPACE, lower: bool = True) ->
     rows, size = len(column), len(data)
     if not size:
         none = np.zeros(0, np.int64)
-        return Words(rows, none, none, none, none.astype(np.uint64))
+        return Words(rows, data, none, none, none, none.astype(np.uint64))
     if lower:
         data = LOWER[data]
     inside = kept[data]
@@ -96,7 +97,7 @@ def words(column: pa.Array, kept: np.ndarray = NOT_SPACE, lower: bool = True) ->
     ends[:-1] &= ~inside[1:] | cut[1:size]
     start, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     row = np.searchsorted(offsets, start, side="right") - 1
-    return Words(rows, row, start, end, keys(data, start, end))
+    return Words(rows, data, row, start, end, keys(data, start, end))
 
 
 def keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
