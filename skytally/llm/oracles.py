@@ -63,3 +63,57 @@ grouped AS (
     FROM content)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256 FROM grouped
 """
+
+# Absent links give nothing; a link is made absolute, an address is spelt as the operator spells it.
+SQL["op2_url_filter"] = r"""
+WITH RECURSIVE
+rules(rhost, rpath, action) AS (VALUES
+    ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+    ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+raw AS (
+    SELECT url, html, regexp_extract(url, '^(.*?)://', 1, 's') AS scheme,
+           regexp_extract(url, '://([^/?#]*)', 1) AS site,
+           regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+    FROM pages WHERE contains(url, '://')),
+found AS (
+    SELECT *, unnest([
+        regexp_extract(html, '<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*?\bhref\s*=\s*["'']?([^"''>\s]+)', 1, 'si'),
+        regexp_extract(html, '<link\b[^>]*\bhref\s*=\s*["'']?([^"''>\s]+)["'']?[^>]*?\brel\s*=\s*["'']?canonical\b', 1, 'si'),
+        regexp_extract(html, '<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*?\burl\s*=\s*["'']?([^"''>\s]+)', 1, 'si')
+    ]) AS link FROM raw),
+links AS (
+    SELECT url AS a, CASE
+        WHEN contains(link, '://') THEN link
+        WHEN link LIKE '//%' THEN scheme || ':' || link
+        WHEN link LIKE '/%' THEN scheme || '://' || site || link
+        ELSE scheme || '://' || site || regexp_replace(path, '[^/]*$', '') || link END AS b
+    FROM found WHERE link <> ''),
+urls AS (SELECT url FROM raw UNION SELECT a FROM links UNION SELECT b FROM links),
+parts AS (
+    SELECT url, regexp_extract(url, '^(.*?)://', 1, 's') AS scheme,
+           translate(regexp_extract(url, '://([^/?#]*)', 1),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
+           regexp_extract(url, '^.*?://[^/?#]*[^?#]*(\?[^#]*)', 1, 's') AS query
+    FROM urls),
+judged AS (
+    SELECT url, host, path, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+           arg_max(action, length(rhost || rpath)) AS action
+    FROM parts LEFT JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+    GROUP BY url, host, path),
+spelt AS (
+    SELECT url AS a, CASE WHEN lower(scheme) IN ('http', 'https') THEN 'https' ELSE lower(scheme) END || '://' || host
+        || path || regexp_replace(regexp_replace(regexp_replace(query,
+            '([?&])((utm_[a-z]+|gclid|fbclid)=[^&]*(&|$))+', '\1', 'gi'), '[?&]$', ''), '^&', '?') AS b
+    FROM parts),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links UNION SELECT a, b FROM spelt UNION SELECT b, a FROM spelt),
+reach(node, other) AS (
+    SELECT a, a FROM edges UNION SELECT node, b FROM reach JOIN edges ON other = a),
+decided AS (
+    SELECT node, bool_or(action = 'allow') AS allowed, bool_or(action = 'block') AS blocked
+    FROM reach LEFT JOIN judged ON other = url GROUP BY node)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+       CASE WHEN action IS NOT NULL THEN action WHEN allowed THEN 'allow' WHEN blocked THEN 'block' ELSE 'allow' END
+           AS verdict
+FROM pages LEFT JOIN judged USING (url) LEFT JOIN decided ON pages.url = decided.node
+"""
