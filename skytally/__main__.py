@@ -20,7 +20,6 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--root", required=True, help="where the zones are, any Hadoop path")
     parser.add_argument("--run-ts", required=True, type=datetime.fromisoformat, help="2024-03-05T06")
     parser.add_argument("--landing", help="folder of landed listing, details and dimensions")
-    parser.add_argument("--cap", type=int, help="keep only this many flights")
     parser.add_argument("--flights", help="existing files of shaped flight records, instead of --landing")
     parser.add_argument("--airports", help="existing wrapped airports, with --flights")
     parser.add_argument("--airlines", help="existing wrapped airlines, with --flights")
@@ -35,11 +34,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = configure(SparkSession.builder.appName("skytally").getOrCreate())
     existing = (given.flights, given.airports, given.airlines) if given.flights else None
     run = batch.run(
-        spark, given.landing, given.root, given.run_ts, given.cap, steps=given.steps, existing=existing
+        spark, given.landing, given.root, given.run_ts, steps=given.steps, existing=existing
     )
     for step in run.failed:
         print(f"failed: {step}", file=sys.stderr)
-    return 1 if run.failed else 0
+    for table in run.missing:
+        print(f"missing: {table}", file=sys.stderr)
+    return 1 if run.failed or run.missing else 0
 
 
 if __name__ == "__main__":

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from skytally import schemas
 from skytally.functions import scalars
 from skytally.operators import aggregates, filters, joins, ranking
-from skytally.plans import batch, bronze, indicators, quality, silver
+from skytally.plans import batch, bronze, indicators, silver
 from skytally.session import configure
 from skytally.sources import files, star_tables as star, zones
 from skytally.sources.workspace import new_folder
@@ -63,7 +63,8 @@ _CTES = {
                CAST(s_nationkey AS VARCHAR) AS origin_airport,
                CAST(c_nationkey AS VARCHAR) AS destination_airport,
                CAST(l_suppkey AS VARCHAR) AS icao, s_name, p_name, p_type,
-               CAST(l_partkey AS VARCHAR) AS registration,
+               CAST(l_partkey AS VARCHAR) AS registration, CAST(s_nationkey AS VARCHAR) AS airline_iata,
+               p_size, p_partkey, p_brand, l_linenumber, l_quantity,
                CAST(epoch(o_orderdate) AS BIGINT) AS departure,
                CAST(epoch(l_shipdate) AS BIGINT) AS arrival,
                o_orderdate, l_shipdate
@@ -364,32 +365,37 @@ def _sound_flights(spark, sf_dir) -> DataFrame:
 # The silver view of the landed flights.
 _SILVER = """
     , silver AS (
-        SELECT CASE WHEN has_aircraft THEN p_name END AS aircraft_model_text,
+        SELECT CASE WHEN has_aircraft THEN CAST(p_size AS VARCHAR) END AS aircraft_age,
+               CASE WHEN has_aircraft THEN CAST(p_size + 1000 AS BIGINT) END AS aircraft_countryId,
+               CASE WHEN has_aircraft THEN hex(p_partkey) END AS aircraft_hex,
+               CASE WHEN has_aircraft THEN p_type END AS aircraft_model_code,
+               CASE WHEN has_aircraft THEN p_name END AS aircraft_model_text,
+               CASE WHEN has_aircraft THEN p_brand END AS aircraft_msn,
                CASE WHEN has_aircraft THEN registration END AS registration,
-               icao AS airline_icao, s_name AS airline_name, origin_airport, destination_airport,
+               airline_iata, icao AS airline_icao, s_name AS airline_name, reverse(s_name) AS airline_short,
+               lower(s_name) AS airline_url, origin_airport, destination_airport,
                CASE WHEN in_air THEN 1 ELSE 0 END AS flying,
-               o_orderdate AS real_departure, CASE WHEN NOT in_air THEN l_shipdate END AS real_arrival,
-               o_orderdate AS scheduled_departure, l_shipdate AS scheduled_arrival
+               CASE WHEN l_linenumber > 1 THEN CAST(l_linenumber AS VARCHAR) END AS historical_delay,
+               CASE WHEN l_linenumber > 1 THEN CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END
+                   AS historical_flighttime,
+               arrival + 7 AS other_eta, departure + 3 AS other_updated,
+               l_shipdate + INTERVAL 120 SECOND AS estimated_arrival,
+               o_orderdate + INTERVAL 60 SECOND AS estimated_departure,
+               CASE WHEN NOT in_air THEN l_shipdate END AS real_arrival, o_orderdate AS real_departure,
+               l_shipdate AS scheduled_arrival, o_orderdate AS scheduled_departure
         FROM landed WHERE has_id AND has_code AND has_real)"""
 
 
-@_register(
-    "flatten_flights",
-    _SILVER
-    + """
-    SELECT aircraft_model_text, registration, airline_icao, airline_name, origin_airport,
-           destination_airport, flying, real_departure, real_arrival, scheduled_departure,
-           scheduled_arrival, CAST(NULL AS VARCHAR) AS historical_delay, 25 AS column_count
-    FROM silver""",
-    "landed",
-)
+@_register("flatten_flights", _SILVER + "\n    SELECT * FROM silver", "landed")
 def flatten_flights(spark, sf_dir):
-    flat = silver.flatten(_sound_flights(spark, sf_dir))
-    return flat.select(
-        "aircraft_model_text", "registration", "airline_icao", "airline_name", "origin_airport",
-        "destination_airport", "flying", "real_departure", "real_arrival", "scheduled_departure",
-        "scheduled_arrival", "historical_delay", F.lit(len(flat.columns)).alias("column_count"),
-    )
+    return silver.flatten(_sound_flights(spark, sf_dir))
+
+
+@_register("dedup_flights", _SILVER + "\n    SELECT DISTINCT * FROM silver", "landed")
+def dedup_flights(spark, sf_dir):
+    """Every flight that has an aircraft arrives twice."""
+    sound = _sound_flights(spark, sf_dir)
+    return silver.flights(sound.unionAll(sound.filter(F.col("aircraft").isNotNull())))
 
 
 # --- Joins ----------------------------------------------------------------------------------------
@@ -599,16 +605,26 @@ def cast_bool_int(spark, sf_dir):
     """
     SELECT flight_id AS id, CASE WHEN has_real THEN o_orderdate END AS real_departure,
            CASE WHEN has_real THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS departure_text,
-           l_shipdate AS scheduled_arrival
+           l_shipdate AS scheduled_arrival,
+           CASE WHEN arrival // 86400 % 4 = 0 THEN l_shipdate END AS arrival_if_sound
     FROM landed""",
     "landed",
 )
 def epoch_to_timestamp(spark, sf_dir):
+    arrival = F.col("time.scheduled.arrival")
     return star.details(spark, sf_dir).select(
         "id",
         scalars.moment("time.real.departure").alias("real_departure"),
         F.from_unixtime("time.real.departure").alias("departure_text"),
         scalars.moment("time.scheduled.arrival").alias("scheduled_arrival"),
+        scalars.moment(_spoilt_epoch(arrival, F.floor(arrival / 86400) % 4)).alias("arrival_if_sound"),
+    )
+
+
+def _spoilt_epoch(epoch, kind):
+    """Epoch seconds; for kinds 1 to 3, a number that no calendar has."""
+    return (
+        F.when(kind == 1, F.lit(10**13)).when(kind == 2, F.lit(17 * 10**17)).when(kind == 3, F.lit(-(10**18))).otherwise(epoch)
     )
 
 
@@ -749,20 +765,6 @@ def bronze_promote_key(spark, sf_dir):
     return bronze.with_icao(star.details(spark, sf_dir)).select("id", "icao")
 
 
-@_register(
-    "bronze_batch_cap",
-    """
-    SELECT icao, s_name AS airline_name, origin_airport, destination_airport, in_air AS flying
-    FROM landed WHERE has_id AND has_code AND has_real ORDER BY flight_id LIMIT 100""",
-    "landed",
-)
-def bronze_batch_cap(spark, sf_dir):
-    shaped = bronze.shape_flights(star.listing(spark, sf_dir), star.details(spark, sf_dir), cap=100)
-    return shaped.select(
-        "icao", F.col("airline.name").alias("airline_name"), "origin_airport", "destination_airport", "flying"
-    )
-
-
 @_register(
     "airport_continent",
     "SELECT name, iata, continent FROM raw_airports JOIN countries USING (country)",
@@ -770,7 +772,7 @@ def bronze_batch_cap(spark, sf_dir):
     "countries",
 )
 def airport_continent(spark, sf_dir):
-    return bronze.with_continent(star.raw_airports(spark, sf_dir), star.countries(spark, sf_dir))
+    return bronze.with_continent(star.raw_airports(spark, sf_dir), _known_countries(spark, sf_dir))
 
 
 @_register(
@@ -780,7 +782,12 @@ def airport_continent(spark, sf_dir):
     "countries",
 )
 def airport_continent_rejects(spark, sf_dir):
-    return bronze.without_continent(star.raw_airports(spark, sf_dir), star.countries(spark, sf_dir))
+    return bronze.without_continent(star.raw_airports(spark, sf_dir), _known_countries(spark, sf_dir))
+
+
+def _known_countries(spark, sf_dir) -> DataFrame:
+    """Countries of all continents but one, so that some airports don't match."""
+    return star.countries(spark, sf_dir).filter(F.col("continent") != "ASIA")
 
 
 @_register("airlines_projection", "SELECT name, icao, country FROM airlines", "airlines")
@@ -797,7 +804,8 @@ def airlines_projection(spark, sf_dir):
         SELECT *, NOT has_id AS broken,
                CASE WHEN NOT has_id OR (has_aircraft AND p_type = 'ECONOMY') THEN 'corrupt'
                     WHEN has_airline IS NOT TRUE OR has_code IS NOT TRUE THEN 'no_airline_code'
-                    WHEN has_real IS NOT TRUE THEN 'no_real_times' END AS reason
+                    WHEN has_real IS NOT TRUE THEN 'no_real_times'
+                    WHEN has_aircraft AND p_partkey % 4 <> 0 THEN 'bad_epoch' END AS reason
         FROM landed)""",
     "landed",
 )
@@ -812,10 +820,13 @@ def reject_split(spark, sf_dir):
 
 
 def _spoilt_details(spark, sf_dir) -> DataFrame:
-    """Detail records as lines of JSON, some cut off and some with a text where a number belongs."""
+    """Detail records as lines of JSON: some cut off, some with a text where a number belongs or an absurd time."""
     listed = star.listing(spark, sf_dir).filter(F.col("id").isNotNull()).select("id", F.lit(True).alias("listed"))
     details = bronze.without_images(star.details(spark, sf_dir)).join(listed, "id", "left")
-    text = F.to_json(F.struct("id", "airline", "aircraft", "time"))
+    kind = F.coalesce(F.col("aircraft.registration").cast("long") % 4, F.lit(0))
+    departure = _spoilt_epoch(F.col("time.scheduled.departure"), kind)
+    time = F.col("time").withField("scheduled.departure", departure)
+    text = F.to_json(F.struct("id", "airline", "aircraft", time.alias("time")))
     misfit = F.regexp_replace(text, '"countryId":[0-9]+', '"countryId":"N/A"')
     return details.select(
         F.when(F.col("listed").isNull(), F.substr(text, F.lit(1), F.length(text) - 1))
@@ -870,26 +881,11 @@ def src_json_records(spark, sf_dir):
     return _bronze_columns(sound)
 
 
-@_register(
-    "sink_json",
-    """
-    SELECT flying, count(*) AS flight_count, count(registration) AS registered,
-           CAST(sum(real_departure) AS BIGINT) AS departure_sum
-    FROM (SELECT CASE WHEN has_aircraft THEN registration END AS registration,
-                 departure AS real_departure, in_air AS flying
-          FROM landed WHERE has_id AND has_code AND has_real)
-    GROUP BY flying""",
-    "landed",
-)
+@_register("sink_json", _BRONZE_COLUMNS, "landed")
 def sink_json(spark, sf_dir):
     path = _fresh(spark, "sink")
     files.write_json(_sound_flights(spark, sf_dir), path)
-    written = spark.read.schema(schemas.BRONZE_FLIGHT).json(path)
-    return _bronze_columns(written).groupBy("flying").agg(
-        F.count(F.lit(1)).alias("flight_count"),
-        F.count("registration").alias("registered"),
-        F.sum("real_departure").alias("departure_sum"),
-    )
+    return _bronze_columns(spark.read.schema(schemas.BRONZE_FLIGHT).json(path))
 
 
 _STORED = ("registration", "airline_icao", "origin_airport", "real_departure", "scheduled_arrival", "flying")
@@ -1071,7 +1067,10 @@ def _published(run: batch.Run) -> dict[str, DataFrame]:
 )
 def gold_publish(spark, sf_dir):
     run = batch.Run(spark, _fresh(spark, "gold"), _RUN_TS)
-    batch.publish(run, star.flights(spark, sf_dir), star.airlines(spark, sf_dir), star.airports(spark, sf_dir))
+    flights = star.flights(spark, sf_dir)
+    path = _once(spark, sf_dir, "silver-flights", lambda path: files.write_parquet(flights, path))
+    written = files.read_parquet(spark, path, flights.schema)
+    batch.publish(run, written, star.airlines(spark, sf_dir), star.airports(spark, sf_dir))
     return _report(_published(_complete(run)))
 
 
@@ -1079,8 +1078,7 @@ def gold_publish(spark, sf_dir):
     "missing_input_is_empty",
     f"""
     , none AS (SELECT * FROM airlines WHERE false)
-    {_report_sql("flights", "none", "airports")}
-    SELECT indicator, count(*) AS result_rows FROM report GROUP BY indicator""",
+    {_report_sql("flights", "none", "airports")}{_SHOW_REPORT}""",
     "airports",
     "airlines",
     "flights",
@@ -1089,56 +1087,7 @@ def missing_input_is_empty(spark, sf_dir):
     """All indicators over a batch whose airlines never arrived."""
     absent = files.read_parquet(spark, _fresh(spark, "absent"), schemas.SILVER_AIRLINES)
     flights = star.flights(spark, sf_dir)
-    results = batch.indicator_plans(flights, absent, star.airports(spark, sf_dir))
-    return _report(results).groupBy("indicator").agg(F.count(F.lit(1)).alias("result_rows"))
-
-
-@_register(
-    "run_metrics",
-    """
-    , known AS (SELECT * FROM airlines WHERE country < 'NATION_2')
-    , near AS (SELECT * FROM airports WHERE continent <> 'ASIA')
-    , facts AS (
-        SELECT count(*) AS flights,
-               count(*) FILTER (scheduled_arrival < scheduled_departure) AS negative_durations,
-               count(*) FILTER (scheduled_arrival IS NULL OR scheduled_departure IS NULL) AS missing_durations,
-               count(*) FILTER (airline_icao NOT IN (SELECT icao FROM known)) AS unmatched_airline_icao,
-               count(*) FILTER (origin_airport NOT IN (SELECT iata FROM near)) AS unmatched_origin_airport,
-               count(*) FILTER (destination_airport NOT IN (SELECT iata FROM near))
-                   AS unmatched_destination_airport
-        FROM flights)
-    SELECT 'transform' AS step, metric, value FROM (UNPIVOT facts ON COLUMNS(*) INTO NAME metric VALUE value)
-    UNION ALL
-    SELECT 'transform', 'lines', count(*) FROM lineitem
-    UNION ALL
-    SELECT 'transform', 'duplicate_lines', (SELECT count(*) FROM lineitem)
-        - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
-    UNION ALL
-    SELECT 'extract', 'rejects/' || CASE WHEN NOT has_code THEN 'no_airline_code' ELSE 'no_real_times' END,
-           count(*)
-    FROM landed WHERE has_id AND NOT (has_code AND has_real) GROUP BY ALL""",
-    "airports",
-    "airlines",
-    "flights",
-    "landed",
-)
-def run_metrics(spark, sf_dir):
-    """Counts of a run in which some airlines and one continent are unknown."""
-    flights = star.flights(
-        spark, sf_dir, "airline_icao", "origin_airport", "destination_airport", "scheduled_departure",
-        "scheduled_arrival",
-    )
-    known = star.airlines(spark, sf_dir).filter(F.col("country") < "NATION_2")
-    near = star.airports(spark, sf_dir).filter(F.col("continent") != "ASIA")
-    lines = star.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    shaped = bronze.shape_flights(star.listing(spark, sf_dir), star.details(spark, sf_dir))
-    refused = shaped.filter(F.col("outcome") == "reject").withColumn("source", F.lit("details"))
-    rejects = quality.reject_counts(refused, "extract").withColumn(
-        "metric", F.concat_ws("/", "metric", F.substring_index("detail", "/", -1))
-    )
-    facts = quality.flight_counts(flights, known, near, "transform")
-    doubles = quality.dedup_counts(lines, lines.dropDuplicates(), "transform", "lines", "duplicate_lines")
-    return facts.unionByName(doubles).unionByName(rejects).select("step", "metric", "value")
+    return _report(batch.indicator_plans(flights, absent, star.airports(spark, sf_dir)))
 
 
 def _land(spark, sf_dir, path: str) -> None:
@@ -1162,7 +1111,7 @@ def _land(spark, sf_dir, path: str) -> None:
     "landed_to_gold",
     f"""{_SILVER}
     , copies AS (SELECT DISTINCT * FROM silver)
-    , places AS (SELECT CAST(iata AS VARCHAR) AS iata, name, continent FROM airports WHERE continent <> 'ASIA')
+    , places AS (SELECT CAST(iata AS VARCHAR) AS iata, name, continent FROM airports)
     , carriers AS (SELECT name, CAST(icao AS VARCHAR) AS icao, country FROM airlines)
     {_report_sql("copies", "carriers", "places")}{_SHOW_REPORT}""",
     "airports",
@@ -1173,3 +1122,56 @@ def landed_to_gold(spark, sf_dir):
     """A whole run, from landed JSON to published indicators."""
     landing = _once(spark, sf_dir, "landing", lambda path: _land(spark, sf_dir, path))
     return _report(_published(_complete(batch.run(spark, landing, _fresh(spark, "run"), _RUN_TS))))
+
+
+@_register(
+    "run_metrics",
+    f"""{_SILVER}
+    , copies AS (SELECT DISTINCT * FROM silver)
+    , kinds AS (
+        SELECT CASE WHEN has_id IS NOT TRUE THEN 'no_id' WHEN has_airline IS NOT TRUE OR has_code IS NOT TRUE
+                    THEN 'no_airline_code' WHEN has_real IS NOT TRUE THEN 'no_real_times' END AS reason
+        FROM landed)
+    , facts AS (
+        SELECT count(*) AS flights,
+               count(*) FILTER (scheduled_arrival < scheduled_departure) AS negative_durations,
+               0 AS missing_durations,
+               count(*) FILTER (scheduled_arrival > scheduled_departure + INTERVAL 24 HOUR) AS unlikely_durations,
+               count(*) FILTER (airline_icao NOT IN (SELECT CAST(icao AS VARCHAR) FROM airlines))
+                   AS unmatched_airline_icao,
+               count(*) FILTER (origin_airport NOT IN (SELECT CAST(iata AS VARCHAR) FROM airports))
+                   AS unmatched_origin_airport,
+               count(*) FILTER (destination_airport NOT IN (SELECT CAST(iata AS VARCHAR) FROM airports))
+                   AS unmatched_destination_airport,
+               (SELECT count(*) FROM airlines) AS airlines, (SELECT count(*) FROM airports) AS airports,
+               (SELECT count(*) FROM silver) AS bronze_flights,
+               (SELECT count(*) FROM silver) - (SELECT count(*) FROM copies) AS duplicate_flights,
+               0 AS incomplete_airports, 0 AS duplicate_airports, 0 AS incomplete_airlines,
+               0 AS duplicate_airlines
+        FROM copies)
+    , arrived AS (
+        SELECT count(*) FILTER (has_id) - count(DISTINCT flight_id) FILTER (has_id) AS listing_copies,
+               count(*) - count(DISTINCT flight_id) AS details_versions,
+               count(DISTINCT flight_id) FILTER (NOT has_id) AS unlisted_details, 0 AS details_without_id
+        FROM landed)
+    SELECT 'transform' AS step, metric, value, CAST(NULL AS VARCHAR) AS detail
+    FROM (UNPIVOT facts ON COLUMNS(*) INTO NAME metric VALUE value)
+    UNION ALL
+    SELECT 'extract', metric, value, NULL FROM (UNPIVOT arrived ON COLUMNS(*) INTO NAME metric VALUE value)
+    UNION ALL
+    SELECT 'extract', 'rejects', count(*), 'flights/' || reason FROM kinds WHERE reason IS NOT NULL GROUP BY reason
+    UNION ALL
+    SELECT 'extract', 'landed_rows', n, name FROM (VALUES
+        ('listing', (SELECT count(*) FROM lineitem)), ('details', (SELECT count(*) FROM lineitem)),
+        ('raw_airports', (SELECT count(*) FROM airports)), ('raw_airlines', (SELECT count(*) FROM airlines)),
+        ('countries', (SELECT count(*) FROM nation))) AS landed_tables(name, n)""",
+    "airports",
+    "airlines",
+    "landed",
+)
+def run_metrics(spark, sf_dir):
+    """What a whole run counts, but for its times."""
+    landing = _once(spark, sf_dir, "landing", lambda path: _land(spark, sf_dir, path))
+    run = _complete(batch.run(spark, landing, _fresh(spark, "run"), _RUN_TS))
+    log = spark.read.schema(schemas.RUN_METRICS).parquet(run.path(zones.GOLD, "run_metrics"))
+    return log.filter(F.col("metric") != "milliseconds")

@@ -20,9 +20,21 @@ def flag(column: Column | str) -> Column:
     return _col(column).cast("int")
 
 
+# Epoch seconds of the first and the last second of the years 1 to 9999.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
+
+def in_calendar(epoch: Column | str) -> Column:
+    """Whether epoch seconds fall into the years 1 to 9999; null for null."""
+    return _col(epoch).between(FIRST_SECOND, LAST_SECOND)
+
+
 def moment(epoch: Column | str) -> Column:
-    """Epoch seconds as a point in time, independent of the session's time zone."""
-    return F.timestamp_seconds(_col(epoch))
+    """Epoch seconds as a point in time, independent of the session's time zone.
+
+    Null outside the years 1 to 9999, so that no number can stop a job.
+    """
+    return F.timestamp_seconds(F.when(in_calendar(epoch), _col(epoch)))
 
 
 def epoch(column: Column | str) -> Column:

@@ -3,7 +3,8 @@
 ``run_ts`` names the batch in every zone; no result depends on the clock. Each step hands over through
 written tables only, so a step can be repeated alone, and repeating it replaces its own hour.
 What fails is entered in the run log: an indicator does not stop the others, a step stops the next ones,
-which would work on an older state.
+which would work on an older state. A missing input is entered too: without flights the step fails before it
+overwrites anything, without a dimension the run goes on.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ class Run:
     run_ts: datetime
     log: list[tuple] = field(default_factory=list)
     failed: list[str] = field(default_factory=list)
+    missing: list[str] = field(default_factory=list)
 
     def path(self, zone: str, table: str) -> str:
         return zones.batch_path(zones.table_path(self.root, zone, table), self.run_ts)
@@ -42,6 +44,14 @@ class Run:
     def save(self, df: DataFrame, zone: str, table: str) -> None:
         zones.write_batch(df, zones.table_path(self.root, zone, table), self.run_ts)
 
+    def look_for(self, step: str, inputs: dict[str, str], needed: Sequence[str]) -> None:
+        """Enter inputs (name -> path) that aren't there in the run log; raise if a needed one isn't."""
+        absent = [name for name, path in inputs.items() if files.is_missing(self.spark, path)]
+        self.missing += absent
+        self.log += [(step, "missing_input", 1, name) for name in absent]
+        if lost := [name for name in absent if name in needed]:
+            raise FileNotFoundError(f"nothing at {', '.join(inputs[name] for name in lost)}")
+
     def attempt(self, step: str, work: Callable[[], None]) -> bool:
         """Do a step and say whether it worked. Its time, or its failure, goes to the run log."""
         start = time.perf_counter()
@@ -49,7 +59,7 @@ class Run:
             work()
         except Exception as error:
             self.failed.append(step)
-            self.log.append((step, "failed", 1, f"{type(error).__name__}: {error}"[:2000]))
+            self.log.append((step, "failed", 1, f"{type(error).__name__}: {error}"))
             return False
         self.log.append((step, "milliseconds", round(1000 * (time.perf_counter() - start)), None))
         return True
@@ -66,28 +76,35 @@ class Run:
 
 def _staged(run: Run, landing: str, name: str, schema) -> tuple[DataFrame, DataFrame]:
     """Parse a landed table once, into Parquet; give its sound records and its rejects from there."""
-    parsed = files.read_json_lines(run.spark, f"{landing.rstrip('/')}/{name}", schema)
+    parsed = files.read_json_lines(run.spark, _landed(landing, name), schema)
     run.save(parsed, zones.BRONZE, name)
     written = run.spark.read.schema(parsed.schema).parquet(run.path(zones.BRONZE, name))
     return files.split_corrupt(written, name)
 
 
-def extract(run: Run, landing: str, cap: int | None = None) -> None:
+LANDED = {
+    "listing": schemas.LISTING,
+    "details": schemas.DETAILS,
+    "raw_airports": schemas.RAW_AIRPORTS,
+    "raw_airlines": schemas.RAW_AIRLINES,
+    "countries": schemas.COUNTRIES,
+}
+
+
+def _landed(landing: str, name: str) -> str:
+    return f"{landing.rstrip('/')}/{name}"
+
+
+def extract(run: Run, landing: str) -> None:
     """Landed JSON Lines to bronze. Flights are shaped once and written split by outcome."""
-    tables = {
-        "listing": schemas.LISTING,
-        "details": schemas.DETAILS,
-        "raw_airports": schemas.RAW_AIRPORTS,
-        "raw_airlines": schemas.RAW_AIRLINES,
-        "countries": schemas.COUNTRIES,
-    }
-    staged = run.together(*[partial(_staged, run, landing, *table) for table in tables.items()])
+    run.look_for("extract", {name: _landed(landing, name) for name in LANDED}, ("listing", "details"))
+    staged = run.together(*[partial(_staged, run, landing, *table) for table in LANDED.items()])
     (listing, details, raw_airports, raw_airlines, countries), broken = zip(*staged)
     countries = one_per_key(countries, "country")
 
     _write_bronze(
         run,
-        bronze.shape_flights(listing, details, cap),
+        bronze.shape_flights(listing, details),
         bronze.with_continent(raw_airports, countries),
         bronze.airline_records(raw_airlines),
         [*broken, bronze.airport_rejects(raw_airports, countries)],
@@ -96,6 +113,7 @@ def extract(run: Run, landing: str, cap: int | None = None) -> None:
 
 def adopt(run: Run, flights: str, airports: str, airlines: str) -> None:
     """Existing files to bronze: arrays of shaped flight records, and wrapped airports and airlines."""
+    run.look_for("extract", {"flights": flights, "airports": airports, "airlines": airlines}, ("flights",))
     read = lambda path, schema, name: files.split_corrupt(
         files.read_json_array(run.spark, path, schema), name
     )
@@ -104,7 +122,7 @@ def adopt(run: Run, flights: str, airports: str, airlines: str) -> None:
     wrapped_airlines, bad_airlines = read(airlines, schemas.BRONZE_AIRLINES, "airlines")
     _write_bronze(
         run,
-        records.withColumn("outcome", F.lit("good")),
+        bronze.verdict(records),
         files.unwrap(wrapped_airports, "airports"),
         files.unwrap(wrapped_airlines, "airlines"),
         [bad_flights, bad_airports, bad_airlines],
@@ -119,27 +137,31 @@ def _write_bronze(
         flights.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("outcome")
     )
     run.together(
-        partial(by_outcome.json, run.path(zones.BRONZE, "flights")),
-        partial(files.write_json, airports, run.path(zones.BRONZE, "airports")),
-        partial(files.write_json, airlines, run.path(zones.BRONZE, "airlines")),
+        partial(by_outcome.parquet, run.path(zones.BRONZE, "flights")),
+        partial(run.save, airports, zones.BRONZE, "airports"),
+        partial(run.save, airlines, zones.BRONZE, "airlines"),
         partial(run.save, reduce(DataFrame.unionByName, rejects), zones.BRONZE, "rejects"),
     )
 
 
-def _bronze_flights(run: Run, outcome: str, schema) -> DataFrame:
-    path = f"{run.path(zones.BRONZE, 'flights')}/outcome={outcome}"
-    return files.or_empty(run.spark, schema, lambda: run.spark.read.schema(schema).json(path))
+def _bronze_flights(run: Run, outcome: str) -> DataFrame:
+    """The records of one outcome; only that outcome's files are opened."""
+    read = run.spark.read.schema(schemas.JUDGED_FLIGHT).parquet(run.path(zones.BRONZE, "flights"))
+    return read.filter(F.col("outcome") == outcome).drop("outcome")
+
+
+def _bronze(run: Run, table: str, schema) -> DataFrame:
+    return files.read_parquet(run.spark, run.path(zones.BRONZE, table), schema)
 
 
 def transform(run: Run) -> None:
     """Bronze to silver."""
-    json = lambda table, schema: files.or_empty(
-        run.spark, schema, lambda: run.spark.read.schema(schema).json(run.path(zones.BRONZE, table))
-    )
+    inputs = {f"bronze_{name}": run.path(zones.BRONZE, name) for name in ("flights", "airports", "airlines")}
+    run.look_for("transform", inputs, ("bronze_flights",))
     tables = {
-        "flights": silver.flights(_bronze_flights(run, "good", schemas.BRONZE_FLIGHT)),
-        "airports": silver.airports(json("airports", schemas.SILVER_AIRPORTS)),
-        "airlines": silver.airlines(json("airlines", schemas.SILVER_AIRLINES)),
+        "flights": silver.flights(_bronze_flights(run, "good").drop("reason")),
+        "airports": silver.airports(_bronze(run, "airports", schemas.SILVER_AIRPORTS)),
+        "airlines": silver.airlines(_bronze(run, "airlines", schemas.SILVER_AIRLINES)),
     }
     run.together(*[partial(run.save, df, zones.SILVER, name) for name, df in tables.items()])
 
@@ -186,6 +208,8 @@ def publish(run: Run, flights: DataFrame, airlines: DataFrame, airports: DataFra
 
 def analyse(run: Run) -> None:
     """Silver to gold."""
+    inputs = {f"silver_{name}": run.path(zones.SILVER, name) for name in ("flights", "airports", "airlines")}
+    run.look_for("analyse", inputs, ("silver_flights",))
     publish(
         run,
         run.silver("flights", schemas.SILVER_FLIGHTS),
@@ -195,24 +219,38 @@ def analyse(run: Run) -> None:
 
 
 def measure(run: Run) -> None:
-    """Count what the run produced and write the run log."""
+    """Count what came in, what went out and what became of the rest, and write the run log."""
     flights = run.silver("flights", schemas.SILVER_FLIGHTS)
     airlines = run.silver("airlines", schemas.SILVER_AIRLINES)
     airports = run.silver("airports", schemas.SILVER_AIRPORTS)
-    # One record per line, so counting needs no parsing.
-    good = files.or_empty(
-        run.spark, schemas.LINES, lambda: run.spark.read.text(f"{run.path(zones.BRONZE, 'flights')}/outcome=good")
-    )
-    refused = _bronze_flights(run, "reject", schemas.REFUSED_FLIGHT)
-    broken = files.read_parquet(run.spark, run.path(zones.BRONZE, "rejects"), schemas.REJECTS)
-    facts = [
-        quality.dedup_counts(good, flights, "transform", "bronze_flights", "duplicate_flights"),
-        quality.reject_counts(refused.withColumn("source", F.lit("flights")), "extract"),
-        quality.reject_counts(broken, "extract"),
+    facts = []
+    if not files.is_missing(run.spark, run.path(zones.BRONZE, "flights")):
+        facts += [
+            quality.dedup_counts(
+                _bronze_flights(run, "good"), flights, "transform", "bronze_flights", "duplicate_flights"
+            ),
+            quality.reject_counts(_bronze_flights(run, "reject").withColumn("source", F.lit("flights")), "extract"),
+        ]
+    facts += [
+        quality.reject_counts(_bronze(run, "rejects", schemas.REJECTS), "extract"),
         quality.row_count(airlines, "transform", "airlines"),
         quality.row_count(airports, "transform", "airports"),
         quality.flight_counts(flights, airlines, airports, "transform"),
     ]
+    for table, schema, key in (
+        ("airports", schemas.SILVER_AIRPORTS, "iata"), ("airlines", schemas.SILVER_AIRLINES, "icao"),
+    ):
+        facts.append(quality.dimension_counts(_bronze(run, table, schema), schema.fieldNames(), key, table))
+    # What landed, where this run or an earlier one of the hour began with landed files.
+    staged = {
+        name: run.spark.read.schema(schemas.with_corrupt(schema)).parquet(run.path(zones.BRONZE, name))
+        for name, schema in LANDED.items()
+        if not files.is_missing(run.spark, run.path(zones.BRONZE, name))
+    }
+    facts += [quality.landed_rows(df, name) for name, df in staged.items()]
+    if {"listing", "details"} <= set(staged):
+        listing, details = (files.split_corrupt(staged[name], name)[0] for name in ("listing", "details"))
+        facts.append(quality.listing_counts(listing, details))
     log = run.spark.createDataFrame(run.log, schemas.RUN_METRICS)
     run.save(reduce(DataFrame.unionByName, [*facts, log]), zones.GOLD, "run_metrics")
 
@@ -225,7 +263,6 @@ def run(
     landing: str | None,
     root: str,
     run_ts: datetime,
-    cap: int | None = None,
     steps: Sequence[str] = STEPS,
     existing: tuple[str, str, str] | None = None,
 ) -> Run:
@@ -237,7 +274,7 @@ def run(
     """
     batch = Run(spark, root, run_ts)
     work = {
-        "extract": lambda: adopt(batch, *existing) if existing else extract(batch, str(landing), cap),
+        "extract": lambda: adopt(batch, *existing) if existing else extract(batch, str(landing)),
         "transform": lambda: transform(batch),
         "analyse": lambda: analyse(batch),
         "measure": lambda: measure(batch),

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skytally.operators.aggregates import newest_by
+from skytally.functions.scalars import in_calendar
+from skytally.operators.aggregates import newest_by, one_per_key
 from skytally.operators.joins import unmatched
 from skytally.schemas import BRONZE_FLIGHT, CORRUPT
 
@@ -15,14 +19,14 @@ def with_id(listing: DataFrame) -> DataFrame:
     return listing.filter(F.col("id").isNotNull())
 
 
-def with_details(listing: DataFrame, details: DataFrame) -> DataFrame:
+def with_details(listing: DataFrame, details: DataFrame, how: str = "inner") -> DataFrame:
     """Listed flights with their details, matched on the flight id."""
     ends = listing.select(
         "id",
         F.col("origin_airport_iata").alias("origin_airport"),
         F.col("destination_airport_iata").alias("destination_airport"),
     )
-    return ends.join(details, "id")
+    return ends.join(details, "id", how)
 
 
 def without_images(flights: DataFrame) -> DataFrame:
@@ -35,6 +39,7 @@ def has_airline_code() -> Column:
 
 
 def has_real_times() -> Column:
+    """The object is there, even if it is empty: an absent arrival means the same as a null one."""
     return F.col("time.real").isNotNull()
 
 
@@ -48,36 +53,68 @@ def with_icao(flights: DataFrame) -> DataFrame:
     return flights.withColumn("icao", F.col("airline.code.icao"))
 
 
-def capped(flights: DataFrame, n: int | None, *order: str) -> DataFrame:
-    """The first n records in a fixed order; all of them where no cap is asked for."""
-    return flights if n is None else flights.orderBy(*order).limit(n)
+# The record's points in time, in epoch seconds.
+TIMES = [f"time.{kind}.{end}" for kind in ("estimated", "real", "scheduled") for end in ("arrival", "departure")]
+
+
+def has_sound_times() -> Column:
+    """No time of the record lies outside the years 1 to 9999."""
+    return reduce(and_, [F.coalesce(in_calendar(time), F.lit(True)) for time in TIMES])
 
 
 def _reason() -> Column:
-    return F.when(~has_airline_code(), "no_airline_code").when(~has_real_times(), "no_real_times")
+    return (
+        F.when(~has_airline_code(), "no_airline_code")
+        .when(~has_real_times(), "no_real_times")
+        .when(~has_sound_times(), "bad_epoch")
+    )
+
 
+def verdict(flights: DataFrame, reason: Column | None = None) -> DataFrame:
+    """Mark flight records: ``outcome`` good or reject, with the reason of a reject.
 
-def verdict(flights: DataFrame) -> DataFrame:
-    """Mark flight records: ``outcome`` good or reject, with the reason of a reject."""
-    reason = _reason()
+    A ``reason`` that is known already comes before those found in the record.
+    """
+    found = _reason() if reason is None else F.coalesce(reason, _reason())
     if CORRUPT in flights.columns:
-        reason = F.when(F.col(CORRUPT).isNotNull(), "corrupt").otherwise(reason)
+        found = F.when(F.col(CORRUPT).isNotNull(), "corrupt").otherwise(found)
     outcome = F.when(F.col("reason").isNull(), "good").otherwise("reject")
-    return flights.withColumn("reason", reason).withColumn("outcome", outcome)
+    return flights.withColumn("reason", found).withColumn("outcome", outcome)
 
 
-def shape_flights(listing: DataFrame, details: DataFrame, cap: int | None = None) -> DataFrame:
-    """Bronze flight records, each marked with its outcome and, where refused, the reason.
+def one_route_each(listing: DataFrame) -> DataFrame:
+    """One listing entry per id. Of several routes of an id the first by code counts.
 
-    Exact copies of a listing entry count once, and details fetched more than once for a flight in their
-    newest version; so no flight id is hot when the two sides meet. With a cap, only that many sound
-    records are kept, the first by flight id.
+    Entries of an id combine inside the map tasks, so an id listed many times reaches the shuffle as a few rows.
     """
+    return one_per_key(listing.select("id", "origin_airport_iata", "destination_airport_iata"), "id")
+
+
+def newest_details(details: DataFrame) -> DataFrame:
+    """One record per flight id, the newest version; versions combine inside the map tasks as well."""
     versions = details.withColumn("updated", F.col("time.other.updated"))
-    newest = newest_by(versions, "id", "updated").drop("updated")
-    marked = verdict(with_details(with_id(listing).dropDuplicates(), newest))
-    if cap is not None:
-        marked = capped(marked.filter(F.col("reason").isNull()), cap, "id")
+    return newest_by(versions.filter(F.col("id").isNotNull()), "id", "updated").drop("updated")
+
+
+def shape_flights(listing: DataFrame, details: DataFrame) -> DataFrame:
+    """Bronze flight records, each marked with its outcome and, where refused, the reason.
+
+    Every listing entry leaves a row, but for further entries of the same id: entries without id (``no_id``)
+    and without details (``no_details``) are rejects that hold the two airports. Both sides are one row per id when
+    they meet, so no flight id is hot in the join.
+    """
+    listed = one_route_each(with_id(listing))
+    known = newest_details(details).withColumn("has_details", F.lit(True))
+    met = with_details(listed, known, "left")
+    nameless = listing.filter(F.col("id").isNull()).select(
+        F.col("origin_airport_iata").alias("origin_airport"),
+        F.col("destination_airport_iata").alias("destination_airport"),
+        F.lit("no_id").alias("known_reason"),
+    )
+    every = met.withColumn("known_reason", F.when(F.col("has_details").isNull(), "no_details")).unionByName(
+        nameless, allowMissingColumns=True
+    )
+    marked = verdict(every, F.col("known_reason"))
     return with_flying(with_icao(marked)).select(*[f.name for f in BRONZE_FLIGHT.fields], "reason", "outcome")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Settings that change results or the handling of hot keys. All can be set on a live session.
@@ -32,6 +34,7 @@ def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="skytally-"))
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

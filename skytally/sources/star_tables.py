@@ -109,12 +109,10 @@ def raw_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Countries with their continent. One region is left out, so that some airports do not match."""
+    """Countries with their continent."""
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return (
-        nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .filter(F.col("r_name") != "ASIA")
-        .select(F.col("n_name").alias("country"), F.col("r_name").alias("continent"))
+    return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_name").alias("country"), F.col("r_name").alias("continent")
     )
 
 
@@ -144,13 +142,13 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.struct(F.col("s_nationkey").cast("string").alias("iata"), F.col("l_suppkey").cast("string").alias("icao"))
     airline = F.struct(
         F.col("s_name").alias("name"),
-        F.substring("s_name", 1, 8).alias("short"),
+        F.reverse("s_name").alias("short"),
         F.lower("s_name").alias("url"),
         F.when(F.col("l_tax") != 0, code).alias("code"),
     )
     aircraft = F.struct(
         F.col("p_size").cast("string").alias("age"),
-        F.col("p_size").cast("bigint").alias("countryId"),
+        (F.col("p_size") + 1000).cast("bigint").alias("countryId"),
         F.hex("p_partkey").alias("hex"),
         F.col("p_brand").alias("msn"),
         F.col("p_partkey").cast("string").alias("registration"),
@@ -160,13 +158,17 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
     scheduled = F.struct(departure.alias("departure"), arrival.alias("arrival"))
     in_air = F.col("l_linestatus") == "O"
     real = F.struct(departure.alias("departure"), F.when(~in_air, arrival).alias("arrival"))
-    nothing = F.lit(None).cast("struct<delay: string, flighttime: string>")
+    estimated = F.struct((departure + 60).alias("departure"), (arrival + 120).alias("arrival"))
+    past = F.struct(
+        F.col("l_linenumber").cast("string").alias("delay"),
+        F.col("l_quantity").cast("bigint").cast("string").alias("flighttime"),
+    )
     time = F.struct(
         F.when(F.col("o_orderstatus") != "P", real).alias("real"),
         scheduled.alias("scheduled"),
-        scheduled.alias("estimated"),
-        nothing.alias("historical"),
-        F.struct(arrival.alias("eta"), departure.alias("updated")).alias("other"),
+        estimated.alias("estimated"),
+        F.when(F.col("l_linenumber") > 1, past).alias("historical"),
+        F.struct((arrival + 7).alias("eta"), (departure + 3).alias("updated")).alias("other"),
     )
     return _joined(spark, sf_dir, {"orders", "supplier", "part"}).select(
         _flight_id().alias("id"),

@@ -5,6 +5,7 @@ from datetime import datetime
 
 
 from skytally import schemas
+from skytally.__main__ import main
 from skytally.plans import batch, indicators
 from skytally.sources import files, zones
 
@@ -118,17 +119,83 @@ def test_rejects_of_an_earlier_run_go(spark, tmp_path):
 def test_missing_airlines_leave_the_other_indicators(spark, tmp_path, rows):
     root = str(tmp_path / "zones")
     landing = snapshot(tmp_path / "landing", DETAILS, airlines=False)
-    assert batch.run(spark, landing, root, SIX).failed == []
+    run = batch.run(spark, landing, root, SIX)
+    assert (run.failed, run.missing) == ([], ["raw_airlines"])
     assert rows(gold(spark, root, "top_airline")) == [("Air AAA", 2)]
     assert gold(spark, root, "top_models").count() == 0
+    assert metrics(spark, root)["missing_input", "raw_airlines"] == 1
     assert metrics(spark, root)["unmatched_airline_icao"] == 4
 
 
-def test_nothing_landed(spark, tmp_path):
+def test_nothing_landed(spark, tmp_path, rows):
+    """A mistyped landing folder leaves the hour's results as they were, and shows."""
+    root = str(tmp_path / "zones")
+    batch.run(spark, snapshot(tmp_path / "landing", DETAILS), root, SIX)
+    before = {name: rows(gold(spark, root, name)) for name in schemas.GOLD}
+    status = main(["--root", root, "--run-ts", "2024-03-05T06", "--landing", str(tmp_path / "nowhere")])
+    assert status == 1
+    assert {name: rows(gold(spark, root, name)) for name in schemas.GOLD} == before
+    log = gold(spark, root, "run_metrics")
+    assert rows(log.filter("metric = 'missing_input'"), "detail") == [
+        (n,) for n in ("countries", "details", "listing", "raw_airlines", "raw_airports")
+    ]
+    assert rows(log.filter("metric = 'failed'"), "step") == [("extract",)]
+
+
+def test_steps_without_their_input_fail(spark, tmp_path):
+    for step in ("transform", "analyse"):
+        run = batch.run(spark, None, str(tmp_path / step), SIX, steps=[step])
+        assert run.failed == [step] and len(run.missing) == 3
+
+
+def test_a_failure_is_logged_whole(spark, tmp_path):
+    run = batch.Run(spark, str(tmp_path), SIX)
+
+    def fail():
+        raise ValueError("x" * 5000)
+
+    assert not run.attempt("step", fail)
+    assert run.log[0][3] == "ValueError: " + "x" * 5000
+
+
+def test_absurd_times_are_rejects(spark, tmp_path, rows):
+    absurd = [
+        flight(f"t{epoch}", arrival=None) | {"time": {"real": {"departure": 1709618400}, "scheduled": {"arrival": epoch}}}
+        for epoch in (10**13, 17 * 10**17, -(10**18))
+    ]
+    root = str(tmp_path / "zones")
+    run = batch.run(spark, snapshot(tmp_path / "landing", [*DETAILS, *absurd]), root, SIX)
+    assert run.failed == []
+    assert rows(gold(spark, root, "longest_flight"), "duration_hours") == [(1.0,)] * 3
+    assert metrics(spark, root)["rejects", "flights/bad_epoch"] == 3
+
+
+def test_every_listing_row_is_accounted_for(spark, tmp_path):
+    landing = tmp_path / "landing"
+    snapshot(landing, [*DETAILS, flight("unlisted")])
+    listed = [{"id": i, "origin_airport_iata": o} for i, o in
+              [("1", "CDG"), ("1", "CDG"), ("1", "LHR"), ("2", "CDG"), ("3", "CDG"), ("4", "CDG"), ("5", "CDG"), ("6", "CDG"),
+               ("nowhere", "CDG"), (None, "CDG"), (None, "CDG")]]
+    (landing / "listing" / "part.json").write_text("\n".join([*map(json.dumps, listed), '{"id": "9', ""]))
+    root = str(tmp_path / "zones")
+    assert batch.run(spark, str(landing), root, SIX).failed == []
+    counted = metrics(spark, root)
+    refused = sum(n for key, n in counted.items() if key[0] == "rejects" and (key[1].startswith("flights/") or key[1] == "listing/corrupt"))
+    assert counted["landed_rows", "listing"] == 12 == counted["bronze_flights"] + refused + counted["listing_copies"]
+    assert (counted["rejects", "flights/no_details"], counted["rejects", "flights/no_id"]) == (1, 2)
+    assert (counted["listing_copies"], counted["unlisted_details"], counted["details_versions"]) == (2, 1, 1)
+    assert counted["landed_rows", "details"] == len(DETAILS) + 1
+
+
+def test_removed_dimension_rows_are_counted(spark, tmp_path):
+    landing = tmp_path / "landing"
+    snapshot(landing, DETAILS)
+    airlines = [{"name": n, "icao": "AAA", "country": c} for n, c in (("Air AAA", "France"), ("Other", "Spain"), ("None", ""))]
+    (landing / "raw_airlines" / "part.json").write_text("\n".join(map(json.dumps, airlines)))
     root = str(tmp_path / "zones")
-    assert batch.run(spark, str(tmp_path / "nowhere"), root, SIX).failed == []
-    assert gold(spark, root, "top_airline").count() == 0
-    assert metrics(spark, root)["bronze_flights"] == 0
+    batch.run(spark, str(landing), root, SIX)
+    counted = metrics(spark, root)
+    assert (counted["airlines"], counted["duplicate_airlines"], counted["incomplete_airlines"]) == (1, 1, 1)
 
 
 def test_one_failing_indicator_does_not_stop_the_others(spark, tmp_path, rows, monkeypatch):
@@ -163,12 +230,6 @@ def test_each_indicator_has_a_path_of_its_own(spark, tmp_path):
     assert set(names) == set(schemas.GOLD)
 
 
-def test_a_cap_limits_the_flights(spark, tmp_path):
-    root = str(tmp_path / "zones")
-    batch.run(spark, snapshot(tmp_path / "landing", DETAILS), root, SIX, cap=2)
-    assert metrics(spark, root)["bronze_flights"] == 2
-
-
 def test_rows_in_are_rows_out_plus_rejects(spark, tmp_path):
     landing = snapshot(tmp_path / "landing", DETAILS, texts=["{", "[]", "null"])
     parsed = files.read_json_lines(spark, f"{landing}/details", schemas.DETAILS)
@@ -178,14 +239,17 @@ def test_rows_in_are_rows_out_plus_rejects(spark, tmp_path):
 
 def test_existing_files_are_taken_over(spark, tmp_path, rows):
     """Arrays of shaped records and wrapped dimensions, as a run of the command line."""
-    from skytally.__main__ import main
-
     record = flight("1") | {"icao": "AAA", "origin_airport": "CDG", "destination_airport": "LHR", "flying": True}
     folder = tmp_path / "day"
     folder.mkdir()
     (folder / "flights1.json").write_text(json.dumps([record, record], indent=4))
     (folder / "flights2.json").write_text(json.dumps([record | {"flying": False}]))
-    (folder / "flights3.json").write_text('[{"icao": "AAA", "air')
+    cut = '[{"icao": "AAA", "air'
+    (folder / "flights3.json").write_text(cut)
+    # One misfit among the elements of a file is one reject; so is one without an airline.
+    misfit = record | {"aircraft": {"countryId": "N/A"}}
+    late = record | {"time": {"real": {"departure": 10**13}}}
+    (folder / "flights4.json").write_text(json.dumps([misfit, record | {"airline": None}, late]))
     (tmp_path / "airports.json").write_text(json.dumps({"airports": [
         {"name": n, "iata": n, "continent": "Europe"} for n in ("CDG", "LHR")]}))
     (tmp_path / "airlines.json").write_text(json.dumps({"airlines": [{"name": "A", "icao": "AAA", "country": "France"}]}))
@@ -198,7 +262,10 @@ def test_existing_files_are_taken_over(spark, tmp_path, rows):
     assert rows(gold(spark, root, "regional_all")) == [("Europe", "Air AAA", 2)]
     assert rows(gold(spark, root, "top_models")) == [("France", "Airbus A320", 2, 1)]
     counted = metrics(spark, root)
-    assert counted["rejects", "flights/corrupt"] == 1
+    assert counted["rejects", "flights/corrupt"] == 2
+    assert (counted["rejects", "flights/no_airline_code"], counted["rejects", "flights/bad_epoch"]) == (1, 1)
+    broken = spark.read.parquet(zones.batch_path(zones.table_path(root, zones.BRONZE, "rejects"), SIX))
+    assert cut in {r.record for r in broken.collect()}
     assert (counted["bronze_flights"], counted["duplicate_flights"]) == (3, 1)
 
 

@@ -5,10 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from skytally import schemas
 from skytally.catalog import QUERIES
 from skytally.operators import aggregates, joins, ranking
-from skytally.plans import indicators
+from skytally.plans import batch, bronze, indicators, silver
 from skytally.sources import star_tables as star
+from tests.test_batch import DETAILS, SIX, snapshot
 
 
 def plan(df):
@@ -21,7 +23,7 @@ def final_plan(df):
 
 
 # Runs whose plan is that of the written result.
-WRITTEN = {"gold_publish", "landed_to_gold", "zone_partition_write"}
+WRITTEN = {"gold_publish", "landed_to_gold", "run_metrics", "zone_partition_write"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITTEN))
@@ -129,7 +131,7 @@ def test_newest_and_unique(spark, rows):
     assert rows(aggregates.one_per_key(df, "k"), "k", "v") == [("j", None), ("k", 1)]
 
 
-@pytest.mark.parametrize("name", ["q1_top_airline", "q2_regional_all", "q5_top_maker", "q6_top_models", "rank_top3", "bronze_batch_cap"])
+@pytest.mark.parametrize("name", ["q1_top_airline", "q2_regional_all", "q5_top_maker", "q6_top_models", "rank_top3", "bronze_detail_join"])
 def test_results_do_not_depend_on_partitioning(name, spark, sf_dir, rows):
     results = []
     for partitions in ("1", "200"):
@@ -139,6 +141,39 @@ def test_results_do_not_depend_on_partitioning(name, spark, sf_dir, rows):
     assert results[0] == results[1]
 
 
+def test_a_hot_flight_id_is_few_rows_in_the_join(spark, small_joins_shuffled):
+    """One id listed 100,000 times on different routes, and with as many versions of its details."""
+    n = F.col("id").cast("string")
+    hot = spark.range(0, 150_000, 1, 8).select(
+        F.when(F.col("id") < 100_000, "HOT").otherwise(n).alias("id"), n.alias("origin_airport_iata"), n.alias("destination_airport_iata")
+    )
+    details = hot.select("id").withColumn("airline", F.lit(None).cast(schemas.DETAILS["airline"].dataType)).withColumn(
+        "aircraft", F.lit(None).cast(schemas.DETAILS["aircraft"].dataType)
+    ).withColumn("time", F.lit(None).cast(schemas.DETAILS["time"].dataType))
+    shaped = bronze.shape_flights(hot, details)
+    assert shaped.count() == 50_001
+    text = plan(shaped)
+    assert len(re.findall(r"Exchange hashpartitioning\(id#", text)) == 2
+
+
+def test_transform_reads_no_json(spark, tmp_path):
+    run = batch.Run(spark, str(tmp_path), SIX)
+    landing = snapshot(tmp_path / "landing", DETAILS)
+    batch.extract(run, landing)
+    text = plan(silver.flights(batch._bronze_flights(run, "good")))
+    assert "Format: Parquet" in text and "Format: JSON" not in text
+    assert not re.search(r"Python|BroadcastNestedLoopJoin|CartesianProduct", text)
+    assert "PartitionFilters: [isnotnull(outcome" in text
+
+
+def test_gold_plans(spark, sf_dir):
+    plans = batch.indicator_plans(star.flights(spark, sf_dir), star.airlines(spark, sf_dir), star.airports(spark, sf_dir))
+    for df in plans.values():
+        text = plan(df)
+        assert not re.search(r"Python|BroadcastNestedLoopJoin|CartesianProduct", text)
+        assert not re.search(r"Sort [^\n]*\n[^\n]*Exchange SinglePartition", text)
+
+
 def test_star_keys_are_unique_and_resolve(spark, sf_dir):
     """What the view of line items as flights rests on."""
     for name, (_, _, key) in star._JOINS.items():

@@ -131,7 +131,8 @@ class Settings:
     """A session as far as the work folder looks at it."""
 
     def __init__(self, **settings):
-        self.conf = SimpleNamespace(get=lambda key, default: settings.get(key.rsplit(".", 1)[-1], default))
+        short = {"spark.checkpoint.dir": settings.get("dir")} | settings
+        self.conf = SimpleNamespace(get=lambda key, default=None: short.get(key, default))
         self.sparkContext = SimpleNamespace(applicationId=str(settings))
 
 
@@ -140,11 +141,8 @@ def test_work_folder_is_the_one_the_cluster_names():
     assert workspace.shared_folder(Settings(dir="/shared", master="local[4]")) == "/shared"
 
 
-def test_a_folder_of_this_machine_serves_only_a_local_session():
-    local = Settings(master="local[4]")
-    assert workspace.shared_folder(local) == workspace.shared_folder(local)
-    with pytest.raises(ValueError):
-        workspace.shared_folder(Settings(master="yarn"))
+def test_without_one_the_warehouse_serves():
+    assert workspace.shared_folder(Settings(**{"spark.sql.warehouse.dir": "hdfs://house"})) == "hdfs://house"
 
 
 def test_work_folders_are_fresh(spark):
