@@ -129,18 +129,25 @@ def signatures(docs: DataFrame, id_column: str, text: str, rows: int, bands: int
     return known.filter("id is not null").mapInArrow(run, _SIGNATURES)
 
 
+def _members(column: pa.Array, bits: int) -> np.ndarray:
+    """The different runs of each text in order: the row in the upper ``bits``, the run's key below."""
+    row, key = run_sets(words(column))
+    packed = (row.astype(np.uint64) << np.uint64(64 - bits)) | (key >> np.uint64(bits))
+    packed.sort()
+    return packed[np.concatenate(([True], packed[1:] != packed[:-1]))] if len(packed) else packed
+
+
 def jaccard(left: pa.Array, right: pa.Array) -> np.ndarray:
     """Similarity of the sets of runs of two texts, row by row."""
-    sides = []
-    for column in (left, right):
-        row, key = run_sets(words(column))
-        both = np.empty(len(row), [("row", np.int64), ("key", np.uint64)])
-        both["row"], both["key"] = row, key
-        sides.append(np.unique(both))
-    shared = np.intersect1d(*sides, assume_unique=True)
     size = len(left)
-    common, a, b = (np.bincount(x["row"], minlength=size) for x in (shared, *sides))
-    return common / np.maximum(1, a + b - common)
+    bits = max(1, size.bit_length())
+    a, b = _members(left, bits), _members(right, bits)
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    shared = both[1:][both[1:] == both[:-1]]
+    count = lambda packed: np.bincount((packed >> np.uint64(64 - bits)).astype(np.int64), minlength=size)
+    common = count(shared)
+    return common / np.maximum(1, count(a) + count(b) - common)
 
 
 _PAIRS = T.StructType(
