@@ -156,9 +156,9 @@ def _neighbours(classes: np.ndarray):
 def neighbours(encoded: DataFrame, classes: np.ndarray) -> np.ndarray:
     """symbols x side x classes; its size is bounded by the number of symbols."""
     counted = encoded.mapInArrow(_neighbours(classes), _NEIGHBOURS).groupBy("cell").agg(F.sum("n").alias("n"))
-    cells = counted.toPandas()
+    cells = counted.toArrow()
     table = np.zeros(len(classes) * 2 * CLASSES)
-    table[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(np.float64)
+    table[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     return table.reshape(len(classes), 2, CLASSES)
 
 
@@ -222,10 +222,10 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     counts = stored(counted.groupBy("word").agg(F.first("ending").alias("ending"), F.sum("n").alias("n")), "words")
     total, different = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     # At most 1 / COUNT_SHARE rows: their shares can't sum to more than one.
-    common = counts.filter((F.col("n") >= total * COUNT_SHARE) & (F.col("ending") < ENDINGS)).toPandas()
-    key = common["word"].to_numpy(np.int64).view(np.uint64)
+    common = counts.filter((F.col("n") >= total * COUNT_SHARE) & (F.col("ending") < ENDINGS)).toArrow()
+    key = common["word"].to_numpy().view(np.uint64)
     order = np.argsort(key)
-    n = common["n"].to_numpy(np.int64)[order]
+    n = common["n"].to_numpy()[order]
     named = n >= total * CLASS_SHARE
     symbol = np.where(named, np.cumsum(named) - 1, -1).astype(np.int32)
     symbols = Symbols(key[order], n, symbol)
@@ -255,9 +255,9 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     frequency = (tokens + 1) / (tokens.sum() + CLASSES)
     transition = np.log10((follow + PRIOR * frequency) / (follow.sum(axis=1, keepdims=True) + PRIOR))
     rare = counts.filter((F.col("n") < total * CLASS_SHARE) & (F.col("ending") < ENDINGS))
-    rare = rare.groupBy("ending").agg(F.count("*").alias("n")).toPandas()
+    rare = rare.groupBy("ending").agg(F.count("*").alias("n")).toArrow()
     members = np.bincount(classes[: symbols.own], minlength=CLASSES).astype(np.float64)
-    members += np.bincount(classes[symbols.own + rare["ending"].to_numpy(np.int64)], rare["n"].to_numpy(), CLASSES)
+    members += np.bincount(classes[symbols.own + rare["ending"].to_numpy().astype(np.int64)], rare["n"].to_numpy(), CLASSES)
     members[CLASSES - 1] += 1
     # A class without words in training holds an unknown word only.
     within = np.log10(np.maximum(tokens, 1))

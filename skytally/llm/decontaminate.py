@@ -202,7 +202,7 @@ def find_leaks(
     parts = []
     for block in range(blocks):
         own = every.filter(F.pmod(F.xxhash64("run"), F.lit(blocks)) == block).select("run").distinct()
-        keys = own.toPandas()["run"].to_numpy(np.int64).view(np.uint64)
+        keys = own.toArrow()["run"].to_numpy().view(np.uint64)
         parts.append(rows.mapInArrow(_passages(_Runs(keys), total[1]), _PASSAGES))
     none = docs.sparkSession.createDataFrame([], _PASSAGES)
     passages = stored(reduce(DataFrame.union, parts, none), "passages")
