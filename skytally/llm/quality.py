@@ -27,9 +27,12 @@ from pyspark.sql import types as T
 from skytally.llm.words import flat
 
 #: Labelled rows of each class that training sees at most.
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 2000
 #: Chunks of one of those rows that training sees at most.
 SAMPLE_CHUNKS = 12
+#: Chunks of one row that a training step takes.
+STEP_CHUNKS = 6
+STEPS = 2400
 #: A score from here on predicts a good text.
 THRESHOLD = 0.7
 
@@ -102,10 +105,13 @@ class Network:
             np.maximum(best, top, out=best)
         return np.maximum(best + self.bias, 0), place
 
-    def pooled(self, answers: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Mean and maximum over the chunks of each document; ``first`` has each document's first chunk."""
-        count = np.diff(np.append(first, len(answers)))[:, None]
-        return np.hstack((np.add.reduceat(answers, first) / count, np.maximum.reduceat(answers, first)))
+    def pooled(self, answers: np.ndarray, first: np.ndarray, share: np.ndarray) -> np.ndarray:
+        """Mean and maximum over the chunks of each document; ``first`` has each document's first chunk.
+
+        In the mean a chunk counts by its ``share`` of the document, so a short last one hardly counts.
+        """
+        mean = np.add.reduceat(answers * share[:, None], first)
+        return np.hstack((mean, np.maximum.reduceat(answers, first)))
 
     def probability(self, pooled: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(pooled @ self.weights + self.offset[0], -30, 30)))
@@ -116,24 +122,27 @@ class Network:
         data, offsets = flat(column)
         row, start = chunk_starts(offsets[:-1], offsets[1:])
         answers = np.empty((len(row), FILTERS), np.float32)
+        size = np.empty(len(row))
         for at in range(0, len(row), _BLOCK):
             part = slice(at, at + _BLOCK)
             low, high = start[part][0], start[part][-1] + CHUNK
             chunks = cut(data[low:high], start[part] - low, offsets[row[part] + 1] - low)
             answers[part] = self.answers(chunks)[0]
+            size[part] = _sizes(chunks)
         first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-        return self.probability(self.pooled(answers, first).astype(np.float64))
+        return self.probability(self.pooled(answers, first, _shares(size, first)).astype(np.float64))
 
     def _learn(self, chunks: np.ndarray, first: np.ndarray, labels: np.ndarray, rate: float, step: int) -> float:
         answers, place = self.answers(chunks, places=True)
-        pooled = self.pooled(answers, first)
+        share = _shares(_sizes(chunks), first).astype(np.float32)
+        pooled = self.pooled(answers, first, share)
         guess = self.probability(pooled)
         error = ((guess - labels) / len(labels)).astype(np.float32)
         count = np.diff(np.append(first, len(chunks)))
         document = np.repeat(np.arange(len(first)), count)
-        from_mean = error[:, None] * self.weights[:FILTERS] / count[:, None]
+        from_mean = error[:, None] * self.weights[:FILTERS]
         is_top = answers == pooled[document, FILTERS:]
-        slope = from_mean[document] + is_top * (error[:, None] * self.weights[FILTERS:])[document]
+        slope = from_mean[document] * share[:, None] + is_top * (error[:, None] * self.weights[FILTERS:])[document]
         slope = (slope * (answers > 0)).astype(np.float32)
         # Only the window with the largest answer learns.
         window = chunks[np.arange(len(chunks))[:, None, None], place[:, :, None] + np.arange(WIDTH)]
@@ -161,11 +170,12 @@ class Network:
 
     @classmethod
     def trained(
-        cls, samples: list[np.ndarray], labels: np.ndarray, steps: int = 1600, batch: int = 64, seed: int = 7
+        cls, samples: list[np.ndarray], labels: np.ndarray, steps: int = STEPS, batch: int = 64, seed: int = 7
     ) -> Network:
         """``samples`` has the chunks of each document; as many documents of either class go into each step.
 
-        Of half of the documents a step takes only a short passage, so that length alone says nothing.
+        Of half of the documents a step takes only a short passage, so that length alone says nothing, of the
+        others at most ``STEP_CHUNKS`` chunks.
         """
         network = cls.fresh(seed)
         if len(np.unique(labels)) < 2:
@@ -175,7 +185,9 @@ class Network:
         classes = [np.flatnonzero(labels == k) for k in (0, 1)]
         for step in range(1, steps + 1):
             chosen = np.concatenate([random.choice(c, batch // 2) for c in classes])
-            parts = [_passage(samples[i], random) if random.random() < 0.5 else samples[i] for i in chosen]
+            parts = [
+                _passage(samples[i], random) if random.random() < 0.5 else _some(samples[i], random) for i in chosen
+            ]
             first = np.cumsum([0] + [len(p) for p in parts[:-1]])
             rate = 0.01 * min(1.0, 2 * (1 - (step - 1) / steps))
             network._learn(np.concatenate(parts), first, labels[chosen].astype(np.float32), rate, step)
@@ -183,6 +195,21 @@ class Network:
         return network
 
 
+def _sizes(chunks: np.ndarray) -> np.ndarray:
+    return np.maximum(1, np.count_nonzero(chunks, axis=1))
+
+
+def _shares(size: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Each chunk's share of its document."""
+    return size / np.repeat(np.add.reduceat(size, first), np.diff(np.append(first, len(size))))
+
+
+def _some(chunks: np.ndarray, random: np.random.Generator) -> np.ndarray:
+    if len(chunks) <= STEP_CHUNKS:
+        return chunks
+    return chunks[random.choice(len(chunks), STEP_CHUNKS, replace=False)]
+
+
 def _passage(chunks: np.ndarray, random: np.random.Generator) -> np.ndarray:
     """A chunk of its own with 20 to 300 bytes of one of the given chunks, cut at blanks."""
     chunk = chunks[random.integers(len(chunks))]
@@ -215,7 +242,7 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Network:
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", steps: int = STEPS) -> Network:
     """The network learnt from the labels of ``docs`` that are not held out."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).filter(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))
@@ -234,7 +261,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Network
         .collect()
     )
     samples = [np.frombuffer(r.chunks, np.uint8).reshape(-1, CHUNK) for r in rows]
-    return Network.trained(samples, np.array([r.label for r in rows], np.int64))
+    return Network.trained(samples, np.array([r.label for r in rows], np.int64), steps)
 
 
 def score_quality(docs: DataFrame, network: Network, text: str = "text", into: str = "score") -> DataFrame:

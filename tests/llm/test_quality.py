@@ -22,12 +22,13 @@ def test_pooled_answers_equal_a_plain_convolution():
     network = quality.Network.fresh(3)
     text = bytes(np.random.default_rng(1).integers(1, 128, 1400, dtype=np.uint8))
     row, start = quality.chunk_starts(np.array([0]), np.array([len(text)]))
-    best = []
+    best, size = [], []
     for s in start:
+        size.append(min(quality.CHUNK, len(text) - s))
         chunk = text[s : s + quality.CHUNK].ljust(quality.CHUNK, b"\0")
         windows = [network.bytes_[list(chunk[p : p + 8])].ravel() for p in range(quality.CHUNK - 7)]
         best.append(np.maximum(np.max(np.array(windows) @ network.filters, axis=0) + network.bias, 0))
-    plain = np.concatenate((np.mean(best, axis=0), np.max(best, axis=0)))
+    plain = np.concatenate((np.average(best, axis=0, weights=size), np.max(best, axis=0)))
     expected = 1 / (1 + np.exp(-(plain @ network.weights + network.offset[0])))
     assert abs(network.score(pa.array([text.decode()]))[0] - expected) < 1e-5
 
@@ -50,7 +51,7 @@ def test_edges(spark):
     assert {r.score for r in quality.score_quality(docs, none).collect()} == {1.0}
     one = quality.train(docs, spark.createDataFrame([(1, 0, 0), (None, 1, 0), (3, None, 0)], labels))
     assert {r.score for r in quality.score_quality(docs, one).collect()} == {0.0}
-    both = quality.train(docs, spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (3, 1, 1), (4, 0, 0)], labels))
+    both = quality.train(docs, spark.createDataFrame([(1, 1, 0), (2, 0, 0), (2, 1, 0), (3, 1, 1), (4, 0, 0)], labels), steps=40)
     found = quality.score_quality(docs, both)
     assert found.columns == ["doc_id", "text", "score"] and found.count() == 7
     scores = {r.doc_id: r.score for r in found.collect()}
@@ -64,7 +65,7 @@ def test_held_out_labels_change_nothing(spark):
     out = [r[0] for r in docs.filter(quality.held_out(F.col("doc_id"))).select("doc_id").collect()]
     assert out
     networks = [
-        quality.train(docs, spark.createDataFrame([(i, flip if i in out else i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int"))
+        quality.train(docs, spark.createDataFrame([(i, flip if i in out else i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int"), steps=20)
         for flip in (0, 1)
     ]
     assert np.array_equal(networks[0].filters, networks[1].filters)
