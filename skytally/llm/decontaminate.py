@@ -34,7 +34,7 @@ from skytally.llm.words import grams, slices, words
 
 SEED = 4
 #: A document that scores so much with an item contains it.
-SCORE = 0.6
+SCORE = 0.5
 MATCH, OTHER = 1.0, -0.5
 #: Runs of items that one pass over the documents looks for.
 BLOCK_RUNS = 500_000
