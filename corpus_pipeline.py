@@ -25,8 +25,11 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Documents that the classifier takes for good; it learns from labels of these documents."""
     prepared(spark)
     network = quality.train(docs, table(spark, sf_dir, "labels"))
-    scored = quality.score_quality(docs, network, into="quality_score")
-    return scored.filter(F.col("quality_score") >= quality.THRESHOLD).select(*docs.columns)
+    score = "quality_score"
+    while score in map(str.lower, docs.columns):
+        score += "_"
+    scored = quality.score_quality(docs, network, into=score)
+    return scored.filter(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
