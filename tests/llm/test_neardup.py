@@ -80,3 +80,20 @@ def test_a_large_group_of_copies_needs_few_comparisons(spark):
 def test_bands_reach_the_recall():
     rows, bands = neardup.banding(0.8, 0.9995)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9995 and rows * bands <= neardup.HASHES
+
+
+def test_sketches_tell_similar_sets_from_others():
+    import numpy as np
+
+    random = np.random.default_rng(2)
+    hashes, passed = 156, {0.8: 0, 0.5: 0}
+    for similarity_ in passed:
+        for _ in range(300):
+            union = random.integers(0, 2**63, 2000, dtype=np.uint64) * np.uint64(2)
+            part = random.random(2000)
+            a = union[part < similarity_ + (1 - similarity_) / 2]
+            b = union[(part < similarity_) | (part >= similarity_ + (1 - similarity_) / 2)]
+            sketch = [neardup.sketches(neardup.minhashes(np.zeros(len(x), np.int64), x, 1, hashes))[0] for x in (a, b)]
+            differ = sum(int(v).bit_count() for v in (sketch[0] ^ sketch[1]).view(np.uint64))
+            passed[similarity_] += differ <= neardup.sketch_bits(hashes, 0.8)
+    assert passed[0.8] >= 294 and passed[0.5] <= 6
