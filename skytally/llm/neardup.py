@@ -6,9 +6,12 @@
 3. Representatives are shuffled on their band keys. In every bucket the smallest id is the hub, and each other
    member is compared with the hub, not with every member.
 4. Compared means verified: the Jaccard similarity of the complete sets of runs. Linked texts form components.
-5. What the hubs leave open is settled exactly: a second hub is taken among the members outside the first one's
-   component, and then any two members of a bucket that are still in different components are compared. So two texts
-   that share a bucket end in one component or have been found unlike, or a chain of verified links joins them.
+5. What the hubs leave open is settled in two more rounds. Members of a bucket meet in random blocks of a few, which
+   joins most of what belongs together; then any two members that are still in different components meet. Only
+   pairs go on to step 4 that pass three tests inside the join: sizes that fit; distances from the hub that fit (the
+   Jaccard distance is a metric, so they can't differ by more than the pair's own); and sketches, four bits of every
+   MinHash value, that differ in no more bits than ``SKETCH_RECALL`` of all pairs at the threshold do. A pair meets
+   in its first common band only. So two texts that share a bucket end in one component, or have been found unlike.
 
 A bucket whose members are near copies of each other is done after step 3, with one row for each member: a group of
 copies that holds a third of all rows never becomes pairs of all its members.
@@ -23,6 +26,9 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +43,10 @@ from skytally.llm.words import Words, grams, mixed, slices, words
 RUN, SIMILARITY, RECALL = 5, 0.8, 0.9995
 #: MinHash values of one text at most.
 HASHES = 160
+#: Share of the pairs at the threshold whose sketches pass.
+SKETCH_RECALL = 0.998
+#: Members of a random block, about.
+BLOCK = 4
 
 
 def banding(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -72,15 +82,21 @@ def _coefficients(hashes: int) -> tuple[np.ndarray, np.ndarray]:
     return random.integers(0, 2**32, (2, hashes), dtype=np.uint32) | np.array([[1], [0]], np.uint32)
 
 
-def band_keys(row: np.ndarray, key: np.ndarray, texts: int, rows: int, bands: int) -> np.ndarray:
-    """Bands of each text (texts x bands); rows of texts without runs are not meaningful."""
-    values = np.full((texts, rows * bands), 0xFFFFFFFF, np.uint32)
+def minhashes(row: np.ndarray, key: np.ndarray, texts: int, hashes: int) -> np.ndarray:
+    """MinHash values (texts x hashes); rows of texts without runs are not meaningful."""
+    values = np.full((texts, hashes), 0xFFFFFFFF, np.uint32)
     if len(row):
         begin = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
         present = row[begin]
         low = (key >> np.uint64(32)).astype(np.uint32)
-        for at, (factor, shift) in enumerate(zip(*_coefficients(rows * bands), strict=True)):
+        for at, (factor, shift) in enumerate(zip(*_coefficients(hashes), strict=True)):
             values[present, at] = np.minimum.reduceat(low * factor + shift, begin)
+    return values
+
+
+def band_keys(values: np.ndarray, rows: int, bands: int) -> np.ndarray:
+    """Band keys (texts x bands), each made of ``rows`` values."""
+    texts = len(values)
     folded = np.arange(bands, dtype=np.uint64) * np.ones((texts, 1), np.uint64)
     wide = values.astype(np.uint64).reshape(texts, bands, rows)
     for at in range(rows):
@@ -88,12 +104,30 @@ def band_keys(row: np.ndarray, key: np.ndarray, texts: int, rows: int, bands: in
     return folded.view(np.int64)
 
 
+def sketches(values: np.ndarray) -> np.ndarray:
+    """Four bits of every value, in 64-bit numbers."""
+    nibbles = values & np.uint32(15)
+    nibbles = np.pad(nibbles, ((0, 0), (0, -values.shape[1] % 16))).reshape(len(values), -1, 16).astype(np.uint64)
+    return np.bitwise_or.reduce(nibbles << (np.uint64(4) * np.arange(16, dtype=np.uint64)), axis=2).view(np.int64)
+
+
+def sketch_bits(hashes: int, similarity: float, recall: float = SKETCH_RECALL) -> int:
+    """In how many bits two sketches may differ.
+
+    A value that differs, as 1 - similarity of them do, differs in two of four bits on average.
+    """
+    apart = 1 - similarity
+    deviation = math.sqrt(hashes * (5 * apart - 4 * apart**2))
+    return math.ceil(2 * apart * hashes + NormalDist().inv_cdf(recall) * deviation)
+
+
 _SIGNATURES = T.StructType(
     [
         T.StructField("id", T.LongType()),
         T.StructField("digest", T.BinaryType()),
         T.StructField("runs", T.IntegerType()),
         T.StructField("bands", T.ArrayType(T.LongType(), False)),
+        T.StructField("sketch", T.ArrayType(T.LongType(), False)),
     ]
 )
 
@@ -110,7 +144,8 @@ def signatures(docs: DataFrame, id_column: str, text: str, rows: int, bands: int
                 ]
                 row, key = run_sets(found)
                 texts = part.num_rows
-                keys = band_keys(row, key, texts, rows, bands)
+                values = minhashes(row, key, texts, rows * bands)
+                keys, sketch = band_keys(values, rows, bands), sketches(values)
                 # A text without words is in no bucket.
                 inside = np.bincount(row, minlength=texts) > 0
                 offsets = np.concatenate(([0], np.cumsum(inside * bands))).astype(np.int32)
@@ -121,7 +156,12 @@ def signatures(docs: DataFrame, id_column: str, text: str, rows: int, bands: int
                 different = np.bincount(row[new], minlength=texts).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[inside].ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(digests, pa.binary()), pa.array(different), lists],
+                    [
+                        part.column(0), pa.array(digests, pa.binary()), pa.array(different), lists,
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(texts + 1, dtype=np.int32) * sketch.shape[1]), pa.array(sketch.ravel())
+                        ),
+                    ],
                     names=_SIGNATURES.names,
                 )
 
@@ -171,11 +211,38 @@ def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     return stored(both.mapInArrow(_verify, _PAIRS), f"{name}-verified")
 
 
-def _sizes_fit(a: str, b: str, similarity: float) -> Column:
+def _sizes_fit(a: Column, b: Column, similarity: float) -> Column:
     """Sets whose sizes differ more can't be so similar."""
     return F.least(a, b) >= F.greatest(a, b) * (similarity - 1e-9)
 
 
+def _block(everyone: bool) -> Column:
+    if everyone:
+        return F.lit(0).cast("long")
+    return F.pmod(F.xxhash64("id", "bucket"), F.ceil(F.col("n") / BLOCK))
+
+
+def _meeting(left: DataFrame, everyone: bool, hashes: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of members of one bucket and block and of different components that may be similar."""
+    own = ("id", "runs", "component", "pivot", "bands", "sketch")
+    right = left.select("bucket", "block", *[F.col(c).alias(f"other_{c}") for c in own])
+    sketch, other = F.col("sketch"), F.col("other_sketch")
+    differ = reduce(add, [F.bit_count(sketch[i].bitwiseXOR(other[i])) for i in range(math.ceil(hashes / 16))])
+    first_common = F.array_position(F.zip_with("bands", "other_bands", lambda x, y: x == y), True) - 1
+    farther = F.abs(F.col("pivot") - F.col("other_pivot")) > 1 - similarity + 1e-9
+    may = (
+        (F.col("id") < F.col("other_id"))
+        & (F.col("component") != F.col("other_component"))
+        & _sizes_fit(F.col("runs"), F.col("other_runs"), similarity)
+        & ~F.coalesce(farther, F.lit(False))
+        & (differ <= sketch_bits(hashes, similarity))
+    )
+    if everyone:  # a pair that meets in every common bucket need meet but once
+        may = may & (first_common == F.col("band"))
+    met = left.join(right, ["bucket", "block"]).filter(may)
+    return met.select(F.col("id").alias("a"), F.col("other_id").alias("b")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -190,50 +257,42 @@ def near_duplicates(
     """
     rows, bands = banding(similarity, recall)
     signed = stored(signatures(docs, id_column, text, rows, bands), "signatures")
-    least = F.min(F.struct("id", "runs", "bands")).alias("least")
+    least = F.min(F.struct("id", "runs", "bands", "sketch")).alias("least")
     classes = stored(signed.groupBy("digest").agg(least).select("digest", "least.*"), "copy-classes")
     copies = signed.select("digest", F.col("id").alias("member")).distinct()
     copies = stored(copies.join(classes.select("digest", F.col("id").alias("copy_of")), "digest"), "copies")
 
-    placed = classes.select("id", "runs", F.explode("bands").alias("bucket"))
+    placed = classes.select("id", "runs", F.posexplode("bands").alias("band", "bucket"))
     shared = placed.groupBy("bucket").agg(F.min(F.struct("id", "runs")).alias("hub"), F.count("*").alias("n"))
-    shared = stored(shared.filter("n > 1").select("bucket", "hub"), "buckets")
+    shared = stored(shared.filter("n > 1"), "buckets")
     members = stored(placed.join(shared, "bucket"), "bucket-members")
     wanted = members.select("id").distinct()
     whole = docs.select(F.col(id_column).cast("long").alias("id"), F.coalesce(text, F.lit("")).alias("text"))
     texts = stored(whole.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "candidate-texts")
 
-    fits = _sizes_fit("runs", "hub.runs", similarity)
+    fits = _sizes_fit(F.col("runs"), F.col("hub.runs"), similarity)
     stars = members.filter((F.col("id") != F.col("hub.id")) & fits).select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
-    compared = verified(stars.distinct(), texts, "hub")
+    compared = from_hub = verified(stars.distinct(), texts, "hub")
+    pivots = from_hub.select(F.col("a").alias("hub_id"), F.col("b").alias("id"), F.col("similarity").alias("pivot"))
+    members = (
+        members.withColumn("hub_id", F.col("hub.id"))
+        .join(pivots, ["hub_id", "id"], "left")
+        .withColumn("pivot", F.when(F.col("id") == F.col("hub_id"), 1.0).otherwise(F.col("pivot")))
+    )
+    members = stored(members.select("bucket", "band", "n", "id", "runs", "pivot"), "members-from-hub")
     linked = compared.filter(F.col("similarity") >= similarity)
-    for last in (False, True):
+    for everyone in (False, True):
         joined = components(linked)
-        at = stored(
-            members.select("bucket", "id", "runs")
-            .join(joined.withColumnRenamed("node", "id"), "id", "left")
-            .withColumn("component", F.coalesce("component", "id")),
-            "members-by-component",
-        )
+        at = members.join(joined.withColumnRenamed("node", "id"), "id", "left")
+        at = stored(at.withColumn("component", F.coalesce("component", "id")), "members-by-component")
         # Buckets with more than one component.
-        low = F.min(F.struct("component", "id", "runs"))
-        high = F.max(F.struct("component", F.negative("id").alias("id"), "runs"))
-        open_ = at.groupBy("bucket").agg(low.alias("low"), high.alias("high"))
-        open_ = stored(open_.filter("low.component <> high.component"), "open-buckets")
-        if last:
-            left = at.join(open_.select("bucket"), "bucket", "left_semi")
-            right = left.select("bucket", *[F.col(c).alias(f"other_{c}") for c in ("id", "runs", "component")])
-            apart = (F.col("component") != F.col("other_component")) & (F.col("id") < F.col("other_id"))
-            pairs = left.join(right, "bucket").filter(apart & _sizes_fit("runs", "other_runs", similarity))
-            pairs = pairs.select(F.col("id").alias("a"), F.col("other_id").alias("b"))
-        else:
-            hub = open_.select("bucket", F.negative("high.id").alias("hub"), "high.component", F.col("high.runs").alias("hub_runs"))
-            pairs = at.join(hub.withColumnRenamed("component", "hub_component"), "bucket").filter(
-                (F.col("component") != F.col("hub_component")) & _sizes_fit("runs", "hub_runs", similarity)
-            )
-            pairs = pairs.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-        pairs = pairs.distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        compared = compared.union(verified(pairs, texts, "rest" if last else "second-hub"))
+        ends = at.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        apart = at.join(ends.filter("low <> high").select("bucket"), "bucket", "left_semi")
+        signs = classes.select("id", "bands", "sketch")
+        left = stored(apart.join(signs, "id").withColumn("block", _block(everyone)), "open-members")
+        pairs = _meeting(left, everyone, rows * bands, similarity)
+        pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
+        compared = compared.union(verified(pairs, texts, "all" if everyone else "block"))
         linked = compared.filter(F.col("similarity") >= similarity)
     joined = components(linked)
     ends = linked.select("a").union(linked.select("b"))
