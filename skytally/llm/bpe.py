@@ -223,7 +223,8 @@ class Vocabulary:
     def decode(self, ids: pa.Array) -> pa.Array:
         """The text of each list of ids: its symbols with a blank between any two."""
         symbols = pc.take(self._symbols, ids.values)
-        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, symbols), pa.scalar(" ", pa.large_string())).cast(pa.string())
+        blank = pa.scalar(" ", pa.large_string())
+        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, symbols), blank).cast(pa.string())
 
 
 def pieces(text: str) -> Iterator[str]:
@@ -238,16 +239,19 @@ def pieces(text: str) -> Iterator[str]:
     yield text[start:]
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """``docs`` with the token ids of ``text`` and, if ``decoded`` names a column, the text they decode to.
 
     ``vocabulary`` is the path of a vocabulary file on the driver.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(Vocabulary.read(vocabulary))
-    source = docs.drop(*[c for c in docs.columns if c.lower() in {ids.lower(), (decoded or ids).lower()} - {text.lower()}])
+    new = {ids.lower(), (decoded or ids).lower()}
+    source = docs.drop(*[c for c in docs.columns if c.lower() in new - {text.lower()}])
     at = [c.lower() for c in source.columns].index(text.lower())
-    kept = [i for i, c in enumerate(source.columns) if c.lower() not in (ids.lower(), (decoded or ids).lower())]
+    kept = [i for i, c in enumerate(source.columns) if c.lower() not in new]
     schema = T.StructType([source.schema[i] for i in kept]).add(ids, T.ArrayType(T.IntegerType(), False))
     if decoded:
         schema = schema.add(decoded, T.StringType())

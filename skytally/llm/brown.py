@@ -19,7 +19,7 @@ for each class sum to one.
 
 A text is its words, separated by white space, A-Z in lower case, and one end. Null counts as empty: its end alone.
 Without training texts there is nothing to learn: both scores are then 0. Repeated rows and ids are scored one by
-one, a null id is trained on and scored as any other. Other columns are not looked at. An empty table gives an
+one, ids are whole numbers or null, a null id is trained on and scored as any other. Other columns are not looked at. An empty table gives an
 empty result.
 """
 
@@ -257,7 +257,8 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     rare = counts.filter((F.col("n") < total * CLASS_SHARE) & (F.col("ending") < ENDINGS))
     rare = rare.groupBy("ending").agg(F.count("*").alias("n")).toArrow()
     members = np.bincount(classes[: symbols.own], minlength=CLASSES).astype(np.float64)
-    members += np.bincount(classes[symbols.own + rare["ending"].to_numpy().astype(np.int64)], rare["n"].to_numpy(), CLASSES)
+    endings = rare["ending"].to_numpy().astype(np.int64)
+    members += np.bincount(classes[symbols.own + endings], rare["n"].to_numpy(), CLASSES)
     members[CLASSES - 1] += 1
     # A class without words in training holds an unknown word only.
     within = np.log10(np.maximum(tokens, 1))
@@ -311,8 +312,15 @@ def _parts(model: Model, end_count: int):
                 nothing = np.full(texts, -1, np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0), part.column(1), pa.array(place), pa.array(nothing), pa.array(np.zeros(texts, np.int64)),
-                        pa.array(size + 1), pa.array(n_known), pa.array(base), pa.array(score),
+                        part.column(0),
+                        part.column(1),
+                        pa.array(place),
+                        pa.array(nothing),
+                        pa.array(np.zeros(texts, np.int64)),
+                        pa.array(size + 1),
+                        pa.array(n_known),
+                        pa.array(base),
+                        pa.array(score),
                     ],
                     names=_PARTS.names,
                 )
@@ -327,8 +335,15 @@ def _parts(model: Model, end_count: int):
                 unknown = pa.nulls(len(times), pa.float64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(rows[text[new]]), null, pa.array(key[new].view(np.int64)), pa.array(of[order][new].astype(np.int32)),
-                        pa.array(times), null, null, unknown, unknown,
+                        pa.array(rows[text[new]]),
+                        null,
+                        pa.array(key[new].view(np.int64)),
+                        pa.array(of[order][new].astype(np.int32)),
+                        pa.array(times),
+                        null,
+                        null,
+                        unknown,
+                        unknown,
                     ],
                     names=_PARTS.names,
                 )
@@ -342,12 +357,21 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
     ``base_score`` is the log10 probability under add-one unigrams, ``score`` that under the model.
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text")
+        F.monotonically_increasing_id().alias("row"),
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.col(text).alias("text"),
     )
     if not model.total:
-        found = rows.select("row", "doc_id", (F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")) + 1).cast("long").alias("n_tokens"))
+        split = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), "")
         zero = F.lit(0.0)
-        return found.select(F.col("doc_id").alias(id_column), "n_tokens", F.lit(0).cast("long").alias("n_known"), zero.alias("base_score"), zero.alias("score"), F.lit(1.0).alias("perplexity"))
+        return rows.select(
+            F.col("doc_id").alias(id_column),
+            (F.size(split) + 1).cast("long").alias("n_tokens"),
+            F.lit(0).cast("long").alias("n_known"),
+            zero.alias("base_score"),
+            zero.alias("score"),
+            F.lit(1.0).alias("perplexity"),
+        )
     end = model.counts.filter(F.col("word") == int(END_KEY.astype(np.int64))).first()
     parts = rows.mapInArrow(_parts(model, end["n"]), _PARTS)
     rare = model.counts.filter(F.col("n") < model.total * COUNT_SHARE).select("word", "n")

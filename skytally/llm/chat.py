@@ -112,11 +112,20 @@ def against_partner(conversations: DataFrame) -> DataFrame:
     every = turns.join(own, "conv_id", "left")
     last = F.col("own.turn")
     before = every.filter(last.isNull() | (F.col("turn") < last))
-    sides = [before.select(F.col("conv_id").alias("pair_id"), F.lit(s).alias("side"), "turn", "role", "text") for s in ("chosen", "rejected")]
-    chosen = own.select(
-        F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), F.col("own.turn").alias("turn"), F.lit("assistant").alias("role"), F.col("own.text").alias("text")
-    )
-    rejected = own.join(partner, "conv_id").select(
-        F.col("conv_id").alias("pair_id"), F.lit("rejected").alias("side"), F.col("own.turn").alias("turn"), F.lit("assistant").alias("role"), F.col("other").alias("text")
+
+    def turn(rows: DataFrame, side: str, place: str, role: Column, text: str) -> DataFrame:
+        return rows.select(
+            F.col("conv_id").alias("pair_id"),
+            F.lit(side).alias("side"),
+            F.col(place).alias("turn"),
+            role.alias("role"),
+            F.col(text).alias("text"),
+        )
+
+    assistant = F.lit("assistant")
+    return (
+        turn(before, "chosen", "turn", F.col("role"), "text")
+        .unionByName(turn(before, "rejected", "turn", F.col("role"), "text"))
+        .unionByName(turn(own, "chosen", "own.turn", assistant, "own.text"))
+        .unionByName(turn(own.join(partner, "conv_id"), "rejected", "own.turn", assistant, "other"))
     )
-    return sides[0].unionByName(sides[1]).unionByName(chosen).unionByName(rejected)

@@ -19,7 +19,9 @@ def components(edges: DataFrame) -> DataFrame:
     known = edges.select("a", "b").dropna()
     both = stored(known.union(known.select("b", "a")).distinct(), "edges")
     labels = stored(
-        both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("label")),
+        both.groupBy("a")
+        .agg(F.min("b").alias("low"))
+        .select(F.col("a").alias("node"), F.least("a", "low").alias("label")),
         "labels",
     )
     while True:

@@ -13,8 +13,8 @@ The runs go to the tasks in blocks of a fixed size, one pass for each block, so
 searched completely and no task holds more than a block.
 
 Words are what stands between white space, A-Z in lower case. Items of fewer than ``SEED`` words say nothing and match
-nothing; null texts count as empty. Rows without id are left out of the search. Repeated rows give one result per id
-and item, the best; ties go to the first place. Other columns are not looked at. Empty tables give an empty result.
+nothing; null texts count as empty. Ids are whole numbers; rows without one are left out of the search. Repeated
+rows give one result per id and item, the best; ties go to the first place. Other columns are not looked at. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -177,8 +177,10 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
         score, first, end = align(arrays("words"), arrays("item_words"))
         start = batch.column("start").to_numpy()
-        columns = [batch.column("doc_id"), batch.column("item_id"), pa.array(score), pa.array(first + start), pa.array(end + start)]
-        yield pa.RecordBatch.from_arrays(columns, names=_SCORES.names)
+        found = [pa.array(score), pa.array(first + start), pa.array(end + start)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("item_id"), *found], names=_SCORES.names
+        )
 
 
 def find_leaks(
