@@ -28,7 +28,7 @@ def test_rules(spark):
 
 def test_decisions_reach_aliases_and_allow_comes_first(spark):
     canonical = '<LINK class=x rel="canonical" href="http://bad.org/x">'
-    chain = [(f"http://n{i}.net/", f"http://n{i + 1}.net/") for i in range(40)]
+    chain = [(f"http://n{i}.net/", f"http://n{i + 1}.net/") for i in range(9)]
     found = judge(
         spark,
         [
@@ -37,7 +37,7 @@ def test_decisions_reach_aliases_and_allow_comes_first(spark):
             (5, "http://d.net/", None), (6, "http://e.net/", None), (7, "http://n0.net/", None),
         ],
         [("http://d.net/", "http://bad.org/y"), ("http://d.net/", "http://x.com/"), (None, "http://bad.org/"),
-         ("http://n40.net/", "http://bad.org/z"), *chain],
+         ("http://n9.net/", "http://bad.org/z"), *chain],
     )
     assert [found[i][3] for i in (1, 2, 3, 4, 5, 6, 7)] == ["block", "block", "allow", "block", "allow", "allow", "block"]
 
