@@ -17,8 +17,8 @@ A bucket whose members are near copies of each other is done after step 3, with
 copies that holds a third of all rows never becomes pairs of all its members.
 
 Words are what stands between white space, A-Z in lower case. A text of one to four words has one run, all of it. Null
-and empty texts have the same (no) words and are one class. Rows without id are left out; repeated rows are one
-document. Other columns of the table are not looked at. An empty table gives an empty result.
+and empty texts have the same (no) words and are one class. Ids are whole numbers; rows without one are left out,
+repeated rows are one document. Other columns of the table are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -43,6 +43,8 @@ from skytally.llm.words import Words, grams, mixed, slices, words
 RUN, SIMILARITY, RECALL = 5, 0.8, 0.9995
 #: MinHash values of one text at most.
 HASHES = 160
+#: MinHash values behind a sketch; the bands are made of the first ones of them.
+SKETCH_HASHES = 256
 #: Share of the pairs at the threshold whose sketches pass.
 SKETCH_RECALL = 0.998
 #: Members of a random block, about.
@@ -139,13 +141,14 @@ def signatures(docs: DataFrame, id_column: str, text: str, rows: int, bands: int
                 found = words(part.column(1))
                 count = found.counts()
                 end = np.cumsum(count)
+                begin = end - count
                 digests = [
-                    hashlib.sha256(found.key[e - c : e].tobytes()).digest()[:16] for c, e in zip(count, end, strict=True)
+                    hashlib.sha256(found.key[b:e].tobytes()).digest()[:16] for b, e in zip(begin, end, strict=True)
                 ]
                 row, key = run_sets(found)
                 texts = part.num_rows
-                values = minhashes(row, key, texts, rows * bands)
-                keys, sketch = band_keys(values, rows, bands), sketches(values)
+                values = minhashes(row, key, texts, max(SKETCH_HASHES, rows * bands))
+                keys, sketch = band_keys(values[:, : rows * bands], rows, bands), sketches(values)
                 # A text without words is in no bucket.
                 inside = np.bincount(row, minlength=texts) > 0
                 offsets = np.concatenate(([0], np.cumsum(inside * bands))).astype(np.int32)
@@ -271,7 +274,8 @@ def near_duplicates(
     texts = stored(whole.join(wanted, "id", "left_semi").dropDuplicates(["id"]), "candidate-texts")
 
     fits = _sizes_fit(F.col("runs"), F.col("hub.runs"), similarity)
-    stars = members.filter((F.col("id") != F.col("hub.id")) & fits).select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
+    others = members.filter((F.col("id") != F.col("hub.id")) & fits)
+    stars = others.select(F.col("hub.id").alias("a"), F.col("id").alias("b"))
     compared = from_hub = verified(stars.distinct(), texts, "hub")
     pivots = from_hub.select(F.col("a").alias("hub_id"), F.col("b").alias("id"), F.col("similarity").alias("pivot"))
     members = (
@@ -290,7 +294,7 @@ def near_duplicates(
         apart = at.join(ends.filter("low <> high").select("bucket"), "bucket", "left_semi")
         signs = classes.select("id", "bands", "sketch")
         left = stored(apart.join(signs, "id").withColumn("block", _block(everyone)), "open-members")
-        pairs = _meeting(left, everyone, rows * bands, similarity)
+        pairs = _meeting(left, everyone, max(SKETCH_HASHES, rows * bands), similarity)
         pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         compared = compared.union(verified(pairs, texts, "all" if everyone else "block"))
         linked = compared.filter(F.col("similarity") >= similarity)
