@@ -16,6 +16,11 @@
 A bucket whose members are near copies of each other is done after step 3, with one row for each member: a group of
 copies that holds a third of all rows never becomes pairs of all its members.
 
+``jaccard_links`` also counts the links of each document. Linked documents are in one component, so every two
+representatives of a component are compared, by their complete sets of runs and without bands or sketches. A component
+is dealt into blocks of at most about ``LINK_DOCS`` representatives or ``LINK_RUNS`` runs, and each two blocks meet in
+one task: rows grow with members times blocks, comparisons with the square of the component, as the counts do.
+
 Words are what stands between white space, A-Z in lower case. A text of one to four words has one run, all of it. Null
 and empty texts have the same (no) words and are one class. Ids are whole numbers; rows without one are left out,
 repeated rows are one document. Other columns of the table are not looked at. An empty table gives an empty result.
@@ -49,6 +54,8 @@ SKETCH_HASHES = 256
 SKETCH_RECALL = 0.998
 #: Members of a random block, about.
 BLOCK = 4
+#: Representatives, or runs of theirs, in a block of a component whose links are counted, about.
+LINK_DOCS, LINK_RUNS = 2048, 1 << 20
 
 
 def banding(similarity: float = SIMILARITY, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -246,18 +253,10 @@ def _meeting(left: DataFrame, everyone: bool, hashes: int, similarity: float) ->
     return met.select(F.col("id").alias("a"), F.col("other_id").alias("b")).distinct()
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text: str = "text",
-    similarity: float = SIMILARITY,
-    recall: float = RECALL,
-) -> DataFrame:
-    """One row per document: id, class_id (smallest id of its near copies), copy_of, n_links.
-
-    ``copy_of`` is the smallest id among documents with the same words; ``n_links`` counts the verified links of that
-    document with documents of other words.
-    """
+def _joined(
+    docs: DataFrame, id_column: str, text: str, similarity: float, recall: float
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Copies (digest, member, copy_of), linked representatives (copy_of, component, runs, n_links), texts (id, text)."""
     rows, bands = banding(similarity, recall)
     signed = stored(signatures(docs, id_column, text, rows, bands), "signatures")
     least = F.min(F.struct("id", "runs", "bands", "sketch")).alias("least")
@@ -301,9 +300,12 @@ def near_duplicates(
     joined = components(linked)
     ends = linked.select("a").union(linked.select("b"))
     links = stored(ends.groupBy("a").agg(F.count("*").alias("n_links")), "links")
-    found = stored(
-        links.join(joined, links.a == joined.node).select(F.col("a").alias("copy_of"), "component", "n_links"), "linked"
-    )
+    runs = classes.select(F.col("id").alias("copy_of"), "runs")
+    found = links.join(joined, links.a == joined.node).select(F.col("a").alias("copy_of"), "component", "n_links")
+    return copies, stored(found.join(runs, "copy_of"), "linked"), texts
+
+
+def _by_document(copies: DataFrame, found: DataFrame, id_column: str) -> DataFrame:
     return copies.join(found, "copy_of", "left").select(
         F.col("member").alias(id_column),
         F.coalesce("component", "copy_of").alias("class_id"),
@@ -312,6 +314,158 @@ def near_duplicates(
     )
 
 
+def near_duplicates(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+) -> DataFrame:
+    """One row per document: id, class_id (smallest id of its near copies), copy_of, n_links.
+
+    ``copy_of`` is the smallest id among documents with the same words; ``n_links`` counts only those links of that
+    document that were verified on the way to the classes, see ``jaccard_links`` for all of them.
+    """
+    copies, found, _ = _joined(docs, id_column, text, similarity, recall)
+    return _by_document(copies, found, id_column)
+
+
+_SETS = (
+    T.StructType()
+    .add("id", T.LongType())
+    .add("component", T.LongType())
+    .add("copies", T.LongType())
+    .add("blocks", T.LongType())
+    .add("own", T.LongType())
+    .add("keys", T.ArrayType(T.LongType(), False))
+)
+_LINKS = T.StructType().add("id", T.LongType()).add("n_links", T.LongType())
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, batch.schema.get_field_index("text")):
+            row, key = run_sets(words(part.column("text")))
+            order = np.lexsort((key, row))
+            row, key = row[order], key[order]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
+            offsets = np.concatenate(([0], np.cumsum(np.bincount(row[new], minlength=part.num_rows))))
+            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(key[new].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in _SETS.names[:-1]], lists], names=_SETS.names)
+
+
+def common_runs(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """In how many runs each set on the left and each on the right agree; a set has a run once."""
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+
+    def placed(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        key = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(shared, key), max(0, len(shared) - 1))
+        known = shared[at] == key if len(shared) else np.zeros(len(key), bool)
+        row, at = row[known], at[known]
+        order = np.argsort(at, kind="stable")
+        return row[order], at[order], np.bincount(at, minlength=len(shared))
+
+    (a_row, a_at, a_count), (b_row, b_at, b_count) = placed(left), placed(right)
+    found = np.zeros((len(left), len(right)), np.float32)
+    # Runs of many sets as a product of 0-1 matrices, a few thousand runs at once; the others pair by pair.
+    many = a_count * b_count * 512 > len(left) * len(right)
+    number = np.cumsum(many) - 1
+    for low in range(0, int(many.sum()), 4096):
+        sides = []
+        for row, at, size in ((a_row, a_at, len(left)), (b_row, b_at, len(right))):
+            inside = many[at] & (number[at] >= low) & (number[at] < low + 4096)
+            marks = np.zeros((size, min(4096, int(many.sum()) - low)), np.float32)
+            marks[row[inside], number[at[inside]] - low] = 1
+            sides.append(marks)
+        found += sides[0] @ sides[1].T
+    begin = np.cumsum(b_count) - b_count
+    few = np.flatnonzero(~many[a_at])
+    times = b_count[a_at[few]]
+    ends = np.cumsum(times)
+    start = 0
+    while start < len(few):  # a million pairs at once
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + (1 << 20), side="right")))
+        n = times[start:stop]
+        other = np.repeat(begin[a_at[few[start:stop]]] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        np.add.at(found, (np.repeat(a_row[few[start:stop]], n), b_row[other]), 1)
+        start = stop
+    return found
+
+
+def _count_links(similarity: float):
+    """For applyInArrow: links between two blocks of one component, or inside several whole components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, copies = table.column("id").to_numpy(), table.column("copies").to_numpy()
+        component, own = table.column("component").to_numpy(), table.column("own").to_numpy()
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        lists = table.column("keys").combine_chunks()
+        values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+        links = np.zeros(len(ids), np.int64)
+        order = np.argsort(component, kind="stable")
+        new = np.concatenate(([True], component[order[1:]] != component[order[:-1]]))
+        for rows in np.split(order, np.flatnonzero(new)[1:]):
+            left, right = (rows[own[rows] == low], rows[own[rows] == high]) if low < high else (rows, rows)
+            if not (len(left) and len(right)):
+                continue
+            sets = [[values[offsets[r] : offsets[r + 1]] for r in side] for side in (left, right)]
+            sizes = [np.array([len(x) for x in side], np.float64) for side in sets]
+            common = common_runs(*sets).astype(np.float64)
+            linked = common / np.maximum(1, sizes[0][:, None] + sizes[1] - common) >= similarity
+            if low < high:
+                links[right] += copies[left] @ linked
+            else:
+                np.fill_diagonal(linked, False)
+            links[left] += linked @ copies[right]
+        return pa.table({"id": pa.array(ids), "n_links": pa.array(links)})
+
+    return run
+
+
+def jaccard_links(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text: str = "text",
+    similarity: float = SIMILARITY,
+    recall: float = RECALL,
+    block_docs: int = LINK_DOCS,
+    block_runs: int = LINK_RUNS,
+) -> DataFrame:
+    """One row per document: id, class_id and copy_of as ``near_duplicates`` gives them, n_links.
+
+    ``n_links`` is the number of documents of the class, with other words, whose similarity is high enough.
+    """
+    copies, found, texts = _joined(docs, id_column, text, similarity, recall)
+    times = copies.groupBy("copy_of").agg(F.count("*").alias("copies"))
+    members = found.drop("n_links").join(times, "copy_of")
+    sizes = members.groupBy("component").agg(F.count("*").alias("n"), F.sum("runs").alias("all_runs"))
+    blocks = F.greatest(F.ceil(F.col("n") / block_docs), F.ceil(F.col("all_runs") / block_runs))
+    sizes = stored(sizes.withColumn("blocks", blocks.cast("long")), "component-sizes")
+    whole = F.sum(F.when(F.col("blocks") == 1, F.col("all_runs")))
+    packs = math.ceil((sizes.agg(whole).first()[0] or 1) / block_runs)
+    members = members.join(sizes.select("component", "blocks"), "component").select(
+        F.col("copy_of").alias("id"), "component", "copies", "blocks", F.pmod(F.xxhash64("copy_of"), "blocks").alias("own")
+    )
+    sets = stored(texts.join(members, "id").select(*_SETS.names[:-1], "text").mapInArrow(_sets, _SETS), "run-sets")
+    # Whole components fill packs, those of several blocks have a cell for each two blocks.
+    pack = F.pmod(F.xxhash64("component"), F.lit(packs))
+    cells = sets.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        (F.col("blocks") > 1).alias("divided"),
+        F.when(F.col("blocks") > 1, F.col("component")).otherwise(pack).alias("part"),
+        F.least("own", "other").alias("low"),
+        F.greatest("own", "other").alias("high"),
+        *[c for c in _SETS.names if c != "blocks"],
+    )
+    counted = cells.groupBy("divided", "part", "low", "high").applyInArrow(_count_links(similarity), _LINKS)
+    links = stored(counted.groupBy("id").agg(F.sum("n_links").alias("n_links")), "all-links")
+    all_links = found.drop("n_links").join(links.withColumnRenamed("id", "copy_of"), "copy_of")
+    return _by_document(copies, all_links, id_column)
+
+
 def drop_near(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each class, the one with the smallest id; rows without id stay."""
     gone = near_duplicates(docs, id_column, text).filter(F.col("class_id") != F.col(id_column)).select(id_column)

@@ -124,7 +124,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return neardup.jaccard_links(table(spark, sf_dir, "documents"))
 
 
 #: The vocabulary of the query; any file of its kind serves.

@@ -97,3 +97,32 @@ def test_sketches_tell_similar_sets_from_others():
             differ = sum(int(v).bit_count() for v in (sketch[0] ^ sketch[1]).view(np.uint64))
             passed[similarity_] += differ <= neardup.sketch_bits(hashes, 0.8)
     assert passed[0.8] >= 294 and passed[0.5] <= 6
+
+
+def links(docs):
+    """Links of every document, all pairs compared."""
+    texts = {i: runs(t) for i, t in docs}
+    order = {i: " ".join((t or "").lower().split()) for i, t in docs}
+    return {i: sum(order[i] != order[j] and similarity(texts[i], texts[j]) >= 0.8 for j in texts) for i in texts}
+
+
+@pytest.mark.parametrize("blocks", [{}, {"block_docs": 3}, {"block_runs": 50}])
+def test_links_against_all_pairs(spark, blocks):
+    docs = corpus(3)
+    base = docs[-1][1].split()
+    group = [" ".join(base[:k] + ["other"] + base[k + 1 :]) for k in range(0, 60, 3)]
+    docs += [(len(docs) + k, text) for k, text in enumerate(group + group[:7] + [" ".join(base + ["end"] * k) for k in range(30)])]
+    docs += [(len(docs), None), (len(docs) + 1, "")]
+    frame = spark.createDataFrame([*docs, docs[-5], (None, docs[-5][1])], "doc_id long, text string")
+    found = neardup.jaccard_links(frame, **blocks).collect()
+    assert {r.doc_id: r.class_id for r in found} == brute(docs)
+    assert {r.doc_id: r.n_links for r in found} == links(docs)
+    assert len(found) == len(docs)
+
+
+def test_every_link_of_a_large_group_is_counted(spark):
+    base = " ".join(f"w{i}" for i in range(200))
+    docs = spark.range(0, 600, 1, 8).select(F.col("id").alias("doc_id"), F.concat(F.lit(base + " x"), F.col("id").cast("string")).alias("text"))
+    found = neardup.jaccard_links(docs, block_docs=100)
+    assert found.filter("class_id = 0 and n_links = 599").count() == 600
+    assert neardup.jaccard_links(docs.limit(0)).count() == 0
