@@ -2,12 +2,12 @@
 
 1. Items become their runs of ``SEED`` words. One pass over the documents finds all places of any of these runs and
    cuts out passages around them, wide enough for a whole item on either side.
-2. A run's document frequency is counted over all documents. For each item the rare runs are its seeds: those whose
-   frequency is at most twice the median of the item's runs. At least half of its runs always are, so a passage that
-   has leaked into very many documents is still found, and everyday phrases open no alignments.
-3. Seeds join passages to items. Each pair is aligned word by word (Smith-Waterman: 1 for a match, -0.5 for another,
-   missing or added word); the score is the best local alignment's sum over the item's number of words. Edited and
-   paraphrased copies lose a little, unrelated text scores near zero.
+2. Every run that a passage shares with an item is a seed, however frequent it is: a passage that holds any run of an
+   item is judged against it. Passages with the same words and runs are judged once, for all their documents.
+3. Seeds join passages to items. A pair whose words can't reach the score in any alignment is left out (see ``bound``).
+   The others are aligned word by word (Smith-Waterman: 1 for a match, -0.5 for another, missing or added word); the
+   score is the best local alignment's sum over the item's number of words. Edited and paraphrased copies lose a
+   little, unrelated text scores near zero.
 
 The runs go to the tasks in blocks of a fixed size, one pass for each block, so a benchmark of any size is
 searched completely and no task holds more than a block.
@@ -19,6 +19,7 @@ rows give one result per id and item, the best; ties go to the first place. Othe
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from functools import reduce
@@ -42,11 +43,16 @@ BLOCK_RUNS = 500_000
 _LONGS = T.ArrayType(T.LongType(), False)
 _ITEMS = T.StructType().add("item_id", T.LongType()).add("words", _LONGS).add("runs", _LONGS)
 _PASSAGES = (
-    T.StructType().add("doc_id", T.LongType()).add("start", T.LongType()).add("words", _LONGS).add("runs", _LONGS)
+    T.StructType()
+    .add("doc_id", T.LongType())
+    .add("start", T.LongType())
+    .add("passage", T.BinaryType())
+    .add("words", _LONGS)
+    .add("runs", _LONGS)
 )
 _SCORES = (
     T.StructType()
-    .add("doc_id", T.LongType())
+    .add("passage", T.BinaryType())
     .add("item_id", T.LongType())
     .add("score", T.DoubleType())
     .add("first_word", T.LongType())
@@ -69,6 +75,13 @@ def _read_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names=_ITEMS.names)
 
 
+def _digests(*columns: tuple[np.ndarray, np.ndarray]) -> list[bytes]:
+    """One digest a row of columns of lists (values, counts)."""
+    parts = [np.split(values, np.cumsum(counts)[:-1]) for values, counts in columns]
+    hashes = (hashlib.sha256(b"".join(hashlib.sha256(x.tobytes()).digest() for x in row)) for row in zip(*parts, strict=True))
+    return [x.digest() for x in hashes]
+
+
 class _Runs:
     """Exact membership in a set of keys, most misses told by a table of their upper bits."""
 
@@ -111,11 +124,13 @@ def _passages(known: _Runs, margin: int):
                 end = np.maximum.reduceat(high, np.flatnonzero(new))
                 size = end - start
                 inside = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                text, runs = found.key[inside], np.bincount(passage)
                 columns = [
                     part.column(0).take(pa.array(row[new])),
                     pa.array(start - begin[row[new]]),
-                    _lists(found.key[inside], size),
-                    _lists(key, np.bincount(passage)),
+                    pa.array(_digests((text, size), (key, runs)), pa.binary()),
+                    _lists(text, size),
+                    _lists(key, runs),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=_PASSAGES.names)
 
@@ -168,19 +183,39 @@ def align(texts: list[np.ndarray], items: list[np.ndarray]) -> tuple[np.ndarray,
     return score, first, end
 
 
-def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        def arrays(column: str, batch: pa.RecordBatch = batch) -> list[np.ndarray]:
-            lists = batch.column(column)
-            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
-            return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+def bound(text: np.ndarray, item: np.ndarray) -> float:
+    """No alignment has a higher score, in words.
+
+    A matched word stands in both. An alignment covers a stretch of the text, where every word that the item lacks
+    costs at least as much as another word does.
+    """
+    known = np.isin(text, item)
+    sums = np.concatenate(([0.0], np.cumsum(np.where(known, MATCH, OTHER))))
+    stretch = (sums - np.minimum.accumulate(sums)).max()
+    return min(float(stretch), MATCH * np.isin(item, text[known]).sum())
 
-        score, first, end = align(arrays("words"), arrays("item_words"))
-        start = batch.column("start").to_numpy()
-        found = [pa.array(score), pa.array(first + start), pa.array(end + start)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("item_id"), *found], names=_SCORES.names
-        )
+
+def _score(least: float):
+    """For mapInArrow over (passage, item_id, words, item_words): scores of at least ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            def arrays(column: str, batch: pa.RecordBatch = batch) -> list[np.ndarray]:
+                lists = batch.column(column)
+                values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+                return [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+            texts, items = arrays("words"), arrays("item_words")
+            able = [k for k, (t, i) in enumerate(zip(texts, items, strict=True)) if bound(t, i) >= least * len(i) - 1e-9]
+            score, first, end = align([texts[k] for k in able], [items[k] for k in able])
+            good = np.flatnonzero(score >= least)
+            rows = pa.array(np.array(able, np.int64)[good])
+            found = [pa.array(x[good]) for x in (score, first, end)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("passage").take(rows), batch.column("item_id").take(rows), *found], names=_SCORES.names
+            )
+
+    return run
 
 
 def find_leaks(
@@ -209,20 +244,21 @@ def find_leaks(
     none = docs.sparkSession.createDataFrame([], _PASSAGES)
     passages = stored(reduce(DataFrame.union, parts, none), "passages")
 
-    hits = passages.select("doc_id", "start", F.explode(F.array_distinct("runs")).alias("run"))
-    frequency = hits.groupBy("run").agg(F.count_distinct("doc_id").alias("documents"))
-    counted = every.distinct().join(frequency, "run")
-    usual = counted.groupBy("item_id").agg(F.median("documents").alias("usual"))
-    seeds = counted.join(usual, "item_id").filter(F.col("documents") <= 2 * F.col("usual"))
-    seeds = stored(seeds.select("run", "item_id"), "seeds")
-    pairs = stored(hits.join(seeds, "run").select("doc_id", "start", "item_id").distinct(), "seeded")
+    # Equal passages are judged once, whatever document they stand in.
+    different = stored(passages.dropDuplicates(["passage"]).drop("doc_id", "start"), "different-passages")
+    hits = different.select("passage", F.explode(F.array_distinct("runs")).alias("run"))
+    pairs = stored(hits.join(every.distinct(), "run").select("passage", "item_id").distinct(), "seeded")
     whole = items.select("item_id", F.col("words").alias("item_words"))
-    both = (
-        pairs.join(passages.drop("runs"), ["doc_id", "start"])
-        .join(whole, "item_id")
-        .select("doc_id", "item_id", "start", "words", "item_words")
+    both = pairs.join(different.drop("runs"), "passage").join(whole, "item_id")
+    scores = both.select("passage", "item_id", "words", "item_words").mapInArrow(_score(score), _SCORES)
+    places = passages.select("doc_id", "start", "passage")
+    scored = stored(scores, "scored-passages").join(places, "passage").select(
+        "doc_id",
+        "item_id",
+        "score",
+        (F.col("first_word") + F.col("start")).alias("first_word"),
+        (F.col("end_word") + F.col("start")).alias("end_word"),
     )
-    scored = both.mapInArrow(_score, _SCORES).filter(F.col("score") >= score)
     best = F.max(F.struct("score", F.negative("first_word").alias("back"), "end_word")).alias("best")
     return scored.groupBy("doc_id", "item_id").agg(best).select(
         F.col("doc_id").alias(id_column),

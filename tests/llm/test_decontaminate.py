@@ -82,3 +82,30 @@ def test_edges(spark):
     assert sorted(repr(r.doc_id) for r in kept.collect()) == ["2", "3", "4", "None"]
     assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
     assert decontaminate.find_leaks(docs.limit(0), bench).count() == 0
+
+
+def test_a_widespread_edited_copy_beside_a_few_whole_ones(spark):
+    """The runs that the edited copies keep are far more frequent than the item's median run."""
+    words = [f"w{i}" for i in range(40)]
+    edited = " ".join("x" if k % 5 == 4 else w for k, w in enumerate(words))
+    docs = spark.range(1003).select(
+        F.col("id").alias("doc_id"),
+        F.concat_ws(" ", F.when(F.col("id") < 3, " ".join(words)).otherwise(edited), F.concat(F.lit("end"), F.col("id") % 500)).alias("text"),
+    )
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    found = decontaminate.find_leaks(docs, bench).collect()
+    assert len(found) == 1003
+    assert {round(r.score, 4) for r in found if r.doc_id >= 3} == {round(plain_alignment(edited.split(), words), 4)}
+    half = docs.withColumn("text", F.when(F.col("doc_id") < 3, " ".join(words)).otherwise(" ".join(words[:24])))
+    assert decontaminate.find_leaks(half, bench).count() == 1003
+
+
+def test_the_bound_is_never_below_the_score():
+    r = random.Random(5)
+    for _ in range(400):
+        item = [r.randint(1, 30) for _ in range(r.randint(4, 20))]
+        text = [r.randint(1, 30) for _ in range(r.randint(0, 40))]
+        if r.random() < 0.7:
+            text[3:3] = [w for w in item if r.random() > 0.2]
+        found = decontaminate.bound(np.array(text, np.int64), np.array(item, np.int64))
+        assert found >= plain_alignment(text, item) * len(item) - 1e-9
