@@ -129,3 +129,18 @@ def against_partner(conversations: DataFrame) -> DataFrame:
         .unionByName(turn(own, "chosen", "own.turn", assistant, "own.text"))
         .unionByName(turn(own.join(partner, "conv_id"), "rejected", "own.turn", assistant, "other"))
     )
+
+
+def whole_conversations(conversations: DataFrame) -> DataFrame:
+    """Turns of one pair for each conversation, every turn kept: the conversation against its whole partner.
+
+    The partner's id differs in the last bit; without a partner the rejected side is empty. Turns after the last
+    answer, null and equal turn numbers stay, so prefixes end wherever the two conversations part.
+    """
+    turns = conversations.select("conv_id", "turn", "role", "text").filter("conv_id is not null")
+    chosen = turns.select(F.col("conv_id").alias("pair_id"), F.lit("chosen").alias("side"), "turn", "role", "text")
+    other = F.col("conv_id").bitwiseXOR(F.lit(1)).alias("pair_id")
+    rejected = turns.select(other, F.lit("rejected").alias("side"), "turn", "role", "text")
+    # A pair for each conversation, none for partners that don't exist.
+    rejected = rejected.join(chosen.select("pair_id").distinct(), "pair_id", "left_semi")
+    return chosen.unionByName(rejected)

@@ -24,10 +24,7 @@ def _query(function: Query) -> Query:
     return function
 
 
-@_query
-def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = chat.against_partner(table(spark, sf_dir, "conversations"))
-
+def _formatted(turns: DataFrame) -> DataFrame:
     def ranges(mask: str) -> Column:
         return F.array_join(
             F.transform(mask, lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string"))), ","
@@ -44,6 +41,16 @@ def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _formatted(chat.against_partner(table(spark, sf_dir, "conversations")))
+
+
+@_query
+def op1_whole_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _formatted(chat.whole_conversations(table(spark, sf_dir, "conversations")))
+
+
 #: The rules of the query, host, path and action.
 URL_RULES = [
     ("com", "/", "allow"),

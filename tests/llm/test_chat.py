@@ -1,4 +1,4 @@
-from skytally.llm.chat import preference_pairs
+from skytally.llm.chat import preference_pairs, whole_conversations
 
 SCHEMA = "pair_id long, side string, turn long, role string, text string, prompt string, place int"
 
@@ -41,3 +41,20 @@ def test_edges(spark):
     assert (found[5].n_common, found[5].chosen.count("t<|"), found[5].rejected) == (1, 1, "")
     assert found[7].n_common == 0 and len(found[7].chosen) > 400_000
     assert pairs(spark) == {}
+
+
+def test_whole_conversations_keep_every_turn(spark):
+    rows = [
+        (2, None, "system", "s"), (2, 0, "user", "q"), (2, 1, "assistant", "a"), (2, 1, "user", "same number"), (2, 2, "user", "after"),
+        (3, None, "system", "s"), (3, 0, "user", "q"), (3, 1, "assistant", "b"),
+        (8, 0, "user", "alone"), (None, 0, "user", "nobody"),
+    ]
+    frame = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, pair_id int")
+    found = {r.pair_id: r for r in preference_pairs(whole_conversations(frame)).collect()}
+    assert sorted(found) == [2, 3, 8]
+    piece = lambda role, text: f"<|im_start|>{role}\n{text}<|im_end|>\n"
+    longer = piece("assistant", "a") + piece("user", "same number") + piece("user", "after")
+    assert (found[2].n_common, found[2].prompt) == (2, piece("system", "s") + piece("user", "q"))
+    assert (found[2].chosen, found[2].rejected) == (longer, piece("assistant", "b"))
+    assert (found[3].chosen, found[3].rejected) == (piece("assistant", "b"), longer)
+    assert (found[8].n_common, found[8].chosen, found[8].rejected) == (0, piece("user", "alone"), "")
