@@ -117,3 +117,74 @@ SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
            AS verdict
 FROM pages LEFT JOIN judged USING (url) LEFT JOIN decided ON pages.url = decided.node
 """
+
+# The CRC is worked out byte by byte from its polynomial.
+SQL["op12_importance_resampling"] = r"""
+WITH steps AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k:
+        CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, CAST(b AS BIGINT))) AS step),
+docs AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents),
+items AS (
+    SELECT unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+    FROM benchmark),
+source AS (SELECT row, word, count(*) AS n FROM (SELECT row, unnest(words) AS word FROM docs) GROUP BY row, word),
+vocabulary AS (
+    SELECT word, xor(list_reduce(
+        list_transform(range(octet_length(encode(word))),
+            lambda i: CAST('0x' || substr(hex(encode(word)), CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT)),
+        lambda c, b: xor(c // 256, step[xor(c, b) % 256 + 1]), 4294967295), 4294967295) % 10000 AS bucket
+    FROM (SELECT word FROM source UNION SELECT word FROM items), steps),
+sums AS (
+    SELECT bucket, sum(s) AS s, sum(t) AS t FROM (
+        SELECT bucket, n AS s, 0 AS t FROM source JOIN vocabulary USING (word)
+        UNION ALL SELECT bucket, 0, 1 FROM items JOIN vocabulary USING (word)) GROUP BY bucket),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(((t + 1.0::DOUBLE) * (sum(s) OVER () + 10000.0::DOUBLE))
+        / ((s + 1.0::DOUBLE) * (sum(t) OVER () + 10000.0::DOUBLE)))) AS BIGINT) AS gain
+    FROM sums),
+weights AS (
+    SELECT row, sum(n) AS n, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight
+    FROM source JOIN vocabulary USING (word) JOIN gains USING (bucket) GROUP BY row),
+scored AS (
+    SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT)
+               + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+    FROM docs LEFT JOIN weights USING (row)),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+           count(*) FILTER (n_features >= 20) OVER () AS eligible
+    FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * eligible // 100 THEN place END AS rank
+FROM placed
+"""
+
+SQL["op13_lexical_search"] = r"""
+WITH found AS (
+    SELECT row, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)),
+sizes AS (SELECT row, count(*) AS n FROM found GROUP BY row),
+totals AS (SELECT count(*) AS documents, sum(n)::BIGINT AS length FROM sizes),
+held AS (SELECT row, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM found GROUP BY row, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * any_value(documents) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+    FROM held, totals GROUP BY term),
+asked AS (
+    SELECT item, item_id, term, count(*) AS times FROM (
+        SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(translate(text,
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY item, item_id, term),
+scores AS (
+    SELECT item, item_id, row, doc_id,
+           sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * documents) // length))))::BIGINT AS score
+    FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (row), totals
+    GROUP BY item, item_id, row, doc_id),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS place FROM scores WHERE score > 0)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM placed WHERE place <= 20
+"""

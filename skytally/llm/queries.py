@@ -8,7 +8,20 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skytally.llm import bpe, brown, chat, decontaminate, dedup, licenses, neardup, pii, quality, urlfilter
+from skytally.llm import (
+    bpe,
+    brown,
+    chat,
+    decontaminate,
+    dedup,
+    licenses,
+    neardup,
+    pii,
+    quality,
+    resample,
+    search,
+    urlfilter,
+)
 from skytally.llm.storage import prepared, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,3 +188,14 @@ def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("pii")).alias("spans"),
     )
+
+
+@_query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
