@@ -80,34 +80,26 @@ class Features:
 
 
 _COUNTED = (
-    T.StructType()
-    .add("n_words", T.LongType())
-    .add("n_features", T.LongType())
-    .add("buckets", T.ArrayType(T.IntegerType()))
-    .add("counts", T.ArrayType(T.LongType()))
+    T.StructType().add("n_words", T.LongType()).add("n_features", T.LongType()).add("buckets", T.BinaryType())
 )
+#: What a text's buckets are packed as: no text has more features than these counts hold.
+_PAIR = np.dtype([("bucket", "<i4"), ("count", "<u4")])
 
 
 def counted(docs: DataFrame, id_column: str, text: str, shortest: int, longest: int, buckets: int) -> DataFrame:
-    """id, n_words, n_features and the counts of each text's buckets."""
+    """id, n_words, n_features and the counts of each text's buckets, packed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(shortest, longest, buckets)
         for batch in batches:
-            words, keys, counts = [], [], []
+            words, sizes, packed = [], [], []
             for value in batch.column(1):
                 n, found = features.count(value.as_py() or "")
                 words.append(n)
-                keys.append(list(found))
-                counts.append(list(found.values()))
+                sizes.append(found.total())
+                packed.append(np.fromiter(found.items(), _PAIR, len(found)).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(words, pa.int64()),
-                    pa.array([sum(c) for c in counts], pa.int64()),
-                    pa.array(keys, pa.list_(pa.int32())),
-                    pa.array(counts, pa.list_(pa.int64())),
-                ],
+                [batch.column(0), pa.array(words, pa.int64()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())],
                 names=["id", *_COUNTED.fieldNames()],
             )
 
@@ -115,8 +107,13 @@ def counted(docs: DataFrame, id_column: str, text: str, shortest: int, longest:
     return read.mapInArrow(count, T.StructType([read.schema["id"], *_COUNTED.fields]))
 
 
-def _flat(column: pa.Array, kind: type) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(kind)
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets and counts of all rows in a row, and where each row's begin (one more at the end)."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    pairs = np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]].view(_PAIR)
+    return pairs["bucket"], pairs["count"].astype(np.int64), (ends - ends[0]) // _PAIR.itemsize
 
 
 def histogram(features: DataFrame, buckets: int) -> np.ndarray:
@@ -125,11 +122,12 @@ def histogram(features: DataFrame, buckets: int) -> np.ndarray:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
-            np.add.at(total, _flat(batch.column(0), np.int64), _flat(batch.column(1), np.int64))
+            bucket, count, _ = _unpacked(batch.column(0))
+            np.add.at(total, bucket, count)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["bucket", "n"])
 
-    parts = features.select("buckets", "counts").mapInArrow(add, "bucket int, n long")
+    parts = features.select("buckets").mapInArrow(add, "bucket int, n long")
     rows = parts.groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(buckets, np.int64)
     for row in rows:
@@ -145,17 +143,21 @@ def gains(source: np.ndarray, target: np.ndarray) -> np.ndarray:
     return np.floor(1000 * np.log(over / under)).astype(np.int64)
 
 
-def _weight(gain: np.ndarray) -> Column:
-    @F.arrow_udf(T.LongType())
-    def weigh(buckets: pa.Array, counts: pa.Array) -> pa.Array:
-        times = _flat(counts, np.int64)
-        sums = np.concatenate(([0], np.cumsum(gain[_flat(buckets, np.int64)] * times)))
-        every = np.concatenate(([0], np.cumsum(times)))
-        ends = np.concatenate(([0], np.cumsum(buckets.value_lengths().to_numpy(zero_copy_only=False))))
-        number = np.diff(every[ends])
-        return pa.array(np.diff(sums[ends]) // np.maximum(number, 1), pa.int64())
+def weighed(features: DataFrame, gain: np.ndarray) -> DataFrame:
+    """id, n_words, n_features and the floored mean gain of each text's features."""
 
-    return weigh("buckets", "counts")
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bucket, count, ends = _unpacked(batch.column(3))
+            sums = np.concatenate(([0], np.cumsum(gain[bucket] * count)))
+            number = batch.column(2).to_numpy(zero_copy_only=False)
+            weight = np.diff(sums[ends]) // np.maximum(number, 1)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], pa.array(weight, pa.int64())], names=["id", "n_words", "n_features", "weight"]
+            )
+
+    kept = [features.schema[name] for name in ("id", "n_words", "n_features")]
+    return features.mapInArrow(weigh, T.StructType([*kept, T.StructField("weight", T.LongType())]))
 
 
 def noise(id_column: Column, seed: int = SEED) -> Column:
@@ -221,6 +223,6 @@ def resample(
     features = stored(counted(docs, id_column, text, *shape), "features")
     wanted = counted(target.withColumn("id", F.lit(0)).select("id", text), "id", text, *shape)
     gain = gains(histogram(features, buckets), histogram(wanted, buckets))
-    weighed = features.select("id", "n_words", "n_features", _weight(gain).alias("weight"))
-    scored = stored(weighed.withColumn("score", F.col("weight") + noise(F.col("id"), seed)), "weighed")
+    score = F.col("weight") + noise(F.col("id"), seed)
+    scored = stored(weighed(features, gain).withColumn("score", score), "weighed")
     return _ranked(scored, fewest_words, percent).withColumnRenamed("id", id_column)
