@@ -20,6 +20,7 @@ from skytally.llm import (
     quality,
     resample,
     search,
+    toxicity,
     urlfilter,
 )
 from skytally.llm.storage import prepared, table
@@ -190,6 +191,18 @@ def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op11_toxicity_subwords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @_query
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

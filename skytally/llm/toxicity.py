@@ -10,7 +10,7 @@ Training runs in numpy on the driver over a bounded sample: at most ``SAMPLE_ROW
 by a hash of their id. Of each the driver gets the weights of its buckets, worked out in the tasks over the whole text:
 at most one number for each bucket, whatever the text's length. As the model is linear in the embedding, what a bucket
 adds to the logit is one number; only that table goes to the tasks that score, which read whole texts, each distinct
-word of a few megabytes of text once.
+word of a few megabytes of text once. A single text longer than that is worked on whole.
 
 Null and empty texts have no words: their score is the model's offset. Rows of labels with a null id or label are
 ignored; an id labelled both ways is learnt with its higher label, a row of documents that repeats is learnt as often
@@ -32,16 +32,20 @@ from pyspark.sql import types as T
 from skytally.llm.words import Words, keys, slices, words
 
 #: Labelled rows of each class that training sees at most.
-SAMPLE_ROWS = 1500
+SAMPLE_ROWS = 2500
 #: A score from here on predicts a toxic text.
 THRESHOLD = 0.5
 
 SHORTEST, LONGEST = 3, 6
 BUCKETS = 1 << 17
 DIMENSIONS = 8
-STEPS = 1200
+STEPS = 2400
 BATCH = 32
-RATE = 300
+RATE = 5.0
+#: Share of a text's n-grams that a step looks at.
+KEEP = 0.3
+#: An n-gram that fewer of the sample's texts hold is left out.
+FEWEST_TEXTS = 8
 
 _BYTES = np.arange(256)
 _WORD = ((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | (_BYTES >= 0x80)
@@ -137,7 +141,7 @@ class Model:
         if self.constant is not None:
             return np.full(len(column), self.constant)
         scores = []
-        for part in slices(pa.RecordBatch.from_arrays([column], names=["text"]), 0):
+        for part in slices(pa.RecordBatch.from_arrays([column], names=["text"])):
             found = trimmed(part.column(0))
             total = np.zeros(found.rows)
             if len(found.row):
@@ -159,17 +163,23 @@ def trained(
     if len(np.unique(labels)) < 2:
         return Model(np.zeros(0), 0.0, float(labels[0]) if len(labels) else 0.0)
     random = np.random.default_rng(seed)
-    # Rows that no text touches stay zero, so they say nothing about a text.
+    texts = np.bincount(np.concatenate([b for b, _ in bags]), minlength=BUCKETS)
+    common = texts >= FEWEST_TEXTS
+    bags = [(b[common[b]], w[common[b]]) for b, w in bags]
+    # Buckets that no step touches stay zero, so they say nothing about a text.
     embedding = np.zeros((BUCKETS, DIMENSIONS), np.float32)
     softmax = random.standard_normal((DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    moved = [1e-12, 1e-12, 1e-12]  # squared gradients so far
+    squares = [np.full_like(a, 1e-8) for a in (embedding, softmax, bias)]
     classes = [np.flatnonzero(labels == k) for k in (0, 1)]
     for step in range(steps):
         chosen = np.concatenate([random.choice(c, BATCH // 2) for c in classes])
         bucket = np.concatenate([bags[i][0] for i in chosen])
         weight = np.concatenate([bags[i][1] for i in chosen])
         text = np.repeat(np.arange(BATCH), [len(bags[i][0]) for i in chosen])
+        # Each step looks at a part of every bag, so that no text is known by a few rare n-grams.
+        kept = random.random(len(bucket)) < KEEP
+        bucket, weight, text = bucket[kept], weight[kept] / np.float32(KEEP), text[kept]
         terms = embedding[bucket] * weight[:, None]
         hidden = np.stack([np.bincount(text, terms[:, d], BATCH) for d in range(DIMENSIONS)], axis=1)
         logits = hidden @ softmax + bias
@@ -181,16 +191,12 @@ def trained(
         touched, at = np.unique(bucket, return_inverse=True)
         slope = np.stack([np.bincount(at, back[:, d], len(touched)) for d in range(DIMENSIONS)], axis=1)
         rate = 1 - step / steps
-        # One rate for a whole table: n-grams that many texts share move far, those of one text hardly.
-        for k, (own, speed, gradient) in enumerate(
-            ((embedding, RATE, slope), (softmax, 0.1, hidden.T @ error), (bias, 0.5, error.sum(axis=0)))
-        ):
-            moved[k] += float((gradient**2).sum())
-            change = (speed * rate * gradient / moved[k] ** 0.5).astype(np.float32)
-            if k:
-                own -= change
-            else:
-                own[touched] -= change
+        # Adagrad, the embedding only where this step's texts touch it.
+        squares[0][touched] += slope**2
+        embedding[touched] -= (RATE * rate * slope / np.sqrt(squares[0][touched])).astype(np.float32)
+        for own, square, gradient in ((softmax, squares[1], hidden.T @ error), (bias, squares[2], error.sum(axis=0))):
+            square += gradient**2
+            own -= (0.1 * rate * gradient / np.sqrt(square)).astype(np.float32)
     direction = (softmax[:, 1] - softmax[:, 0]).astype(np.float64)
     return Model((embedding @ direction).astype(np.float64), float(bias[1] - bias[0]) + float(np.log(odds)))
 
