@@ -13,8 +13,7 @@ adds to the logit is one number; only that table goes to the tasks that score, w
 word of a few megabytes of text once. A single text longer than that is worked on whole.
 
 Null and empty texts have no words: their score is the model's offset. Rows of labels with a null id or label are
-ignored; an id labelled both ways is learnt with its higher label, a row of documents that repeats is learnt as often
-as the bound on rows allows. Without labels of both classes nothing can be learnt: every score is then the label there
+ignored; an id labelled both ways is learnt with its higher label, one that repeats among the documents with one of its texts. Without labels of both classes nothing can be learnt: every score is then the label there
 is, or 0 if there is none. Equal texts get equal scores. An empty table gives an empty result. A column with the name
 of the result is replaced; others pass through.
 """
@@ -32,12 +31,13 @@ from pyspark.sql import types as T
 from skytally.llm.words import Words, keys, slices, words
 
 #: Labelled rows of each class that training sees at most.
-SAMPLE_ROWS = 2500
+SAMPLE_ROWS = 1500
 #: A score from here on predicts a toxic text.
 THRESHOLD = 0.5
 
 SHORTEST, LONGEST = 3, 6
-BUCKETS = 1 << 17
+#: At most 1 << 16, so that two bytes name a bucket.
+BUCKETS = 1 << 16
 DIMENSIONS = 8
 STEPS = 2400
 BATCH = 32
@@ -47,6 +47,9 @@ KEEP = 0.3
 #: An n-gram that fewer of the sample's texts hold is left out.
 FEWEST_TEXTS = 8
 
+#: Weights are sent in thousandths or so, which half precision holds well.
+_SCALE = 1024
+
 _BYTES = np.arange(256)
 _WORD = ((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((_BYTES >= 0x61) & (_BYTES <= 0x7A)) | (_BYTES >= 0x80)
 
@@ -123,14 +126,20 @@ def _bags(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
 
 @F.arrow_udf(T.BinaryType())
 def _bag(column: pa.Array) -> pa.Array:
-    """Buckets and weights of each text, packed."""
+    """Buckets and weights of each text, packed in four bytes each."""
     packed = []
     batch = pa.RecordBatch.from_arrays([column], names=["text"])
     for part in slices(batch, 0):
-        packed += [bucket.tobytes() + weight.tobytes() for bucket, weight in _bags(part.column(0))]
+        for bucket, weight in _bags(part.column(0)):
+            packed.append(bucket.astype("<u2").tobytes() + (weight * _SCALE).astype("<f2").tobytes())
     return pa.array(packed, pa.binary())
 
 
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    size = len(packed) // 4
+    return np.frombuffer(packed, "<u2", size), np.frombuffer(packed, "<f2", size, 2 * size)
+
+
 @dataclass
 class Model:
     adds: np.ndarray  # of each bucket to the logit
@@ -156,14 +165,16 @@ class Model:
 def trained(
     bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, odds: float, steps: int = STEPS, seed: int = 7
 ) -> Model:
-    """The model of some texts, given as buckets and weights. Each step takes as many texts of either class.
+    """The model of some texts, given as buckets and scaled weights. Each step takes as many texts of either class.
 
     ``odds`` are those of the label 1 among all texts; the offset is moved from even odds to them.
     """
     if len(np.unique(labels)) < 2:
         return Model(np.zeros(0), 0.0, float(labels[0]) if len(labels) else 0.0)
     random = np.random.default_rng(seed)
-    texts = np.bincount(np.concatenate([b for b, _ in bags]), minlength=BUCKETS)
+    texts = np.zeros(BUCKETS, np.int64)
+    for bucket, _ in bags:
+        texts[bucket] += 1
     common = texts >= FEWEST_TEXTS
     bags = [(b[common[b]], w[common[b]]) for b, w in bags]
     # Buckets that no step touches stay zero, so they say nothing about a text.
@@ -175,11 +186,11 @@ def trained(
     for step in range(steps):
         chosen = np.concatenate([random.choice(c, BATCH // 2) for c in classes])
         bucket = np.concatenate([bags[i][0] for i in chosen])
-        weight = np.concatenate([bags[i][1] for i in chosen])
+        weight = np.concatenate([bags[i][1] for i in chosen]).astype(np.float32)
         text = np.repeat(np.arange(BATCH), [len(bags[i][0]) for i in chosen])
         # Each step looks at a part of every bag, so that no text is known by a few rare n-grams.
         kept = random.random(len(bucket)) < KEEP
-        bucket, weight, text = bucket[kept], weight[kept] / np.float32(KEEP), text[kept]
+        bucket, weight, text = bucket[kept], weight[kept] / np.float32(KEEP * _SCALE), text[kept]
         terms = embedding[bucket] * weight[:, None]
         hidden = np.stack([np.bincount(text, terms[:, d], BATCH) for d in range(DIMENSIONS)], axis=1)
         logits = hidden @ softmax + bias
@@ -216,19 +227,17 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", steps: int =
     picked = [
         known.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS) for k in (0, 1)
     ]
-    # At most 2 * SAMPLE_ROWS ids, hence broadcast.
+    # At most 2 * SAMPLE_ROWS ids, hence broadcast; as many rows go to the driver.
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(picked[0].union(picked[1])), "doc_id")
         .select("doc_id", "label", _bag("text").alias("bag"))
-        .orderBy("doc_id", "bag")
-        .limit(2 * SAMPLE_ROWS)
+        .groupBy("doc_id", "label")
+        .agg(F.min("bag").alias("bag"))
         .toArrow()
+        .sort_by("doc_id")
     )
-    bags = []
-    for value in rows.column("bag"):
-        half = len(packed := value.as_buffer()) // 2
-        bags.append((np.frombuffer(packed, np.int32, half // 4), np.frombuffer(packed, np.float32, half // 4, half)))
+    bags = [_unpacked(value.as_buffer()) for value in rows.column("bag")]
     odds = number.get(1, 0) / max(1, number.get(0, 0))
     return trained(bags, rows.column("label").to_numpy().astype(np.int64), odds, steps)
 

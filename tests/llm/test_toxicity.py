@@ -61,7 +61,7 @@ def test_unseen_spellings_lie_near():
     random = np.random.default_rng(1)
     clean = [" ".join(random.choice(["the", "of", "and", "river", "stone"], 30)) for _ in range(60)]
     toxic = [f"{c} idiot {d}" for c, d in zip(clean[:30], clean[30:], strict=True)]
-    bags = toxicity._bags(pa.array(clean + toxic))
+    bags = [(b, w * toxicity._SCALE) for b, w in toxicity._bags(pa.array(clean + toxic))]
     model = toxicity.trained(bags, np.array([0] * 60 + [1] * 30), 0.5, steps=300)
     known, near, far = model.score(pa.array([f"{clean[5]} {w}" for w in ("idiot", "idiott", "water")]))
     assert known > 0.8 and near > far + 0.2 and far < 0.5
