@@ -4,7 +4,9 @@ Anchors are at-signs, plus signs, digits, ``://`` and words that announce an ide
 parser takes the whole candidate and then accepts or drops it. Spans of one kind never overlap; spans of
 different kinds may. Positions are code points, the end is exclusive.
 
-Null and empty texts have no spans. The text column's other columns pass through; a column that has the name of
+Null and empty texts have no spans. A text is read once from beginning to end, each parser goes on behind its last match
+and looks at a bounded stretch or at each character a fixed number of times, so the time of a very long text grows with
+its length; one text is held whole. The text column's other columns pass through; a column that has the name of
 the result is replaced. Rows are judged one by one, so repeated rows and ties don't matter.
 """
 
@@ -32,7 +34,7 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _USER = re.compile(r"[^\s/?#@]+@[A-Za-z0-9.-]+")
 _SCHEME = frozenset("abcdefghijklmnopqrstuvwxyz0123456789+.-")
-_IBAN = re.compile(r"[ :=#.]{0,4}([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})", re.I)
+_IBAN = re.compile(r"[ :=#.]{0,4}([A-Za-z]{2}[0-9]{2}(?: ?[A-Za-z0-9]){11,30})")
 _SSN = re.compile(r"[ :=#.]{0,4}([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9])")
 _SECRET = re.compile(r"[ :='\"]{1,6}([A-Za-z0-9_/+=.-]{16,})")
 
@@ -78,6 +80,12 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _fits_byte(digits: str) -> bool:
+    """Whether a number is at most 255, with any number of zeros before it."""
+    digits = digits.lstrip("0") or "0"
+    return len(digits) <= 3 and int(digits) <= 255
+
+
 def _iban_fits(text: str) -> bool:
     text = text.replace(" ", "").upper()
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
@@ -105,7 +113,7 @@ def spans(text: str) -> list[tuple[int, str, int]]:
             if at >= free["ip"]:
                 match = _IP.match(text, at)
                 free["ip"] = (match or _DIGITS.match(text, at)).end()
-                if match and all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in match[0].split(".")):
+                if match and all(_fits_byte(part) for part in match[0].split(".")):
                     take("ip", at, match.end())
         elif cue == "plus":
             match = _PHONE.match(text, at) if at >= free["phone"] else None
@@ -131,13 +139,15 @@ def spans(text: str) -> list[tuple[int, str, int]]:
                 take("login", start, match.end())
         else:
             parser = {"iban": _IBAN, "ssn": _SSN, "secret": _SECRET}[cue]
-            match = parser.match(text, last + 1)
+            # A value begins at most six characters behind its cue.
+            match = parser.match(text, last + 1) if last + 7 >= free[cue] else None
             if match and match.start(1) >= free[cue]:
                 fits = True
                 if cue == "iban":
                     fits = _iban_fits(match[1])
-                elif cue == "secret":  # a word is no key
+                elif cue == "secret":  # a word is no key, nor is any later part of it
                     fits = any(c.isdigit() for c in match[1])
+                    free[cue] = match.end(1)
                 if fits:
                     free[cue] = match.end(1)
                     take(cue, match.start(1), match.end(1))
