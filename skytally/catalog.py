@@ -1173,5 +1173,5 @@ def run_metrics(spark, sf_dir):
     """What a whole run counts, but for its times."""
     landing = _once(spark, sf_dir, "landing", lambda path: _land(spark, sf_dir, path))
     run = _complete(batch.run(spark, landing, _fresh(spark, "run"), _RUN_TS))
-    log = spark.read.schema(schemas.RUN_METRICS).parquet(run.path(zones.GOLD, "run_metrics"))
+    log = run.read(zones.GOLD, "run_metrics", schemas.RUN_METRICS)
     return log.filter(F.col("metric") != "milliseconds")

@@ -1,16 +1,17 @@
 """One run over one snapshot: landed files to bronze, silver and gold.
 
 ``run_ts`` names the batch in every zone; no result depends on the clock. Each step hands over through
-written tables only, so a step can be repeated alone, and repeating it replaces its own hour.
+written tables only, so a step can be repeated alone, and repeating it replaces its own hour. A step commits its
+tables together, at its end: until then, and where it fails, the hour's earlier state is what everyone reads.
 What fails is entered in the run log: an indicator does not stop the others, a step stops the next ones,
-which would work on an older state. A missing input is entered too: without flights the step fails before it
-overwrites anything, without a dimension the run goes on.
+which would work on an older state. A missing input, and one without rows, is entered too: without flights the step
+fails and commits nothing, without a dimension the run goes on. Rows that are not accounted for fail the step.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
@@ -31,26 +32,52 @@ class Run:
     spark: SparkSession
     root: str
     run_ts: datetime
+    id: str = field(default_factory=zones.new_run)
     log: list[tuple] = field(default_factory=list)
     failed: list[str] = field(default_factory=list)
     missing: list[str] = field(default_factory=list)
 
-    def path(self, zone: str, table: str) -> str:
-        return zones.batch_path(zones.table_path(self.root, zone, table), self.run_ts)
-
-    def silver(self, table: str, schema) -> DataFrame:
-        return files.read_parquet(self.spark, self.path(zones.SILVER, table), schema)
+    def table(self, zone: str, table: str) -> str:
+        return zones.table_path(self.root, zone, table)
 
     def save(self, df: DataFrame, zone: str, table: str) -> None:
-        zones.write_batch(df, zones.table_path(self.root, zone, table), self.run_ts)
-
-    def look_for(self, step: str, inputs: dict[str, str], needed: Sequence[str]) -> None:
-        """Enter inputs (name -> path) that aren't there in the run log; raise if a needed one isn't."""
-        absent = [name for name, path in inputs.items() if files.is_missing(self.spark, path)]
+        """Write a table of the hour; it counts once the step commits it."""
+        zones.write_run(df, self.table(zone, table), self.run_ts, self.id)
+
+    def written(self, zone: str, table: str, schema) -> DataFrame:
+        """What this run wrote, committed or not."""
+        return self.spark.read.schema(schema).parquet(zones.run_path(self.table(zone, table), self.run_ts, self.id))
+
+    def commit(self, zone: str, tables: Iterable[str], rows: dict[str, int] | None = None) -> None:
+        zones.commit(self.spark, f"{self.root.rstrip('/')}/{zone}", self.run_ts, dict.fromkeys(tables, self.id), rows)
+
+    def committed(self, zone: str) -> dict[str, str]:
+        return zones.committed(self.spark, f"{self.root.rstrip('/')}/{zone}", self.run_ts)["tables"]
+
+    def path(self, zone: str, table: str) -> str | None:
+        """Where the committed state of the hour is."""
+        run = self.committed(zone).get(table)
+        return run and zones.run_path(self.table(zone, table), self.run_ts, run)
+
+    def read(self, zone: str, table: str, schema) -> DataFrame:
+        """The committed state of the hour; no rows of the known schema where there is none."""
+        path = self.path(zone, table)
+        if path is None:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def enter_missing(self, step: str, absent: Iterable[str], needed: Collection[str]) -> None:
+        """Enter inputs that aren't there, or have no rows, in the run log; raise if a needed one is among them."""
+        absent = [name for name in absent if name not in self.missing]
         self.missing += absent
         self.log += [(step, "missing_input", 1, name) for name in absent]
         if lost := [name for name in absent if name in needed]:
-            raise FileNotFoundError(f"nothing at {', '.join(inputs[name] for name in lost)}")
+            raise FileNotFoundError(f"no rows for {step}: {', '.join(lost)}")
+
+    def balance(self, step: str, what: str, came: int, accounted: int) -> None:
+        """Raise unless as many rows are accounted for as came in."""
+        if came != accounted:
+            raise ArithmeticError(f"{step}: {came} {what} came in, {accounted} are accounted for")
 
     def attempt(self, step: str, work: Callable[[], None]) -> bool:
         """Do a step and say whether it worked. Its time, or its failure, goes to the run log."""
@@ -78,8 +105,7 @@ def _staged(run: Run, landing: str, name: str, schema) -> tuple[DataFrame, DataF
     """Parse a landed table once, into Parquet; give its sound records and its rejects from there."""
     parsed = files.read_json_lines(run.spark, _landed(landing, name), schema)
     run.save(parsed, zones.BRONZE, name)
-    written = run.spark.read.schema(parsed.schema).parquet(run.path(zones.BRONZE, name))
-    return files.split_corrupt(written, name)
+    return files.split_corrupt(run.written(zones.BRONZE, name, parsed.schema), name)
 
 
 LANDED = {
@@ -97,73 +123,106 @@ def _landed(landing: str, name: str) -> str:
 
 def extract(run: Run, landing: str) -> None:
     """Landed JSON Lines to bronze. Flights are shaped once and written split by outcome."""
-    run.look_for("extract", {name: _landed(landing, name) for name in LANDED}, ("listing", "details"))
+    needed = ("listing", "details")
+    absent = [name for name in LANDED if files.is_missing(run.spark, _landed(landing, name))]
+    run.enter_missing("extract", absent, needed)
     staged = run.together(*[partial(_staged, run, landing, *table) for table in LANDED.items()])
-    (listing, details, raw_airports, raw_airlines, countries), broken = zip(*staged)
+    sound, broken = zip(*staged, strict=True)
+    rows = dict(zip(LANDED, run.together(*[df.count for df in sound]), strict=True))
+    run.enter_missing("extract", [name for name, n in rows.items() if not n], needed)
+    listing, details, raw_airports, raw_airlines, countries = sound
     countries = one_per_key(countries, "country")
 
-    _write_bronze(
+    good, refused = _write_bronze(
         run,
         bronze.shape_flights(listing, details),
         bronze.with_continent(raw_airports, countries),
         bronze.airline_records(raw_airlines),
         [*broken, bronze.airport_rejects(raw_airports, countries)],
     )
+    run.balance("extract", "listing rows", rows["listing"], good + refused + quality.listing_copies(listing))
+    run.commit(zones.BRONZE, [*LANDED, *BRONZE], rows)
 
 
 def adopt(run: Run, flights: str, airports: str, airlines: str) -> None:
     """Existing files to bronze: arrays of shaped flight records, and wrapped airports and airlines."""
-    run.look_for("extract", {"flights": flights, "airports": airports, "airlines": airlines}, ("flights",))
-    read = lambda path, schema, name: files.split_corrupt(
-        files.read_json_array(run.spark, path, schema), name
+    inputs = {"flights": flights, "airports": airports, "airlines": airlines}
+    absent = [name for name, path in inputs.items() if files.is_missing(run.spark, path)]
+    run.enter_missing("extract", absent, ("flights",))
+    spark = run.spark
+    records, bad_flights = files.split_corrupt(
+        files.read_json_array(spark, flights, schemas.BRONZE_FLIGHT), "flights"
     )
-    records, bad_flights = read(flights, schemas.BRONZE_FLIGHT, "flights")
-    wrapped_airports, bad_airports = read(airports, schemas.BRONZE_AIRPORTS, "airports")
-    wrapped_airlines, bad_airlines = read(airlines, schemas.BRONZE_AIRLINES, "airlines")
-    _write_bronze(
+    wrapped_airports, bad_airports = files.split_corrupt(
+        files.read_json_whole(spark, airports, schemas.BRONZE_AIRPORTS), "airports"
+    )
+    wrapped_airlines, bad_airlines = files.split_corrupt(
+        files.read_json_whole(spark, airlines, schemas.BRONZE_AIRLINES), "airlines"
+    )
+    good, refused = _write_bronze(
         run,
         bronze.verdict(records),
         files.unwrap(wrapped_airports, "airports"),
         files.unwrap(wrapped_airlines, "airlines"),
         [bad_flights, bad_airports, bad_airlines],
     )
+    run.commit(zones.BRONZE, BRONZE, {"flights": good + refused})
+
+
+#: The tables of bronze besides the parsed snapshots.
+BRONZE = ("flights", "airports", "airlines", "rejects")
+SILVER = {
+    "flights": schemas.SILVER_FLIGHTS, "airports": schemas.SILVER_AIRPORTS, "airlines": schemas.SILVER_AIRLINES
+}
 
 
 def _write_bronze(
     run: Run, flights: DataFrame, airports: DataFrame, airlines: DataFrame, rejects: list[DataFrame]
-) -> None:
-    # Static: without rejects this time, those of an earlier run of the hour must go.
-    by_outcome = (
-        flights.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("outcome")
-    )
+) -> tuple[int, int]:
+    """Write the tables; give the number of good and of refused flights. Without good flights the step fails."""
+    path = zones.run_path(run.table(zones.BRONZE, "flights"), run.run_ts, run.id)
+    for dimension, key, name in ((airports, "iata", "airports"), (airlines, "icao", "airlines")):
+        rejects = [*rejects, silver.conflicts(dimension, key, name)]
     run.together(
-        partial(by_outcome.parquet, run.path(zones.BRONZE, "flights")),
+        partial(flights.write.mode("overwrite").partitionBy("outcome").parquet, path),
         partial(run.save, airports, zones.BRONZE, "airports"),
         partial(run.save, airlines, zones.BRONZE, "airlines"),
         partial(run.save, reduce(DataFrame.unionByName, rejects), zones.BRONZE, "rejects"),
     )
+    counts = run.written(zones.BRONZE, "flights", schemas.JUDGED_FLIGHT).groupBy("outcome").count().collect()
+    number = {row["outcome"]: row["count"] for row in counts}
+    run.enter_missing("extract", [] if number.get("good") else ["good_flights"], ("good_flights",))
+    empty = [
+        name
+        for name in ("airports", "airlines")
+        if run.written(zones.BRONZE, name, SILVER[name]).isEmpty() and f"raw_{name}" not in run.missing
+    ]
+    run.enter_missing("extract", empty, ())
+    return number.get("good", 0), number.get("reject", 0)
 
 
 def _bronze_flights(run: Run, outcome: str) -> DataFrame:
     """The records of one outcome; only that outcome's files are opened."""
-    read = run.spark.read.schema(schemas.JUDGED_FLIGHT).parquet(run.path(zones.BRONZE, "flights"))
+    read = run.read(zones.BRONZE, "flights", schemas.JUDGED_FLIGHT)
     return read.filter(F.col("outcome") == outcome).drop("outcome")
 
 
-def _bronze(run: Run, table: str, schema) -> DataFrame:
-    return files.read_parquet(run.spark, run.path(zones.BRONZE, table), schema)
-
-
 def transform(run: Run) -> None:
     """Bronze to silver."""
-    inputs = {f"bronze_{name}": run.path(zones.BRONZE, name) for name in ("flights", "airports", "airlines")}
-    run.look_for("transform", inputs, ("bronze_flights",))
+    there = run.committed(zones.BRONZE)
+    run.enter_missing("transform", [f"bronze_{n}" for n in SILVER if n not in there], ("bronze_flights",))
+    good = _bronze_flights(run, "good").drop("reason")
+    flights, repeated = silver.flights_once(good)
     tables = {
-        "flights": silver.flights(_bronze_flights(run, "good").drop("reason")),
-        "airports": silver.airports(_bronze(run, "airports", schemas.SILVER_AIRPORTS)),
-        "airlines": silver.airlines(_bronze(run, "airlines", schemas.SILVER_AIRLINES)),
+        "flights": flights,
+        "airports": silver.airports(run.read(zones.BRONZE, "airports", schemas.SILVER_AIRPORTS)),
+        "airlines": silver.airlines(run.read(zones.BRONZE, "airlines", schemas.SILVER_AIRLINES)),
     }
     run.together(*[partial(run.save, df, zones.SILVER, name) for name, df in tables.items()])
+    came, kept = good.count(), run.written(zones.SILVER, "flights", schemas.SILVER_FLIGHTS).count()
+    run.enter_missing("transform", [] if kept else ["good_flights"], ("good_flights",))
+    run.balance("transform", "good flights", came, kept + repeated)
+    run.commit(zones.SILVER, tables, {"bronze_flights": came})
 
 
 def indicator_plans(
@@ -188,43 +247,50 @@ def indicator_plans(
     }
 
 
-def publish(run: Run, flights: DataFrame, airlines: DataFrame, airports: DataFrame) -> None:
-    """Write two tallies of the batch, then each indicator from them, each to a path of its own.
+def publish(
+    run: Run, flights: DataFrame, airlines: DataFrame, airports: DataFrame, rows: dict[str, int] | None = None
+) -> None:
+    """Write two tallies of the batch, then each indicator from them, each to a path of its own; commit them together.
 
-    The flights are read three times in all: for each tally, and for the longest flight.
+    The flights are read three times in all: for each tally, and for the longest flight. An indicator that fails
+    keeps its earlier state.
     """
     tallies = {
         "route_tally": indicators.route_tally(flights), "model_tally": indicators.model_tally(flights)
     }
     run.together(*[partial(run.save, df, zones.GOLD, name) for name, df in tallies.items()])
-    routes, models = (
-        run.spark.read.schema(df.schema).parquet(run.path(zones.GOLD, name)) for name, df in tallies.items()
-    )
+    routes, models = (run.written(zones.GOLD, name, df.schema) for name, df in tallies.items())
     plans = indicator_plans(flights, airlines, airports, routes, models)
-    run.together(
+    sound = run.together(
         *[partial(run.attempt, name, partial(run.save, df, zones.GOLD, name)) for name, df in plans.items()]
     )
+    run.commit(zones.GOLD, [*tallies, *[name for name, done in zip(plans, sound, strict=True) if done]], rows)
 
 
 def analyse(run: Run) -> None:
     """Silver to gold."""
-    inputs = {f"silver_{name}": run.path(zones.SILVER, name) for name in ("flights", "airports", "airlines")}
-    run.look_for("analyse", inputs, ("silver_flights",))
+    there = run.committed(zones.SILVER)
+    run.enter_missing("analyse", [f"silver_{n}" for n in SILVER if n not in there], ("silver_flights",))
+    flights = run.read(zones.SILVER, "flights", schemas.SILVER_FLIGHTS)
+    number = flights.count()
+    run.enter_missing("analyse", [] if number else ["silver_flights"], ("silver_flights",))
     publish(
         run,
-        run.silver("flights", schemas.SILVER_FLIGHTS),
-        run.silver("airlines", schemas.SILVER_AIRLINES),
-        run.silver("airports", schemas.SILVER_AIRPORTS),
+        flights,
+        run.read(zones.SILVER, "airlines", schemas.SILVER_AIRLINES),
+        run.read(zones.SILVER, "airports", schemas.SILVER_AIRPORTS),
+        {"silver_flights": number},
     )
 
 
 def measure(run: Run) -> None:
     """Count what came in, what went out and what became of the rest, and write the run log."""
-    flights = run.silver("flights", schemas.SILVER_FLIGHTS)
-    airlines = run.silver("airlines", schemas.SILVER_AIRLINES)
-    airports = run.silver("airports", schemas.SILVER_AIRPORTS)
+    flights = run.read(zones.SILVER, "flights", schemas.SILVER_FLIGHTS)
+    airlines = run.read(zones.SILVER, "airlines", schemas.SILVER_AIRLINES)
+    airports = run.read(zones.SILVER, "airports", schemas.SILVER_AIRPORTS)
+    there = run.committed(zones.BRONZE)
     facts = []
-    if not files.is_missing(run.spark, run.path(zones.BRONZE, "flights")):
+    if "flights" in there:
         facts += [
             quality.dedup_counts(
                 _bronze_flights(run, "good"), flights, "transform", "bronze_flights", "duplicate_flights"
@@ -232,7 +298,7 @@ def measure(run: Run) -> None:
             quality.reject_counts(_bronze_flights(run, "reject").withColumn("source", F.lit("flights")), "extract"),
         ]
     facts += [
-        quality.reject_counts(_bronze(run, "rejects", schemas.REJECTS), "extract"),
+        quality.reject_counts(run.read(zones.BRONZE, "rejects", schemas.REJECTS), "extract"),
         quality.row_count(airlines, "transform", "airlines"),
         quality.row_count(airports, "transform", "airports"),
         quality.flight_counts(flights, airlines, airports, "transform"),
@@ -240,12 +306,13 @@ def measure(run: Run) -> None:
     for table, schema, key in (
         ("airports", schemas.SILVER_AIRPORTS, "iata"), ("airlines", schemas.SILVER_AIRLINES, "icao"),
     ):
-        facts.append(quality.dimension_counts(_bronze(run, table, schema), schema.fieldNames(), key, table))
+        before = run.read(zones.BRONZE, table, schema)
+        facts.append(quality.dimension_counts(before, schema.fieldNames(), key, table))
     # What landed, where this run or an earlier one of the hour began with landed files.
     staged = {
-        name: run.spark.read.schema(schemas.with_corrupt(schema)).parquet(run.path(zones.BRONZE, name))
+        name: run.read(zones.BRONZE, name, schemas.with_corrupt(schema))
         for name, schema in LANDED.items()
-        if not files.is_missing(run.spark, run.path(zones.BRONZE, name))
+        if name in there
     }
     facts += [quality.landed_rows(df, name) for name, df in staged.items()]
     if {"listing", "details"} <= set(staged):
@@ -253,6 +320,7 @@ def measure(run: Run) -> None:
         facts.append(quality.listing_counts(listing, details))
     log = run.spark.createDataFrame(run.log, schemas.RUN_METRICS)
     run.save(reduce(DataFrame.unionByName, [*facts, log]), zones.GOLD, "run_metrics")
+    run.commit(zones.GOLD, ["run_metrics"])
 
 
 STEPS = ("extract", "transform", "analyse", "measure")
@@ -284,3 +352,28 @@ def run(
         if step in steps and (sound or step == "measure"):
             sound = batch.attempt(step, do) and sound
     return batch
+
+
+def open_hours(spark: SparkSession, landing: str, root: str) -> list[tuple[datetime, Sequence[str]]]:
+    """Landed hours that gold lacks, in order, and the steps that each still needs.
+
+    ``landing`` holds a folder for each hour, laid out like a table. An hour is done when gold has all its indicators
+    and its run log; one whose bronze or silver is committed goes on from there.
+    """
+    zone = lambda name: f"{root.rstrip('/')}/{name}"
+    work = []
+    for moment in zones.dated_hours(spark, landing):
+        there = {name: set(zones.committed(spark, zone(name), moment)["tables"]) for name in (zones.BRONZE, zones.SILVER, zones.GOLD)}
+        if {*schemas.GOLD, "run_metrics"} <= there[zones.GOLD]:
+            continue
+        done = set(SILVER) <= there[zones.SILVER], set(BRONZE) <= there[zones.BRONZE]
+        work.append((moment, STEPS[2:] if all(done) else STEPS[1:] if done[1] else STEPS))
+    return work
+
+
+def catch_up(spark: SparkSession, landing: str, root: str) -> list[Run]:
+    """Bring every open hour to gold, the oldest first; an hour that fails does not stop the others."""
+    return [
+        run(spark, zones.batch_path(landing.rstrip("/"), moment), root, moment, steps)
+        for moment, steps in open_hours(spark, landing, root)
+    ]

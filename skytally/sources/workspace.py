@@ -4,12 +4,23 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the checkpoint folder or else the warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The folder that driver and executors share: the checkpoint folder, or else the warehouse.
+
+    A warehouse on the machine's own disk serves only where everything runs on that machine.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    folder = spark.conf.get("spark.sql.warehouse.dir")
+    scheme = folder.split(":", 1)[0] if "://" in folder or folder.startswith("file:") else "file"
+    master = spark.conf.get("spark.master", "")
+    if scheme == "file" and not (master == "local" or master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -20,3 +31,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     files.mkdirs(folder)  # only an existing path can be marked for deletion
     files.deleteOnExit(folder)
     return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the work folder and read again: later steps don't depend on this one's tasks."""
+    path = f"{new_folder(df.sparkSession, name)}/data"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,10 +3,12 @@
 import json
 from datetime import datetime
 
+import pytest
+from pyspark.sql import functions as F
 
 from skytally import schemas
 from skytally.__main__ import main
-from skytally.plans import batch, indicators
+from skytally.plans import batch, bronze, indicators, silver
 from skytally.sources import files, zones
 
 SIX, EIGHT = datetime(2024, 3, 5, 6), datetime(2024, 3, 5, 8)
@@ -52,7 +54,8 @@ DETAILS = [
 
 
 def gold(spark, root, name, run_ts=SIX):
-    return spark.read.parquet(zones.batch_path(zones.table_path(root, zones.GOLD, name), run_ts))
+    schema = schemas.RUN_METRICS if name == "run_metrics" else schemas.GOLD[name]
+    return zones.read_hour(spark, zones.table_path(root, zones.GOLD, name), schema, run_ts)
 
 
 def metrics(spark, root, run_ts=SIX):
@@ -148,6 +151,134 @@ def test_steps_without_their_input_fail(spark, tmp_path):
         assert run.failed == [step] and len(run.missing) == 3
 
 
+def everything(spark, root, rows, run_ts=SIX):
+    return {name: rows(gold(spark, root, name, run_ts)) for name in schemas.GOLD}
+
+
+@pytest.mark.parametrize("table, content", [("listing", None), ("listing", " \n"), ("details", '{"id": "9\nnull\n[]')])
+def test_input_without_sound_rows_leaves_gold(spark, tmp_path, rows, table, content):
+    """An empty folder, one with nothing but a success mark, empty files and files without a sound record."""
+    root = str(tmp_path / "zones")
+    batch.run(spark, snapshot(tmp_path / "landing", DETAILS), root, SIX)
+    before = everything(spark, root, rows)
+    assert before["top_airline"] == [("Air AAA", 2)]
+    part = tmp_path / "landing" / table / "part.json"
+    part.unlink()
+    (part.parent / "_SUCCESS").write_text("")
+    if content is not None:
+        part.write_text(content)
+    assert main(["--root", root, "--run-ts", "2024-03-05T06", "--landing", str(tmp_path / "landing")]) == 1
+    assert everything(spark, root, rows) == before
+    log = gold(spark, root, "run_metrics")
+    assert rows(log.filter("metric = 'missing_input'"), "detail") == [(table,)]
+    assert rows(log.filter("metric = 'failed'"), "step") == [("extract",)]
+
+
+def test_empty_dimension_counts_as_missing(spark, tmp_path, rows):
+    landing = snapshot(tmp_path / "landing", DETAILS)
+    (tmp_path / "landing/raw_airlines/part.json").write_text("")
+    run = batch.run(spark, landing, str(tmp_path / "zones"), SIX)
+    assert (run.failed, run.missing) == ([], ["raw_airlines"])
+    assert rows(gold(spark, str(tmp_path / "zones"), "top_airline")) == [("Air AAA", 2)]
+
+
+class Killed(BaseException):
+    """Ends a run as a signal would."""
+
+
+@pytest.mark.parametrize("step", ["extract", "transform", "analyse"])
+def test_a_run_killed_between_two_writes_is_not_read(spark, tmp_path, rows, monkeypatch, step):
+    root = str(tmp_path / "zones")
+    batch.run(spark, snapshot(tmp_path / "first", DETAILS), root, SIX)
+    before = everything(spark, root, rows)
+    last = {"extract": "rejects", "transform": "airlines", "analyse": "top_models"}[step]
+    zone = {"extract": zones.BRONZE, "transform": zones.SILVER, "analyse": zones.GOLD}[step]
+    states = {z: zones.committed(spark, f"{root}/{z}", SIX) for z in (zones.BRONZE, zones.SILVER, zones.GOLD)}
+    save = batch.Run.save
+
+    def cut(self, df, where, table):
+        if (where, table) == (zone, last):
+            raise Killed
+        save(self, df, where, table)
+
+    monkeypatch.setattr(batch.Run, "save", cut)
+    with pytest.raises(Killed):
+        batch.run(spark, snapshot(tmp_path / "second", [flight("9", "CCC")]), root, SIX)
+    assert zones.committed(spark, f"{root}/{zone}", SIX) == states[zone]
+    assert everything(spark, root, rows) == before
+    monkeypatch.undo()
+    batch.run(spark, str(tmp_path / "second"), root, SIX)
+    assert rows(gold(spark, root, "top_airline")) == [("Air CCC", 1)]
+
+
+def test_a_write_that_fails_in_the_middle_leaves_bronze(spark, tmp_path, rows, monkeypatch):
+    root = str(tmp_path / "zones")
+    landing = snapshot(tmp_path / "landing", DETAILS)
+    batch.run(spark, landing, root, SIX, steps=["extract"])
+    read = lambda: rows(batch.Run(spark, root, SIX).read(zones.BRONZE, "flights", schemas.JUDGED_FLIGHT), "icao", "reason")
+    before = read()
+    shape = bronze.shape_flights
+    monkeypatch.setattr(
+        bronze, "shape_flights",
+        lambda *given: shape(*given).withColumn("icao", F.expr("if(icao = 'BBB', raise_error('disk full'), icao)")),
+    )
+    assert batch.run(spark, landing, root, SIX, steps=["extract"]).failed == ["extract"]
+    assert read() == before and len(before) == 7
+
+
+def test_lost_rows_fail_the_step(spark, tmp_path, rows, monkeypatch):
+    root = str(tmp_path / "zones")
+    landing = snapshot(tmp_path / "landing", [*DETAILS, flight("1")])
+    batch.run(spark, landing, root, SIX)
+    before = everything(spark, root, rows)
+    shape = bronze.shape_flights
+    monkeypatch.setattr(bronze, "shape_flights", lambda *given: shape(*given).filter("icao is null or icao <> 'BBB'"))
+    run = batch.run(spark, landing, root, SIX)
+    assert run.failed == ["extract"] and "listing rows came in" in next(r[3] for r in run.log if r[1] == "failed")
+    monkeypatch.undo()
+    once = silver.once
+    monkeypatch.setattr(silver, "once", lambda *given: once(*given).filter("airline_icao <> 'BBB'"))
+    run = batch.run(spark, landing, root, SIX)
+    assert run.failed == ["transform"] and "4 good flights came in" in next(r[3] for r in run.log if r[1] == "failed")
+    assert everything(spark, root, rows) == before
+
+
+def test_open_hours_are_worked_off(spark, tmp_path, rows, monkeypatch):
+    """Three landed hours: one failed in silver before, one landed late, one is done."""
+    root, landing = str(tmp_path / "zones"), tmp_path / "landing"
+    SEVEN = datetime(2024, 3, 5, 7)
+    hour = lambda moment: snapshot(tmp_path / zones.batch_path("landing", moment), [flight("1", f"A{moment.hour}")])
+    hour(SIX), hour(EIGHT)
+    flights = silver.flights_once
+    broken = lambda _: (spark.range(1).selectExpr("assert_true(id < 0, 'no') AS x"), 0)
+    monkeypatch.setattr(silver, "flights_once", broken)
+    assert [r.failed for r in batch.catch_up(spark, str(landing), root)] == [["transform"], ["transform"]]
+    monkeypatch.setattr(silver, "flights_once", flights)
+    assert batch.run(spark, zones.batch_path(str(landing), EIGHT), root, EIGHT).failed == []
+    hour(SEVEN)
+    work = batch.open_hours(spark, str(landing), root)
+    assert work == [(SIX, batch.STEPS[1:]), (SEVEN, batch.STEPS)]
+    assert main(["--root", root, "--catch-up", str(landing)]) == 0
+    for moment in (SIX, SEVEN, EIGHT):
+        assert rows(gold(spark, root, "top_airline", moment)) == [(f"Air A{moment.hour}", 1)]
+    assert batch.open_hours(spark, str(landing), root) == [] == batch.catch_up(spark, str(landing), root)
+
+
+def test_contradicting_dimension_rows_are_rejects(spark, tmp_path, rows):
+    landing = snapshot(tmp_path / "landing", DETAILS)
+    airports = [("Paris", "CDG", "France"), ("Paris", "CDG", "France"), ("Orly", "CDG", "France"),
+                ("London", "LHR", "United Kingdom"), (None, "LHR", "United Kingdom")]
+    (tmp_path / "landing/raw_airports/part.json").write_text(
+        "\n".join(json.dumps(dict(zip(("name", "iata", "country"), a))) for a in airports))
+    root = str(tmp_path / "zones")
+    assert batch.run(spark, landing, root, SIX).failed == []
+    assert metrics(spark, root)["rejects", "airports/conflict"] == 2
+    rejects = zones.read_hour(spark, zones.table_path(root, zones.BRONZE, "rejects"), schemas.REJECTS, SIX)
+    found = [json.loads(r.record) for r in rejects.filter("reason = 'conflict'").collect()]
+    assert sorted(r["name"] for r in found) == ["Orly", "Paris"] and {r["iata"] for r in found} == {"CDG"}
+    assert rows(gold(spark, root, "regional_all")) == [("Europe", "Air AAA", 3)]
+
+
 def test_a_failure_is_logged_whole(spark, tmp_path):
     run = batch.Run(spark, str(tmp_path), SIX)
 
@@ -215,7 +346,8 @@ def test_a_failed_step_stops_the_next_ones_but_is_logged(spark, tmp_path, monkey
     root = str(tmp_path / "zones")
     landing = snapshot(tmp_path / "landing", DETAILS)
     batch.run(spark, landing, root, SIX)
-    monkeypatch.setattr(batch.silver, "flights", lambda _: spark.range(1).selectExpr("assert_true(id < 0, 'no') AS x"))
+    broken = spark.range(1).selectExpr("assert_true(id < 0, 'no') AS x")
+    monkeypatch.setattr(batch.silver, "flights_once", lambda _: (broken, 0))
     run = batch.run(spark, landing, root, SIX)
     assert run.failed == ["transform"]
     log = gold(spark, root, "run_metrics").filter("metric = 'failed'").collect()
@@ -226,7 +358,7 @@ def test_each_indicator_has_a_path_of_its_own(spark, tmp_path):
     run = batch.Run(spark, str(tmp_path), SIX)
     empty = [spark.createDataFrame([], s) for s in (schemas.SILVER_FLIGHTS, schemas.SILVER_AIRLINES, schemas.SILVER_AIRPORTS)]
     names = list(batch.indicator_plans(*empty))
-    assert len({run.path(zones.GOLD, n) for n in names}) == len(names) == 8
+    assert len({run.table(zones.GOLD, n) for n in names}) == len(names) == 8
     assert set(names) == set(schemas.GOLD)
 
 
@@ -264,7 +396,7 @@ def test_existing_files_are_taken_over(spark, tmp_path, rows):
     counted = metrics(spark, root)
     assert counted["rejects", "flights/corrupt"] == 2
     assert (counted["rejects", "flights/no_airline_code"], counted["rejects", "flights/bad_epoch"]) == (1, 1)
-    broken = spark.read.parquet(zones.batch_path(zones.table_path(root, zones.BRONZE, "rejects"), SIX))
+    broken = zones.read_hour(spark, zones.table_path(root, zones.BRONZE, "rejects"), schemas.REJECTS, SIX)
     assert cut in {r.record for r in broken.collect()}
     assert (counted["bronze_flights"], counted["duplicate_flights"]) == (3, 1)
 

@@ -57,11 +57,48 @@ def test_latest_batch_ignores_unfinished_ones(spark, countries, tmp_path, rows):
     assert zones.read_latest(spark, table, schemas.COUNTRIES).count() == 0
     zones.write_batch(countries(("b", "x")), table, EIGHT)
     zones.write_batch(countries(("a", "x")), table, SIX)  # written later, but older
-    (tmp_path / "t/tech_year=2025/tech_month=2025-01/tech_day=2025-01-01/tech_hour=00/_temporary").mkdir(parents=True)
+    # Not committed: written by a run that never came to its end.
+    zones.write_run(countries(("x", "x")), table, datetime(2025, 1, 1), zones.new_run())
     assert zones.latest_batch(spark, table) == EIGHT
     assert rows(zones.read_latest(spark, table, schemas.COUNTRIES), "country") == [("b",)]
 
 
+def test_records_make_many_tables_valid_at_once(spark, countries, tmp_path, rows):
+    zone = str(tmp_path / "zone")
+    first, second = zones.new_run(), zones.new_run()
+    read = lambda name: rows(zones.read_hour(spark, f"{zone}/{name}", schemas.COUNTRIES, SIX), "country")
+    for run, value in ((first, "a"), (second, "b")):
+        for name in ("s", "t"):
+            zones.write_run(countries((value, "x")), f"{zone}/{name}", SIX, run)
+        assert read("s") == read("t") == ([] if run == first else [("a",)])
+        zones.commit(spark, zone, SIX, {"s": run, "t": run}, {"in": 1})
+        assert read("s") == read("t") == [(value,)]
+    assert zones.committed(spark, zone, SIX) == {"tables": {"s": second, "t": second}, "rows": {"in": 1}}
+    zones.commit(spark, zone, SIX, {"u": first})  # the others stay valid
+    assert zones.committed(spark, zone, SIX)["tables"] == {"s": second, "t": second, "u": first}
+
+
+def test_a_cut_record_is_passed_over(spark, countries, tmp_path, rows):
+    table = str(tmp_path / "t")
+    zones.write_batch(countries(("a", "x")), table, SIX)
+    (tmp_path / "_commits/2024-03-05T06/000002.json").write_text('{"tables": {"t": "r1')
+    assert rows(zones.read_hour(spark, table, schemas.COUNTRIES, SIX), "country") == [("a",)]
+    zones.write_batch(countries(("b", "x")), table, SIX)
+    assert rows(zones.read_hour(spark, table, schemas.COUNTRIES, SIX), "country") == [("b",)]
+    assert (tmp_path / "_commits/2024-03-05T06/000003.json").exists()
+
+
+def test_the_state_before_the_last_stays_for_readers(spark, countries, tmp_path, rows):
+    table = str(tmp_path / "t")
+    zones.write_batch(countries(("a", "x")), table, SIX)
+    begun = zones.read_hour(spark, table, schemas.COUNTRIES, SIX)
+    zones.write_batch(countries(("b", "x")), table, SIX)
+    assert rows(begun, "country") == [("a",)]
+    zones.write_batch(countries(("c", "x")), table, SIX)
+    runs = list((tmp_path / zones.batch_path("t", SIX)).glob("run=*"))
+    assert len(runs) == 2
+
+
 def test_rewriting_hours_by_time_leaves_others(spark, tmp_path, rows):
     table = str(tmp_path / "t")
     schema = schemas.struct(n=schemas.SILVER_FLIGHTS["other_eta"].dataType, ts=schemas.SILVER_FLIGHTS["real_arrival"].dataType)
@@ -145,6 +182,16 @@ def test_without_one_the_warehouse_serves():
     assert workspace.shared_folder(Settings(**{"spark.sql.warehouse.dir": "hdfs://house"})) == "hdfs://house"
 
 
+@pytest.mark.parametrize("house", ["file:/house", "file:///house", "/house", "hdfs-house"])
+def test_a_folder_of_one_machine_serves_no_cluster(house):
+    settings = {"spark.sql.warehouse.dir": house}
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            workspace.shared_folder(Settings(**settings, **{"spark.master": master}))
+    for master in ("local", "local[4]", "local[*]"):
+        assert workspace.shared_folder(Settings(**settings, **{"spark.master": master})) == house
+
+
 def test_work_folders_are_fresh(spark):
     first, second = workspace.new_folder(spark, "x"), workspace.new_folder(spark, "x")
     assert first != second and os.path.isdir(first.removeprefix("file:"))
@@ -163,7 +210,7 @@ def test_a_hot_hour_is_written_by_several_tasks(spark, tmp_path):
         ts = F.timestamp_seconds(F.lit(1709596800) + hour * 3600)
         events = spark.range(0, 40000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"), ts.alias("ts"))
         zones.write_by_time(events, str(table), "ts")
-        files_of = lambda hour: len(list(table.glob(f"*/*/*/tech_hour={hour}/*.parquet")))
+        files_of = lambda hour: len(list(table.glob(f"*/*/*/tech_hour={hour}/run=*/*.parquet")))
         assert files_of("00") > 3
         assert spark.read.parquet(str(table)).count() == 40000
     finally:
