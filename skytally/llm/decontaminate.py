@@ -2,8 +2,12 @@
 
 1. Items become their runs of ``SEED`` words. One pass over the documents finds all places of any of these runs and
    cuts out passages around them, wide enough for a whole item on either side.
-2. Every run that a passage shares with an item is a seed, however frequent it is: a passage that holds any run of an
-   item is judged against it. Passages with the same words and runs are judged once, for all their documents.
+2. Runs that at most ``FEW_ITEMS`` items have are seeds: each joins every passage that holds it to so many items. A run
+   that more items have joins them only together with a rare word. An alignment that reaches the score matches so
+   many of the item's words that one of its rarest is among them, whichever it matches: of the item's words, in
+   order of the passages and items that hold them, the first ones, one more than may be missed. So a passage that
+   shares nothing with an item but common runs meets it only if it also holds such a word; no pair that can reach
+   the score is lost. Passages with the same words and runs are judged once, for all their documents.
 3. Seeds join passages to items. A pair whose words can't reach the score in any alignment is left out (see ``bound``).
    The others are aligned word by word (Smith-Waterman: 1 for a match, -0.5 for another, missing or added word); the
    score is the best local alignment's sum over the item's number of words. Edited and paraphrased copies lose a
@@ -26,7 +30,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +41,8 @@ SEED = 4
 #: A document that scores so much with an item contains it.
 SCORE = 0.5
 MATCH, OTHER = 1.0, -0.5
+#: A run of more items is a seed only together with one of the item's rare words.
+FEW_ITEMS = 4
 #: Runs of items that one pass over the documents looks for.
 BLOCK_RUNS = 500_000
 
@@ -218,6 +224,39 @@ def _score(least: float):
     return run
 
 
+def seeded(passages: DataFrame, items: DataFrame, score: float) -> DataFrame:
+    """Pairs (passage, item_id) that share a run and can reach the score as far as their seeds tell."""
+    held = items.select("item_id", F.explode(F.array_distinct("runs")).alias("run")).distinct()
+    few = F.col("n_items") <= FEW_ITEMS
+    counts = stored(held.groupBy("run").agg(F.count("*").alias("n_items")), "run-counts")
+    held = stored(held.join(counts, "run"), "item-runs")
+    hits = passages.select("passage", F.explode(F.array_distinct("runs")).alias("run"))
+    direct = hits.join(held.filter(few), "run").select("passage", "item_id")
+
+    # Runs of many items: which passages and items have any, and how rare their words are.
+    common = counts.filter(~few).select("run")
+    theirs = stored(hits.join(common, "run"), "common-hits")
+    asked = items.join(held.filter(~few).select("item_id").distinct(), "item_id", "left_semi")
+    asked = asked.select("item_id", F.size("words").alias("size"), F.posexplode("words").alias("place", "word"))
+    asked = stored(asked, "item-words")
+    vocabulary = asked.select("word").distinct()
+    spoken = passages.join(theirs.select("passage").distinct(), "passage", "left_semi")
+    spoken = spoken.select("passage", F.explode(F.array_distinct("words")).alias("word"))
+    spoken = stored(spoken.join(vocabulary, "word", "left_semi"), "passage-words")
+    holders = spoken.select("word").unionAll(asked.select("item_id", "word").distinct().select("word"))
+    frequency = holders.groupBy("word").agg(F.count("*").alias("holders"))
+    order = Window.partitionBy("item_id").orderBy("holders", "word", "place")
+    missed = F.col("size") - F.ceil(F.col("size") * score - 1e-9)
+    rare = asked.join(frequency, "word").withColumn("rank", F.row_number().over(order))
+    rare = rare.filter(F.col("rank") <= missed + 1).select("item_id", "word").distinct()
+    sides = (
+        theirs.join(spoken, "passage").select("passage", "run", "word"),
+        held.filter(~few).select("item_id", "run").join(rare, "item_id").select("item_id", "run", "word"),
+    )
+    together = sides[0].join(sides[1], ["run", "word"]).select("passage", "item_id")
+    return direct.unionAll(together).distinct()
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -246,8 +285,7 @@ def find_leaks(
 
     # Equal passages are judged once, whatever document they stand in.
     different = stored(passages.dropDuplicates(["passage"]).drop("doc_id", "start"), "different-passages")
-    hits = different.select("passage", F.explode(F.array_distinct("runs")).alias("run"))
-    pairs = stored(hits.join(every.distinct(), "run").select("passage", "item_id").distinct(), "seeded")
+    pairs = stored(seeded(different, items, score), "seeded")
     whole = items.select("item_id", F.col("words").alias("item_words"))
     both = pairs.join(different.drop("runs"), "passage").join(whole, "item_id")
     scores = both.select("passage", "item_id", "words", "item_words").mapInArrow(_score(score), _SCORES)

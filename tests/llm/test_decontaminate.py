@@ -109,3 +109,54 @@ def test_the_bound_is_never_below_the_score():
             text[3:3] = [w for w in item if r.random() > 0.2]
         found = decontaminate.bound(np.array(text, np.int64), np.array(item, np.int64))
         assert found >= plain_alignment(text, item) * len(item) - 1e-9
+
+
+def common_phrase(r, documents, items):
+    """Texts that share nothing but a phrase."""
+    word = lambda: "".join(r.choice("abcdefghijk") for _ in range(6))
+    text = lambda n: " ".join([*(word() for _ in range(n)), "which of the following", *(word() for _ in range(n))])
+    return [(i, text(15)) for i in range(documents)], [(i, text(8)) for i in range(items)]
+
+
+def test_a_common_phrase_pairs_nothing(spark):
+    r = random.Random(6)
+    stored = []
+    for size in (1, 2, 4):
+        docs, items = common_phrase(r, 300 * size, 60 * size)
+        passages = spark.createDataFrame(docs, "doc_id long, text string")
+        bench = spark.createDataFrame(items, "item_id long, text string")
+        read = bench.mapInArrow(decontaminate._read_items, decontaminate._ITEMS)
+        keys = read.select(F.explode("runs").alias("run")).distinct().toArrow()["run"].to_numpy().view(np.uint64)
+        cut = passages.mapInArrow(decontaminate._passages(decontaminate._Runs(keys), 20), decontaminate._PASSAGES)
+        assert cut.count() == 300 * size
+        stored.append(decontaminate.seeded(cut, read, 0.5).count())
+    assert stored == [0, 0, 0]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_no_pair_that_reaches_the_score_is_lost_to_common_runs(spark, monkeypatch, seed):
+    """Few different words, so that most runs are common to many items: as if every run were a seed, and by brute force."""
+    r = random.Random(seed)
+    vocabulary = ["which", "of", "the", "following", *[f"w{i}" for i in range(30)]]
+    weights = [8, 8, 8, 8, *[1] * 30]
+    phrase = ["which", "of", "the", "following"]
+    items = []
+    for i in range(25):
+        body = r.choices(vocabulary, weights, k=r.randint(5, 25))
+        items.append((i, body[:3] + phrase + body[3:]))
+    docs = []
+    for i in range(120):
+        base = r.choice(items)[1] if i % 2 else r.choices(vocabulary, weights, k=30) + phrase
+        copy = [w if r.random() > r.choice([0, 0.1, 0.25, 0.4]) else r.choice(vocabulary) for w in base]
+        docs.append((i, r.choices(vocabulary, weights, k=r.randint(0, 20)) + copy))
+    runs = lambda words: {tuple(words[k : k + 4]) for k in range(len(words) - 3)}
+    expected = {
+        (d, i) for d, text in docs for i, item in items if runs(text) & runs(item) and plain_alignment(text, item) >= 0.5 - 1e-9
+    }
+    frame = spark.createDataFrame([(d, " ".join(t)) for d, t in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in decontaminate.find_leaks(frame, bench).collect()}
+    monkeypatch.setattr(decontaminate, "FEW_ITEMS", 10**9)
+    assert found == {(r.doc_id, r.item_id): r.score for r in decontaminate.find_leaks(frame, bench).collect()}
+    # An alignment can also lie beyond the passages around the runs of an item.
+    assert set(found) <= expected and len(expected) > 40 and len(expected - set(found)) <= 1
