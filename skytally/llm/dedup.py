@@ -12,8 +12,9 @@ A row finds its group by the digest. Where several contents share a digest, rows
 content once more.
 
 Null counts as empty text; an empty table gives an empty result. Ties go to the smallest id; rows with the same id
-and text count separately in the group's size. Ids may be null: such rows take part, and stay only if no row of the
-group has an id. Other columns of the table are not looked at, so their names can't clash.
+and text count separately in the group's size, and one of them stays. Ids may be null: such rows take part, and one of
+them stays only if no row of the group has an id. A text is compared whole, however long it is. Other columns of the
+table are not looked at, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skytally.llm.storage import stored
@@ -65,10 +66,33 @@ def exact_groups(
     return members.select(F.col("id").alias(id_column), "digest", "keep_id", "group_size")
 
 
-def drop_exact(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+def kept_rows(groups: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """``exact_groups`` with the column ``kept``: true for one row of each group, false for all others.
 
-    Rows with one id stay or go together; rows without id stay.
+    Rows of one task with the same id and text are one row until they are told apart, so an id that repeats in a third
+    of the table is a few rows in the window.
     """
-    gone = exact_groups(docs, id_column, text).filter(F.col("keep_id") != F.col(id_column)).select(id_column)
-    return docs.join(gone, id_column, "left_anti")
+    own = [id_column, "digest", "keep_id", "group_size"]
+    alike = groups.withColumn("task", F.spark_partition_id()).groupBy(*own, "task").agg(F.count("*").alias("n"))
+    first = F.row_number().over(Window.partitionBy("digest", id_column).orderBy("task")) == 1
+    chosen = alike.withColumn("chosen", first & F.col(id_column).eqNullSafe(F.col("keep_id")))
+    each = chosen.withColumn("place", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    return each.select(*own, (F.col("chosen") & (F.col("place") == 1)).alias("kept"))
+
+
+def drop_exact(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of equal texts, with all its columns: the smallest id; of rows with one id any."""
+    found = exact_groups(docs, id_column, text)
+    kept = found.filter(F.col(id_column).eqNullSafe(F.col("keep_id"))).select(
+        F.col(id_column).alias("kept_id"), F.col("digest").alias("kept_digest")
+    )
+    kept = stored(kept.groupBy("kept_id", "kept_digest").agg(F.count("*").alias("kept_rows")), "kept")
+    digest, columns = sha256(normalised(F.col(text))), docs.columns
+    keyed = docs.withColumn("kept_digest", digest).withColumn("kept_id", F.col(id_column))
+
+    def of(some: DataFrame) -> DataFrame:
+        same = keyed["kept_digest"].eqNullSafe(some["kept_digest"]) & keyed["kept_id"].eqNullSafe(some["kept_id"])
+        return keyed.join(some, same, "left_semi")
+
+    repeated = of(kept.filter("kept_rows > 1")).dropDuplicates(["kept_digest", "kept_id"])
+    return of(kept.filter("kept_rows = 1")).select(*columns).unionByName(repeated.select(*columns))

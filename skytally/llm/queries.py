@@ -77,7 +77,8 @@ URL_RULES = [
 
 @_query
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    values = ", ".join(f"('{host}', '{path}', '{action}')" for host, path, action in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, action)")
     judged = urlfilter.filter_urls(table(spark, sf_dir, "pages"), rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
@@ -96,12 +97,12 @@ def op3_quality_conv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    groups = dedup.exact_groups(table(spark, sf_dir, "documents"))
+    groups = dedup.kept_rows(dedup.exact_groups(table(spark, sf_dir, "documents")))
     return groups.select(
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("doc_id") == F.col("keep_id")).alias("kept"),
+        "kept",
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 

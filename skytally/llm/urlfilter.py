@@ -8,7 +8,8 @@ block if any is blocked, else allow. A rule of the url's own always comes first.
 Everything is DataFrame operations. Null urls and urls without ``://`` have empty host and path, no rule and no
 aliases and are allowed. Rows are never merged: equal urls get equal verdicts. Rules without host or with a null in
 any field are ignored, of two rules with one host and path the allowing one counts. Empty tables give empty results.
-Columns of the pages other than the three named ones are dropped.
+Columns of the pages other than the three named ones are dropped. A page of any length is read once for its tags, a tag
+ends at the next bracket; a link must be marked within its own tag.
 """
 
 from __future__ import annotations
@@ -23,11 +24,12 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^(.*?)://([^/?#]*)([^?#]*)(\??[^#]*)"
 #: Parameters that follow a reader and don't change the page.
 _TRACKING = r"(?i)(?<=[?&])(utm_[a-z]+|gclid|fbclid)=[^&]*&?"
-_CANONICAL = (
-    r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*?\bhref\s*=\s*["']?([^"'>\s]+)""",
-    r"""(?is)<link\b[^>]*\bhref\s*=\s*["']?([^"'>\s]+)["']?[^>]*?\brel\s*=\s*["']?canonical\b""",
-)
-_REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*?\burl\s*=\s*["']?([^"'>\s]+)"""
+# No pattern can be tried again from within what it has passed, so the time grows with the page's length.
+_LINK, _META = r"(?i)<link\b[^<>]*+>", r"(?i)<meta\b[^<>]*+>"
+_CANONICAL = r"""(?i)\brel\s*+=\s*+["']?+canonical\b"""
+_HREF = r"""(?i)\bhref\s*+=\s*+["']?+([^"'>\s]++)"""
+_REFRESH = r"""(?i)\bhttp-equiv\s*+=\s*+["']?+refresh\b"""
+_URL = r"""(?i)\burl\s*+=\s*+["']?+([^"'>\s]++)"""
 
 
 def _part(url: Column, group: int) -> Column:
@@ -66,8 +68,13 @@ def _absolute(link: Column, url: Column) -> Column:
 def links(pages: DataFrame) -> DataFrame:
     """Edges (a, b) from each page to its canonical address and the page it forwards to."""
     url, html = F.col("url"), F.col("html")
-    found = F.array(*[F.regexp_extract(html, pattern, 1) for pattern in (*_CANONICAL, _REFRESH)])
-    rows = pages.filter(url.contains("://") & html.isNotNull()).select("url", F.explode(found).alias("link"))
+
+    def found(tag: str, mark: str, link: str) -> Column:
+        marked = F.filter(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda t: t.rlike(mark))
+        return F.transform(marked, lambda t: F.regexp_extract(t, link, 1))
+
+    every = F.concat(found(_LINK, _CANONICAL, _HREF), found(_META, _REFRESH, _URL))
+    rows = pages.filter(url.contains("://") & html.isNotNull()).select("url", F.explode(every).alias("link"))
     return rows.select(F.col("url").alias("a"), _absolute(F.col("link"), F.col("url")).alias("b")).dropna()
 
 

@@ -24,11 +24,22 @@ def test_kept_rows_keep_their_columns(spark):
     docs = spark.createDataFrame([(*r, "c") for r in ROWS], "doc_id long, text string, digest string")
     kept = dedup.drop_exact(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 4, 5, 7, 7, 8, 9, 10]
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 4, 5, 7, 8, 9, 10]
     assert kept.filter("doc_id is null").count() == 1
     assert dedup.drop_exact(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_is_kept(spark):
+    rows = [*ROWS, (None, "z"), (None, "z"), (None, "a b"), (4, "other"), (4, "A  b")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, kept int").repartition(4)
+    found = dedup.kept_rows(dedup.exact_groups(docs)).collect()
+    assert len(found) == len(rows) and {r.kept for r in found} == {True, False}
+    kept = sorted((r.doc_id or 0) for r in found if r.kept)
+    assert kept == [0, 1, 4, 4, 5, 7, 8, 9, 10] or kept == [0, 1, 4, 4, 5, 7, 9, 10]
+    stay = dedup.drop_exact(docs)
+    assert stay.columns == docs.columns and sorted((r.doc_id or 0) for r in stay.collect()) == kept
+
+
 def test_a_hot_text_is_few_rows_after_the_first_step(spark):
     docs = spark.range(0, 30_000, 1, 16).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("text"))
     found = dedup.exact_groups(docs)

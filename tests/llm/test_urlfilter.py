@@ -1,3 +1,4 @@
+from skytally.llm import urlfilter
 from skytally.llm.urlfilter import filter_urls, spelling
 from pyspark.sql import functions as F
 
@@ -47,3 +48,21 @@ def test_spelling_and_empty(spark):
     frame = spark.createDataFrame([(u,) for u in urls], "url string")
     assert [r[0] for r in frame.select(spelling(F.col("url"))).collect()] == [urls[1], urls[1], "https://a.net/p"]
     assert judge(spark, []) == {}
+
+
+def test_links_of_odd_and_very_long_pages(spark):
+    import time
+
+    pages = [
+        ("http://a.com/x", '<link rel="canonical" href="/y"><LINK HREF=//b.com/z REL=canonical >'),
+        ("http://c.com/x", "<link href=/no rel=alternate><meta http-equiv=refresh content='3; url=/next'><link <link rel=canonical"),
+        ("http://d.com/x", "<link " * 170_000), ("http://e.com/x", "<link rel=canonical " + "rel = " * 170_000 + ">"),
+        ("http://f.com/x", "<meta http-equiv" + " " * 1_000_000 + ">"), ("http://g.com/x", "<link rel=canonical" * 60_000 + " href=/end>"),
+    ]
+    df = spark.createDataFrame(pages, "url string, html string")
+    start = time.perf_counter()
+    found = sorted(map(tuple, urlfilter.links(df).collect()))
+    assert time.perf_counter() - start < 10
+    assert found == [
+        ("http://a.com/x", "http://a.com/y"), ("http://a.com/x", "http://b.com/z"), ("http://c.com/x", "http://c.com/next"), ("http://g.com/x", "http://g.com/end"),
+    ]
