@@ -97,37 +97,29 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
 def against_partner(conversations: DataFrame) -> DataFrame:
     """Turns of one pair for each conversation, where nobody has rated answers.
 
-    Chosen is the conversation up to its last assistant turn. Rejected has the same turns before, and then the last
-    answer of the partner conversation, whose id differs in the last bit: an answer to another question. Without
-    such an answer the rejected side ends there; without an assistant turn both sides are the whole conversation.
+    Chosen is the conversation, every turn of it. Rejected keeps its first turns, how many is a hash of the id modulo
+    one more than their number, and goes on from there like the partner conversation, whose id differs in the last bit:
+    answers to other questions. Without a partner, or with a shorter one, the rejected side ends earlier. A conversation
+    is one training example, so its turns are ordered in one task. Turns take their place as number.
     """
-    turns = conversations.select("conv_id", "turn", "role", "text").filter("conv_id is not null")
-    answers = (
-        turns.filter(F.col("role") == "assistant")
-        .groupBy("conv_id")
-        .agg(F.max(F.struct("turn", "text")).alias("last"))
+    turns = conversations.filter("conv_id is not null").select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    partner = answers.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("last.text").alias("other"))
-    own = answers.select("conv_id", F.col("last").alias("own"))
-    every = turns.join(own, "conv_id", "left")
-    last = F.col("own.turn")
-    before = every.filter(last.isNull() | (F.col("turn") < last))
-
-    def turn(rows: DataFrame, side: str, place: str, role: Column, text: str) -> DataFrame:
-        return rows.select(
-            F.col("conv_id").alias("pair_id"),
-            F.lit(side).alias("side"),
-            F.col(place).alias("turn"),
-            role.alias("role"),
-            F.col(text).alias("text"),
-        )
-
-    assistant = F.lit("assistant")
+    own = Window.partitionBy("conv_id")
+    place = F.row_number().over(own.orderBy(F.asc_nulls_first("turn"), "role", "text"))
+    hashed = F.conv(F.substr(F.sha2(F.col("conv_id").cast("string"), 256), F.lit(1), F.lit(8)), 16, 10).cast("long")
+    kept = F.pmod(hashed, F.count(F.lit(1)).over(own) + 1)
+    placed = turns.select("conv_id", place.alias("turn"), "role", "text", kept.alias("kept"))
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(F.col("conv_id").alias("pair_id"), F.lit(name).alias("side"), "turn", "role", "text")
+
+    places = placed.filter("turn = 1").select("conv_id", "kept")
+    partner = placed.drop("kept").withColumn("conv_id", F.col("conv_id").bitwiseXOR(F.lit(1)))
     return (
-        turn(before, "chosen", "turn", F.col("role"), "text")
-        .unionByName(turn(before, "rejected", "turn", F.col("role"), "text"))
-        .unionByName(turn(own, "chosen", "own.turn", assistant, "own.text"))
-        .unionByName(turn(own.join(partner, "conv_id"), "rejected", "own.turn", assistant, "other"))
+        side(placed, "chosen")
+        .unionByName(side(placed.filter("turn <= kept"), "rejected"))
+        .unionByName(side(partner.join(places, "conv_id").filter("turn > kept"), "rejected"))
     )
 
 

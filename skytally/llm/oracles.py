@@ -5,20 +5,18 @@ from __future__ import annotations
 SQL: dict[str, str] = {}
 
 SQL["op1_preference_format"] = r"""
-WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
-final AS (
-    SELECT conv_id, turn, text,
-           row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) AS n
-    FROM t WHERE role = 'assistant'),
-own AS (SELECT conv_id, turn, text FROM final WHERE n = 1),
-prefix AS (
-    SELECT t.* FROM t LEFT JOIN own USING (conv_id) WHERE own.turn IS NULL OR t.turn < own.turn),
+WITH t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turn,
+           CAST('0x' || substr(sha256(CAST(conv_id AS VARCHAR)), 1, 8) AS BIGINT)
+               % (count(*) OVER (PARTITION BY conv_id) + 1) AS kept
+    FROM conversations WHERE conv_id IS NOT NULL),
 sides AS (
-    SELECT conv_id, 'chosen' AS side, turn, role, text FROM prefix
-    UNION ALL SELECT conv_id, 'rejected', turn, role, text FROM prefix
-    UNION ALL SELECT conv_id, 'chosen', turn, 'assistant', text FROM own
-    UNION ALL SELECT own.conv_id, 'rejected', own.turn, 'assistant', other.text
-    FROM own JOIN own AS other ON xor(own.conv_id, 1) = other.conv_id),
+    SELECT conv_id, 'chosen' AS side, turn, role, text FROM t
+    UNION ALL SELECT conv_id, 'rejected', turn, role, text FROM t WHERE turn <= kept
+    UNION ALL SELECT own.conv_id, 'rejected', other.turn, other.role, other.text
+    FROM (SELECT conv_id, kept FROM t WHERE turn = 1) AS own JOIN t AS other ON xor(own.conv_id, 1) = other.conv_id
+    WHERE other.turn > own.kept),
 placed AS (
     SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn, role, text) AS place FROM sides),
 compared AS (
