@@ -1,6 +1,7 @@
+import random
 import re
 
-from skytally.llm.licenses import PHRASES, scan_licenses
+from skytally.llm.licenses import PHRASES, STATEMENTS, TELLING, scan_licenses
 from skytally.llm.queries import QUERIES
 
 
@@ -49,3 +50,77 @@ def test_spans(spark):
     assert sorted(len(s) for _, s in by[8]) == [0, 40]
     assert by[None] == [(3, [("cc-by-nc", 0, 3)])]
     assert scan_licenses(docs.limit(0)).count() == 0
+
+
+STATED = {
+    "GNU General Public License (GPL) version 3": {"gpl-3"},
+    "the gnu general public license, version 2": {"gpl-2"},
+    "gnu general public license": set(),
+    "GNU Lesser General Public License v3": {"lgpl"},
+    "GNU Affero General (AGPL) Public License": {"agpl"},
+    "mozilla public license, v. version 2.0": {"mpl-2"},
+    "public license version 2": set(),
+    "creative commons attribution (by) noncommercial 4.0": {"cc-by-nc"},
+    "creative commons attribution 4.0 sharealike": {"cc-by-sa"},
+    "creative commons attribution": set(),
+    MIT.replace("to any person", "w x y z to any person"): {"mit"},
+    MIT.replace("free of charge, ", ""): {"mit"},
+    " ".join(MIT.split()[:15]): set(),
+    "redistribution and use in source and binary forms, with or without any modification, are permitted": set(),
+    "redistribution and use in source and binary forms, with or without any modification, are permitted provided that the following": {"bsd"},
+    "permission to use copy and modify and or distribute this software for any purpose with or without fee is hereby granted": {"isc"},
+    "This is free and unencumbered software released to the public domain": {"unlicense"},
+}
+
+
+def test_statements_with_words_put_in_or_left_out(spark):
+    filler = "some other words stand here and there in the text of a person to any use "
+    rows = [(i, filler * (i % 3) + text + " " + filler) for i, text in enumerate(STATED)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: {s.label for s in r.spans} for r in scan_licenses(docs).collect()}
+    assert found == {i: labels for i, labels in enumerate(STATED.values())}
+
+
+def test_merge_and_share_against_plain_code(spark):
+    """Edited statements between other words: a copy counts if some stretch around a common run holds enough of it."""
+    r = random.Random(9)
+    filler = ["x", "y", "the", "of", "license", "to", "and", "software"]
+    rows = []
+    for i in range(150):
+        own = r.choice(list(STATEMENTS)).split()
+        edited = []
+        for word in own:
+            edited += [w for w in [word] if r.random() > r.choice([0, 0.05, 0.3])] + ["x"] * (r.random() < r.choice([0, 0.05, 0.3]))
+        rows.append((i, " ".join([*r.choices(filler, k=r.randrange(50)), *edited, *r.choices(filler, k=r.randrange(50))])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {x.doc_id: {s.label for s in x.spans if not s.phrase} for x in scan_licenses(docs).collect()}
+    assert found == {i: plain(text.split()) for i, text in rows} and sum(map(bool, found.values())) > 60
+
+
+def common(own, text):
+    """Longest common subsequence."""
+    row = [0] * (len(text) + 1)
+    for a in own:
+        last = 0
+        for j, b in enumerate(text, 1):
+            last, row[j] = row[j], last + 1 if a == b else max(row[j], row[j - 1])
+    return row[-1]
+
+
+def plain(words):
+    labels = set()
+    for statement, label in STATEMENTS.items():
+        own = statement.split()
+        gap = max(3, int(0.4 * len(own)))
+        at = sorted({i - j for i in range(len(words) - 2) for j in range(len(own) - 2) if words[i : i + 3] == own[j : j + 3]})
+        groups = []
+        for diagonal in at:
+            if groups and diagonal - groups[-1][-1] <= gap:
+                groups[-1].append(diagonal)
+            else:
+                groups.append([diagonal])
+        for group in groups:
+            near = words[max(0, group[0] - gap) : group[-1] + len(own) + gap]
+            if common(own, near) >= 0.8 * len(own) - 1e-9 and TELLING & set(own) <= set(near):
+                labels.add(label)
+    return labels
