@@ -7,11 +7,14 @@
    member is compared with the hub, not with every member.
 4. Compared means verified: the Jaccard similarity of the complete sets of runs. Linked texts form components.
 5. What the hubs leave open is settled in two more rounds. Members of a bucket meet in random blocks of a few, which
-   joins most of what belongs together; then any two members that are still in different components meet. Only
-   pairs go on to step 4 that pass three tests inside the join: sizes that fit; distances from the hub that fit (the
-   Jaccard distance is a metric, so they can't differ by more than the pair's own); and sketches, four bits of every
-   MinHash value, that differ in no more bits than ``SKETCH_RECALL`` of all pairs at the threshold do. A pair meets
-   in its first common band only. So two texts that share a bucket end in one component, or have been found unlike.
+   joins most of what belongs together. Then all texts of buckets with several components are compared exactly, without
+   bands: their runs are put in order of the number of texts that hold them, rarest first. Two texts as similar as
+   wanted share a run among their first ones, a fifth of the larger text's and a ninth of the smaller one's, so a join on
+   these runs misses none (a prefix filter). Pairs must be of different components, their sizes must fit, and their first
+   common run must leave enough runs behind it on both sides. Texts that share most of their runs but are less alike
+   have runs of their own in front, and don't meet at all.
+6. Pairs of both rounds go on to step 4 if their sketches, four bits of every MinHash value, differ in no more bits than
+   ``SKETCH_RECALL`` of all pairs at the threshold do; texts of few runs go on in any case.
 
 A bucket whose members are near copies of each other is done after step 3, with one row for each member: a group of
 copies that holds a third of all rows never becomes pairs of all its members.
@@ -21,8 +24,12 @@ representatives of a component are compared, by their complete sets of runs and
 is dealt into blocks of at most about ``LINK_DOCS`` representatives or ``LINK_RUNS`` runs, and each two blocks meet in
 one task: rows grow with members times blocks, comparisons with the square of the component, as the counts do.
 
+Where texts have few different ways to differ, so that even their rarest runs are shared by many, the join of step 5 grows
+with the squares of these numbers.
+
 Words are what stands between white space, A-Z in lower case. A text of one to four words has one run, all of it. Null
-and empty texts have the same (no) words and are one class. Ids are whole numbers; rows without one are left out,
+and empty texts have the same (no) words and are one class. Of a class the smallest id counts. A very long text is read
+whole; its sets of runs are rows and arrays of that length. Ids are whole numbers; rows without one are left out,
 repeated rows are one document. Other columns of the table are not looked at. An empty table gives an empty result.
 """
 
@@ -37,12 +44,12 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytally.llm.components import components
-from skytally.llm.storage import stored
+from skytally.llm.storage import stored, with_row
 from skytally.llm.words import Words, grams, mixed, slices, words
 
 RUN, SIMILARITY, RECALL = 5, 0.8, 0.9995
@@ -50,8 +57,8 @@ RUN, SIMILARITY, RECALL = 5, 0.8, 0.9995
 HASHES = 160
 #: MinHash values behind a sketch; the bands are made of the first ones of them.
 SKETCH_HASHES = 256
-#: Share of the pairs at the threshold whose sketches pass.
-SKETCH_RECALL = 0.998
+#: Share of the pairs at the threshold whose sketches pass, and runs from which a text's sketch is looked at.
+SKETCH_RECALL, SKETCH_RUNS = 0.9999, 64
 #: Members of a random block, about.
 BLOCK = 4
 #: Representatives, or runs of theirs, in a block of a component whose links are counted, about.
@@ -187,6 +194,17 @@ def _members(column: pa.Array, bits: int) -> np.ndarray:
     return packed[np.concatenate(([True], packed[1:] != packed[:-1]))] if len(packed) else packed
 
 
+def _different(column: pa.Array) -> pa.ListArray:
+    """The different runs of each text, in order."""
+    row, key = run_sets(words(column))
+    order = np.lexsort((key, row))
+    row, key = row[order], key[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(row[new], minlength=len(column)))))
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(key[new].view(np.int64)))
+
+
 def jaccard(left: pa.Array, right: pa.Array) -> np.ndarray:
     """Similarity of the sets of runs of two texts, row by row."""
     size = len(left)
@@ -226,33 +244,74 @@ def _sizes_fit(a: Column, b: Column, similarity: float) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * (similarity - 1e-9)
 
 
-def _block(everyone: bool) -> Column:
-    if everyone:
-        return F.lit(0).cast("long")
-    return F.pmod(F.xxhash64("id", "bucket"), F.ceil(F.col("n") / BLOCK))
+def _alike(a: Column, b: Column, runs: Column, other_runs: Column, hashes: int, similarity: float) -> Column:
+    """Whether two sketches let a pair pass."""
+    differ = reduce(add, [F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(math.ceil(hashes / 16))])
+    return (F.least(runs, other_runs) < SKETCH_RUNS) | (differ <= sketch_bits(hashes, similarity))
 
 
-def _meeting(left: DataFrame, everyone: bool, hashes: int, similarity: float) -> DataFrame:
-    """Pairs (a, b) of members of one bucket and block and of different components that may be similar."""
-    own = ("id", "runs", "component", "pivot", "bands", "sketch")
+def _meeting(left: DataFrame, hashes: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of members of one bucket and random block, of different components, that may be similar."""
+    own = ("id", "runs", "component", "pivot", "sketch")
     right = left.select("bucket", "block", *[F.col(c).alias(f"other_{c}") for c in own])
-    sketch, other = F.col("sketch"), F.col("other_sketch")
-    differ = reduce(add, [F.bit_count(sketch[i].bitwiseXOR(other[i])) for i in range(math.ceil(hashes / 16))])
-    first_common = F.array_position(F.zip_with("bands", "other_bands", lambda x, y: x == y), True) - 1
+    # Distances from the hub can't differ by more than the pair's own: the Jaccard distance is a metric.
     farther = F.abs(F.col("pivot") - F.col("other_pivot")) > 1 - similarity + 1e-9
     may = (
         (F.col("id") < F.col("other_id"))
         & (F.col("component") != F.col("other_component"))
         & _sizes_fit(F.col("runs"), F.col("other_runs"), similarity)
         & ~F.coalesce(farther, F.lit(False))
-        & (differ <= sketch_bits(hashes, similarity))
+        & _alike(F.col("sketch"), F.col("other_sketch"), F.col("runs"), F.col("other_runs"), hashes, similarity)
     )
-    if everyone:  # a pair that meets in every common bucket need meet but once
-        may = may & (first_common == F.col("band"))
     met = left.join(right, ["bucket", "block"]).filter(may)
     return met.select(F.col("id").alias("a"), F.col("other_id").alias("b")).distinct()
 
 
+_KEYS = T.StructType().add("id", T.LongType()).add("keys", T.ArrayType(T.LongType(), False))
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The different runs of each text (id, text)."""
+    for batch in batches:
+        for part in slices(batch, 1):
+            yield pa.RecordBatch.from_arrays([part.column(0), _different(part.column(1))], names=_KEYS.names)
+
+
+def open_pairs(members: DataFrame, texts: DataFrame, hashes: int, similarity: float) -> DataFrame:
+    """Pairs (a, b) of ``members`` (id, component, sketch), of different components, that may be similar; none is lost
+    but by its sketches."""
+    members = members.dropDuplicates(["id"])
+    sets = stored(texts.join(members.select("id"), "id", "left_semi").select("id", "text").mapInArrow(_keys, _KEYS), "open-sets")
+    rows = sets.select("id", F.size("keys").alias("runs"), F.explode("keys").alias("run"))
+    holders = rows.groupBy("run").agg(F.count("*").alias("holders"))
+    order = Window.partitionBy("id").orderBy("holders", "run")
+    ranked = rows.join(holders, "run").withColumn("place", F.row_number().over(order))
+    size = F.col("runs")
+    first = size - F.ceil(size * similarity - 1e-6) + 1
+    ranked = ranked.filter((F.col("place") <= first) & (F.col("holders") > 1))
+    ranked = stored(ranked.join(members.select("id", "component"), "id"), "rarest-runs")
+    ends = ranked.groupBy("run").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    ranked = ranked.join(ends.filter("low <> high").select("run"), "run", "left_semi")
+    smaller = ranked.filter(F.col("place") <= size - F.ceil(size * (2 * similarity / (1 + similarity)) - 1e-6) + 1)
+    larger = ranked.select("run", *[F.col(c).alias(f"other_{c}") for c in ("id", "runs", "place", "component")])
+    behind = F.least(size - F.col("place"), F.col("other_runs") - F.col("other_place")) + 1
+    may = (
+        (F.col("component") != F.col("other_component"))
+        & ((size < F.col("other_runs")) | ((size == F.col("other_runs")) & (F.col("id") < F.col("other_id"))))
+        & _sizes_fit(size, F.col("other_runs"), similarity)
+        & (behind >= (size + F.col("other_runs")) * (similarity / (1 + similarity)) - 1e-6)
+    )
+    met = smaller.join(larger, "run").filter(may)
+    met = stored(met.select("id", "runs", "other_id", "other_runs").distinct(), "open-pairs")
+    signs = members.select("id", "sketch")
+    others = signs.select(F.col("id").alias("other_id"), F.col("sketch").alias("other_sketch"))
+    met = met.join(signs, "id").join(others, "other_id")
+    passing = met.filter(
+        _alike(F.col("sketch"), F.col("other_sketch"), F.col("runs"), F.col("other_runs"), hashes, similarity)
+    )
+    return passing.select(F.least("id", "other_id").alias("a"), F.greatest("id", "other_id").alias("b"))
+
+
 def _joined(
     docs: DataFrame, id_column: str, text: str, similarity: float, recall: float
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -291,9 +350,13 @@ def _joined(
         # Buckets with more than one component.
         ends = at.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
         apart = at.join(ends.filter("low <> high").select("bucket"), "bucket", "left_semi")
-        signs = classes.select("id", "bands", "sketch")
-        left = stored(apart.join(signs, "id").withColumn("block", _block(everyone)), "open-members")
-        pairs = _meeting(left, everyone, max(SKETCH_HASHES, rows * bands), similarity)
+        open_ = apart.join(classes.select("id", "sketch"), "id")
+        hashes = max(SKETCH_HASHES, rows * bands)
+        if everyone:
+            pairs = open_pairs(open_.select("id", "component", "sketch"), texts, hashes, similarity)
+        else:
+            block = F.pmod(F.xxhash64("id", "bucket"), F.ceil(F.col("n") / BLOCK))
+            pairs = _meeting(stored(open_.withColumn("block", block), "open-members"), hashes, similarity)
         pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
         compared = compared.union(verified(pairs, texts, "all" if everyone else "block"))
         linked = compared.filter(F.col("similarity") >= similarity)
@@ -345,13 +408,7 @@ _LINKS = T.StructType().add("id", T.LongType()).add("n_links", T.LongType())
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, batch.schema.get_field_index("text")):
-            row, key = run_sets(words(part.column("text")))
-            order = np.lexsort((key, row))
-            row, key = row[order], key[order]
-            new = np.ones(len(row), bool)
-            new[1:] = (row[1:] != row[:-1]) | (key[1:] != key[:-1])
-            offsets = np.concatenate(([0], np.cumsum(np.bincount(row[new], minlength=part.num_rows))))
-            lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(key[new].view(np.int64)))
+            lists = _different(part.column("text"))
             yield pa.RecordBatch.from_arrays([*[part.column(c) for c in _SETS.names[:-1]], lists], names=_SETS.names)
 
 
@@ -369,7 +426,7 @@ def common_runs(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
         return row[order], at[order], np.bincount(at, minlength=len(shared))
 
     (a_row, a_at, a_count), (b_row, b_at, b_count) = placed(left), placed(right)
-    found = np.zeros((len(left), len(right)), np.float32)
+    found = np.zeros((len(left), len(right)))
     # Runs of many sets as a product of 0-1 matrices, a few thousand runs at once; the others pair by pair.
     many = a_count * b_count * 512 > len(left) * len(right)
     number = np.cumsum(many) - 1
@@ -467,6 +524,11 @@ def jaccard_links(
 
 
 def drop_near(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each class, the one with the smallest id; rows without id stay."""
-    gone = near_duplicates(docs, id_column, text).filter(F.col("class_id") != F.col(id_column)).select(id_column)
-    return docs.join(gone, id_column, "left_anti")
+    """``docs`` with one row of each class, the one with the smallest id. Rows are judged by their text, also those
+    without id and those that share one; an id comes before none, equal ids are decided by the order of the rows."""
+    docs, row = with_row(docs, "near-rows")
+    classes = near_duplicates(docs, row, text).select(row, "class_id")
+    named = classes.join(docs.select(row, F.col(id_column).alias("named")), row)
+    first = F.min(F.struct(F.col("named").isNull().alias("none"), "named", F.col(row).alias("kept")))
+    stay = stored(named.groupBy("class_id").agg(first.alias("first")).select(F.col("first.kept").alias(row)), "near-kept")
+    return docs.join(stay, row, "left_semi").drop(row)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skytally.session import configure
 from skytally.sources.workspace import new_folder
@@ -24,5 +25,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_row(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The rows, written and read again, with a key of their own, and the key's column."""
+    row = "row_key"
+    while row in map(str.lower, docs.columns):
+        row += "_"
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -65,7 +65,7 @@ def test_edges(spark):
                      11: (11, 11, 1), 12: (11, 12, 1)}
     kept = neardup.drop_near(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 2, 2, 4, 6, 10, 11]
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [2, 4, 6, 10, 11]
     assert neardup.near_duplicates(docs.limit(0)).count() == 0
 
 
@@ -126,3 +126,59 @@ def test_every_link_of_a_large_group_is_counted(spark):
     found = neardup.jaccard_links(docs, block_docs=100)
     assert found.filter("class_id = 0 and n_links = 599").count() == 600
     assert neardup.jaccard_links(docs.limit(0)).count() == 0
+
+
+def boilerplate(spark, n):
+    """Texts that share 120 words and differ in 22: 0.7 alike, so no two are linked."""
+    shared = " ".join(f"s{i}" for i in range(120))
+    own = F.concat_ws(" ", *[F.concat(F.lit(f"u{i}x"), F.col("id").cast("string")) for i in range(22)])
+    return spark.range(0, n, 1, 8).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit(shared), own).alias("text"))
+
+
+def test_a_group_of_much_the_same_texts_makes_no_pairs(spark):
+    docs = boilerplate(spark, 400).withColumnRenamed("doc_id", "id")
+    members = docs.select("id", F.col("id").alias("component"), F.array(*[F.lit(0).cast("long")] * 16).alias("sketch"))
+    assert neardup.open_pairs(members, docs, 256, 0.8).count() == 0
+    assert neardup.near_duplicates(boilerplate(spark, 400)).filter("class_id <> doc_id").count() == 0
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_open_pairs_against_all_pairs(spark, seed):
+    docs = corpus(seed)
+    sets = {i: runs(t) for i, t in docs}
+    frame = spark.createDataFrame(docs, "id long, text string").filter("text <> ''")
+    members = frame.select("id", F.col("id").alias("component"), F.array(*[F.lit(0).cast("long")] * 16).alias("sketch"))
+    found = {(r.a, r.b) for r in neardup.open_pairs(members, frame, 256, 0.8).collect()}
+    order = {i: " ".join(t.split()) for i, t in docs}
+    alike = {(i, j) for i in sets for j in sets if i < j and similarity(sets[i], sets[j]) >= 0.8}
+    assert alike <= found and len(alike) > 20 and order
+    assert len(found) < 3 * len(alike)
+
+
+def test_bands_and_sketches_together_reach_most_pairs():
+    """At the threshold itself, for texts of few and of many runs."""
+    import numpy as np
+
+    random = np.random.default_rng(6)
+    rows, bands = neardup.banding()
+    for size in (9, 45, 90, 180, 900, 1800):
+        passed, pairs = 0, 250
+        for _ in range(pairs):
+            union = random.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2)
+            common, apart = round(size * 0.8), size - round(size * 0.8)
+            a, b = union[: common + apart // 2], np.append(union[:common], union[common + apart // 2 :])
+            values = [neardup.minhashes(np.zeros(len(x), np.int64), x, 1, neardup.SKETCH_HASHES) for x in (a, b)]
+            keys = [neardup.band_keys(v[:, : rows * bands], rows, bands)[0] for v in values]
+            sketch = [neardup.sketches(v)[0] for v in values]
+            differ = sum(int(v).bit_count() for v in (sketch[0] ^ sketch[1]).view(np.uint64))
+            small = min(len(a), len(b)) < neardup.SKETCH_RUNS
+            passed += (keys[0] == keys[1]).any() and (small or differ <= neardup.sketch_bits(neardup.SKETCH_HASHES, 0.8))
+        assert passed >= 0.99 * pairs, (size, passed)
+
+
+def test_rows_are_judged_by_their_text(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(7, text), (7, "another text of its own with a few words"), (None, text + " more"), (None, "and one without id here now"), (3, text + " end")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, row_key int")
+    kept = neardup.drop_near(docs)
+    assert kept.columns == docs.columns and sorted(r.row_key for r in kept.collect()) == [1, 3, 4]
