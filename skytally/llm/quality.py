@@ -5,8 +5,8 @@ vector; filters eight bytes wide slide over a chunk, and of each filter's answer
 the mean and the maximum of its chunks' answers; a logistic layer makes one probability of them.
 
 Training runs in numpy on the driver over a bounded sample: at most ``SAMPLE_ROWS`` labelled rows of each class,
-chosen by a hash of their id, and of each at most ``SAMPLE_CHUNKS`` chunks spread evenly. Scoring runs in the tasks
-over whole texts, in blocks of chunks, so a text of any length takes the same memory.
+chosen by a hash of their id, whole texts. Scoring runs in the tasks over whole texts; bytes are looked at in blocks of
+chunks, only the answers of a batch's chunks are held together, so a very long text takes a fifth of its size.
 
 Null and empty texts are one empty chunk and get a score like any other. Rows of labels with a null id or label are
 ignored; an id labelled both ways is learnt with its lower label. Without labels of both classes nothing can be
@@ -28,10 +28,6 @@ from skytally.llm.words import flat
 
 #: Labelled rows of each class that training sees at most.
 SAMPLE_ROWS = 2000
-#: Chunks of one of those rows that training sees at most.
-SAMPLE_CHUNKS = 12
-#: Chunks of one row that a training step takes.
-STEP_CHUNKS = 6
 STEPS = 2400
 #: A score from here on predicts a good text.
 THRESHOLD = 0.7
@@ -174,8 +170,8 @@ class Network:
     ) -> Network:
         """``samples`` has the chunks of each document; as many documents of either class go into each step.
 
-        Of half of the documents a step takes only a short passage, so that length alone says nothing, of the
-        others at most ``STEP_CHUNKS`` chunks.
+        Of half of the documents a step takes only a short passage, so that length alone says nothing, the others
+        it takes whole.
         """
         network = cls.fresh(seed)
         if len(np.unique(labels)) < 2:
@@ -186,7 +182,7 @@ class Network:
         for step in range(1, steps + 1):
             chosen = np.concatenate([random.choice(c, batch // 2) for c in classes])
             parts = [
-                _passage(samples[i], random) if random.random() < 0.5 else _some(samples[i], random) for i in chosen
+                _passage(samples[i], random) if random.random() < 0.5 else samples[i] for i in chosen
             ]
             first = np.cumsum([0] + [len(p) for p in parts[:-1]])
             rate = 0.01 * min(1.0, 2 * (1 - (step - 1) / steps))
@@ -204,12 +200,6 @@ def _shares(size: np.ndarray, first: np.ndarray) -> np.ndarray:
     return size / np.repeat(np.add.reduceat(size, first), np.diff(np.append(first, len(size))))
 
 
-def _some(chunks: np.ndarray, random: np.random.Generator) -> np.ndarray:
-    if len(chunks) <= STEP_CHUNKS:
-        return chunks
-    return chunks[random.choice(len(chunks), STEP_CHUNKS, replace=False)]
-
-
 def _passage(chunks: np.ndarray, random: np.random.Generator) -> np.ndarray:
     """A chunk of its own with 20 to 300 bytes of one of the given chunks, cut at blanks."""
     chunk = chunks[random.integers(len(chunks))]
@@ -226,13 +216,11 @@ def _passage(chunks: np.ndarray, random: np.random.Generator) -> np.ndarray:
 
 @F.arrow_udf(T.BinaryType())
 def _sample_chunks(column: pa.Array) -> pa.Array:
-    """At most SAMPLE_CHUNKS chunks of each text, evenly spread, side by side."""
+    """All chunks of each text, side by side."""
     data, offsets = flat(column)
     found = []
     for begin, end in zip(offsets[:-1], offsets[1:], strict=True):
         _, start = chunk_starts(np.array([begin]), np.array([end]))
-        if len(start) > SAMPLE_CHUNKS:
-            start = start[np.linspace(0, len(start) - 1, SAMPLE_CHUNKS).astype(int)]
         found.append(cut(data[begin:end], start - begin, np.full(len(start), end - begin)).tobytes())
     return pa.array(found, pa.binary())
 
