@@ -4,20 +4,27 @@ The probability of a word is that of its class after the class before, times tha
 Both are counted over all training texts:
 
 1. All words are counted in one pass and one shuffle. Words are named by 64-bit keys.
-2. Every word has a class. A word that makes up at least ``CLASS_SHARE`` of the training tokens (by arithmetic, at most
-   1 / CLASS_SHARE words do) has one of its own; the others share the class of their ending, one of ``ENDINGS``
-   buckets. Words and endings together are the symbols; their number has a bound that the corpus can't exceed.
+2. Every word that was seen at least ``SEEN`` times gets the class of its own neighbours. Words that make up at least
+   ``CLASS_SHARE`` of the training tokens (by arithmetic, at most 1 / CLASS_SHARE words do) are exchanged in rounds,
+   together with the endings, one of ``ENDINGS`` buckets, that stand for all others meanwhile. Words and endings are the
+   symbols of these rounds; their number has a bound that the corpus can't exceed.
 3. Training texts are written as symbols. Each round counts, over all of them, which classes follow and precede each
-   symbol, and then moves symbols to the class that raises the likelihood most. Half of the symbols may move in a
+   symbol, and moves symbols to the class that raises the likelihood most. Tasks find each symbol's best class; the
+   driver holds the classes of the symbols and the counts of class after class. Half of the symbols may move in a
    round, since all decide on the same counts. The best round's classes are kept.
-4. Scoring reads every text once. Counts of words that make up at least ``COUNT_SHARE`` of the tokens (at most
-   1 / COUNT_SHARE of them) go to the tasks; all other words are joined to the complete table of counts.
+4. Then each other word seen at least ``SEEN`` times is exchanged: its tokens are brought together, counted by the
+   classes beside them, and it leaves its ending's class for the one that raises the likelihood most. Any number of words
+   can: their classes are a table. Only words seen less often keep the class of their ending.
+5. Scoring reads every text once. Counts and classes of words that make up at least ``COUNT_SHARE`` of the tokens (at
+   most 1 / COUNT_SHARE of them) go to the tasks; all other words are joined to the complete table, and then
+   meet their neighbours again by place.
 
 Class transitions are interpolated with class frequencies; within a class, ``DISCOUNT`` is taken from each known word
 and makes up the probability of the class's unknown word. So the probabilities of all words and one unknown word
 for each class sum to one.
 
 A text is its words, separated by white space, A-Z in lower case, and one end. Null counts as empty: its end alone.
+Of equally good classes the larger one counts. A very long text is read whole, its rare words are rows of their own.
 Without training texts there is nothing to learn: both scores are then 0. Repeated rows and ids are scored one by
 one, ids are whole numbers or null, a null id is trained on and scored as any other. Other columns are not looked at. An empty table gives an
 empty result.
@@ -30,12 +37,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytally.llm.storage import stored
-from skytally.llm.words import Words, keys, mixed, slices, words
+from skytally.llm.words import Words, keys, slices, words
 
 CLASSES = 64
 #: Rounds of exchange.
@@ -46,6 +53,8 @@ CLASS_SHARE = 1e-5
 COUNT_SHARE = 1e-6
 #: Buckets for the last three bytes of all other words.
 ENDINGS = 4096
+#: A word seen so often gets the class of its own neighbours.
+SEEN = 5
 DISCOUNT = 0.5
 #: Weight of the class frequencies in a transition, in tokens.
 PRIOR = 20.0
@@ -85,6 +94,7 @@ class Symbols:
     key: np.ndarray
     count: np.ndarray
     symbol: np.ndarray  # -1: its ending's
+    class_: np.ndarray | None = None  # once all words have theirs
 
     @property
     def own(self) -> int:
@@ -108,6 +118,16 @@ class Symbols:
         return symbol.astype(np.int32), count
 
 
+    def classes_of(self, found: Words, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Class of each word, that of its ending where it is not among the common words, and its count."""
+        symbol, count = self.of(found)
+        of = classes[symbol]
+        if len(self.key):
+            at = np.minimum(np.searchsorted(self.key, found.key), len(self.key) - 1)
+            of = np.where(count > 0, self.class_[at], of)
+        return of, count
+
+
 _ENCODED = T.StructType().add("symbols", T.ArrayType(T.IntegerType(), False))
 
 
@@ -153,24 +173,44 @@ def _neighbours(classes: np.ndarray):
     return run
 
 
-def neighbours(encoded: DataFrame, classes: np.ndarray) -> np.ndarray:
-    """symbols x side x classes; its size is bounded by the number of symbols."""
+def neighbours(encoded: DataFrame, classes: np.ndarray) -> DataFrame:
+    """symbol, cells, ns: the counts of each symbol, one row with at most 2 * CLASSES of them."""
     counted = encoded.mapInArrow(_neighbours(classes), _NEIGHBOURS).groupBy("cell").agg(F.sum("n").alias("n"))
-    cells = counted.toArrow()
-    table = np.zeros(len(classes) * 2 * CLASSES)
-    table[cells["cell"].to_numpy()] = cells["n"].to_numpy()
-    return table.reshape(len(classes), 2, CLASSES)
+    width = 2 * CLASSES
+    cell = F.struct((F.col("cell") % width).alias("cell"), "n")
+    rows = counted.groupBy(F.floor(F.col("cell") / width).cast("int").alias("symbol")).agg(F.collect_list(cell).alias("cells"))
+    return stored(rows.select("symbol", "cells.cell", F.col("cells.n").alias("n")), "neighbours")
+
+
+def _lists_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, and of all their cells: which of them they belong to, the cell and its count."""
+    cells, ns = batch.column(1), batch.column(2)
+    owner = np.repeat(np.arange(batch.num_rows), cells.value_lengths().to_numpy(zero_copy_only=False))
+    return batch.column(0).to_numpy(), owner, cells.flatten().to_numpy().astype(np.int64), ns.flatten().to_numpy().astype(np.float64)
 
 
 def _nlogn(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-300))
 
 
-def transitions(table: np.ndarray, classes: np.ndarray) -> np.ndarray:
+_CELLS = T.StructType().add("cell", T.IntegerType()).add("n", T.DoubleType())
+
+
+def transitions(table: DataFrame, classes: np.ndarray) -> np.ndarray:
     """How often a class follows a class."""
-    counts = np.zeros((CLASSES, CLASSES))
-    np.add.at(counts, classes, table[:, 0])
-    return counts
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CLASSES * CLASSES)
+        for batch in batches:
+            symbol, owner, cell, n = _lists_of(batch)
+            after = cell < CLASSES
+            total += np.bincount(classes[symbol[owner[after]]] * CLASSES + cell[after], n[after], CLASSES * CLASSES)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES * CLASSES, dtype=np.int32)), pa.array(total)], names=_CELLS.names)
+
+    counts = np.zeros(CLASSES * CLASSES)
+    for row in table.mapInArrow(add, _CELLS).groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        counts[row["cell"]] = row["n"]
+    return counts.reshape(CLASSES, CLASSES)
 
 
 def likelihood(counts: np.ndarray) -> float:
@@ -178,42 +218,185 @@ def likelihood(counts: np.ndarray) -> float:
     return float(_nlogn(counts).sum() - _nlogn(counts.sum(axis=0)).sum() - _nlogn(counts.sum(axis=1)).sum())
 
 
-def exchange(table: np.ndarray, classes: np.ndarray, movable: np.ndarray) -> np.ndarray:
+def best_classes(
+    own: np.ndarray, owner: np.ndarray, cell: np.ndarray, n: np.ndarray, counts: np.ndarray
+) -> np.ndarray:
+    """The class in which each word raises the likelihood most, all others staying where they are.
+
+    ``own`` is each word's class now. A cell below CLASSES is the class of the word's followers, the others are those
+    of its predecessors; ``owner`` tells whose count ``n`` is. ``counts`` has the class transitions with these words.
+    """
+    size = len(own)
+    sides = np.zeros((2, size, CLASSES))
+    np.add.at(sides, (cell // CLASSES, owner, cell % CLASSES), n)
+    gain = np.zeros((size, CLASSES))
+    for side, table in enumerate((counts.T, counts)):
+        pick = cell // CLASSES == side
+        who, beside, times = owner[pick], cell[pick] % CLASSES, n[pick][:, None]
+        # The transitions without the word itself: those of its own class lack it.
+        base = table[beside]
+        base[np.arange(len(who)), own[who]] -= times[:, 0]
+        same = np.flatnonzero(own[who] == beside)
+        base[same] -= sides[1 - side, who[same]]
+        np.maximum(base, 0, out=base)
+        change = _nlogn(base + times) - _nlogn(base)
+        order = np.argsort(who, kind="stable")
+        begin = np.flatnonzero(np.append(True, np.diff(who[order]) > 0)) if len(who) else np.zeros(0, np.int64)
+        if len(begin):
+            gain[who[order][begin]] += np.add.reduceat(change[order], begin)
+    # Where a class both precedes and follows the word, the two changes meet in one transition.
+    word, class_ = np.nonzero((sides[0] > 0) & (sides[1] > 0))
+    after, before = sides[0, word, class_], sides[1, word, class_]
+    base = np.maximum(counts[class_, class_] - np.where(own[word] == class_, after + before, 0), 0)
+    gain[word, class_] += _nlogn(base + after + before) - _nlogn(base + after) - _nlogn(base + before) + _nlogn(base)
+    tokens = sides[1].sum(axis=1)[:, None]
+    sizes = np.tile(counts.sum(axis=1), (size, 1))
+    sizes[np.arange(size), own] -= tokens[:, 0]
+    np.maximum(sizes, 0, out=sizes)
+    gain -= 2 * (_nlogn(sizes + tokens) - _nlogn(sizes))
+    # An empty class is as good as one in which everyone has the same neighbours; the larger one is meant.
+    gain += 1e-6 * tokens * np.log1p(sizes)
+    gain[:, CLASSES - 1] = -np.inf  # the end's own class
+    return np.where(tokens[:, 0] > 0, gain.argmax(axis=1), own)
+
+
+_WORDS = 256  # at a time
+
+
+def _exchange(classes: np.ndarray, counts: np.ndarray):
+    """For mapInArrow over (symbol, cells, ns): the best class of each symbol."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, _WORDS):
+                symbol, owner, cell, n = _lists_of(batch.slice(at, _WORDS))
+                best = best_classes(classes[symbol].astype(np.int64), owner, cell, n, counts)
+                yield pa.RecordBatch.from_arrays([pa.array(symbol), pa.array(best.astype(np.int32))], names=["symbol", "class"])
+
+    return run
+
+
+def exchange(table: DataFrame, classes: np.ndarray, counts: np.ndarray, movable: np.ndarray) -> np.ndarray:
     """The classes after each movable symbol has gone where the likelihood gains most, the others staying."""
-    counts = transitions(table, classes)
-    size = counts.sum(axis=1)
+    best = table.mapInArrow(_exchange(classes, counts), "symbol int, class int").toArrow()
     after = classes.copy()
-    for symbol in np.flatnonzero(movable):
-        follows, precedes = table[symbol]
-        n = precedes.sum()
-        if not n:
-            continue
-        own = classes[symbol]
-        without, sizes = counts.copy(), size.copy()
-        without[own] -= follows
-        without[:, own] -= precedes
-        np.maximum(without, 0, out=without)
-        sizes[own] -= n
-        gain = (_nlogn(without + follows) - _nlogn(without)).sum(axis=1)
-        gain += (_nlogn(without + precedes[:, None]) - _nlogn(without)).sum(axis=0)
-        gain -= 2 * (_nlogn(sizes + n) - _nlogn(np.maximum(sizes, 0)))
-        gain[CLASSES - 1] = -np.inf  # the end's own class
-        after[symbol] = gain.argmax()
-    return after
+    after[best["symbol"].to_numpy()] = best["class"].to_numpy()
+    return np.where(movable, after, classes)
+
+
+_TOKENS = T.StructType().add("word", T.LongType()).add("beside", T.IntegerType())
+
+
+def _open_tokens(symbols: Symbols, classes: np.ndarray):
+    """For mapInArrow over (text): every token that is no symbol of its own, and the classes of it and beside it."""
+    end = CLASSES - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 0, _SLICE):
+                found = words(part.column(0))
+                symbol, _ = symbols.of(found)
+                of = classes[symbol].astype(np.int32)
+                stream = np.concatenate(([end], np.insert(of, np.cumsum(found.counts()), end)))
+                place = np.arange(len(of)) + found.row + 1
+                some = np.flatnonzero(symbol >= symbols.own)
+                at = place[some]
+                beside = (stream[at] * CLASSES + stream[at + 1]) * CLASSES + stream[at - 1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.key[some].view(np.int64)), pa.array(beside.astype(np.int32))], names=_TOKENS.names
+                )
+
+    return run
+
+
+def _combined(held: np.ndarray, waiting: list[np.ndarray]) -> np.ndarray:
+    """Rows (word, beside, n) and tokens (word, beside) together, in order, equal ones as one."""
+    tokens = np.concatenate([held[:2], *waiting], axis=1)
+    n = np.concatenate((held[2], np.ones(tokens.shape[1] - held.shape[1], np.int64)))
+    if not len(n):
+        return held
+    order = np.lexsort((tokens[1], tokens[0]))
+    tokens, n = tokens[:, order], n[order]
+    first = np.flatnonzero(np.append(True, (tokens[:, 1:] != tokens[:, :-1]).any(axis=0)))
+    return np.vstack((tokens[:, first], np.add.reduceat(n, first)))
+
+
+_MOVED = T.StructType().add("word", T.LongType()).add("class", T.IntegerType()).add("n", T.DoubleType())
+
+
+def _moves(counts: np.ndarray):
+    """For mapInArrow over tokens in order of their words: the class of each word seen often enough.
+
+    At the end of a task a row for each class transition, with class -1, says by how much these moves change it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        change = np.zeros((CLASSES, CLASSES))
+        # Tokens with the same word and neighbours are one row with their number, so a word has CLASSES**2 rows at most.
+        held = np.zeros((3, 0), np.int64)
+
+        def settle(word: np.ndarray, beside: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+            often = np.repeat(np.add.reduceat(n, first) >= SEEN, np.diff(np.append(first, len(word))))
+            word, beside, n = word[often], beside[often], n[often]
+            first = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else first[:0]
+            key, own, best = word[first], beside[first] // CLASSES**2, []
+            owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
+            cells = np.concatenate((beside // CLASSES % CLASSES, CLASSES + beside % CLASSES))
+            pair, at = np.unique(np.tile(owner, 2) * (2 * CLASSES) + cells, return_inverse=True)
+            n = np.bincount(at, np.tile(n, 2), len(pair))
+            owner, cell = pair // (2 * CLASSES), pair % (2 * CLASSES)
+            for at in range(0, len(first), _WORDS):
+                part = slice(*np.searchsorted(owner, (at, at + _WORDS)))
+                best.append(best_classes(own[at : at + _WORDS], owner[part] - at, cell[part], n[part], counts))
+            found = np.concatenate(best) if best else own
+            after = cell < CLASSES
+            for sign, class_ in ((-1, own), (1, found)):
+                np.add.at(change, (class_[owner[after]], cell[after]), sign * n[after])
+                np.add.at(change, (cell[~after] - CLASSES, class_[owner[~after]]), sign * n[~after])
+            return pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(found.astype(np.int32)), pa.nulls(len(key), pa.float64())], names=_MOVED.names
+            )
+
+        waiting: list[np.ndarray] = []
+        rows = 0
+        for batch in batches:
+            token = np.stack((batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)))
+            waiting.append(token)
+            rows += token.shape[1]
+            if rows < 1 << 16:
+                continue
+            held = _combined(held, waiting)
+            waiting, rows = [], 0
+            cut = int(np.searchsorted(held[0], held[0, -1]))  # the last word may go on
+            if cut:
+                yield settle(*held[:, :cut])
+                held = held[:, cut:]
+        held = _combined(held, waiting)
+        if held.shape[1]:
+            yield settle(*held)
+        cell = np.flatnonzero(change)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(cell), pa.array(np.full(len(cell), -1, np.int32)), pa.array(change.ravel()[cell])], names=_MOVED.names
+        )
+
+    return run
 
 
 @dataclass
 class Model:
-    """What training has found. ``counts`` is the table of all words; all else has a bounded size."""
+    """What training has found. ``counts`` is the table of all words but the symbols; all else has a bounded size."""
 
-    counts: DataFrame  # word, ending, n
+    counts: DataFrame  # word, ending, n, class
     total: int  # training tokens
     different: int  # different ones
+    ends: int  # training texts
     symbols: Symbols
     classes: np.ndarray  # of each symbol
     transition: np.ndarray  # log10, from the row's class to the column's
     within: np.ndarray  # log10 of each class's tokens
     unseen: np.ndarray  # log10 of the tokens set aside for a class's unknown word
+    reached: list[float]  # the likelihood after each round
 
 
 def train(texts: DataFrame, text: str = "text") -> Model:
@@ -232,47 +415,75 @@ def train(texts: DataFrame, text: str = "text") -> Model:
 
     encoded = stored(read.mapInArrow(_encode(symbols), _ENCODED), "symbols")
     # The most common symbols start in different classes. The end stays alone in the last one.
+    of_word = F.col("ending") < ENDINGS
+    other = counts.filter((F.col("n") < total * CLASS_SHARE) & of_word)
+    endings = other.groupBy("ending").agg(F.sum("n").alias("n")).toArrow()
+    tokens = np.zeros(symbols.size)
+    tokens[symbol[named]] = n[named]
+    tokens[symbols.own + endings["ending"].to_numpy()] = endings["n"].to_numpy()
     classes = np.zeros(symbols.size, np.int32)
-    table = neighbours(encoded, classes)
-    by_frequency = np.argsort(-table[:, 1].sum(axis=1), kind="stable")
-    classes[by_frequency] = np.arange(symbols.size) % (CLASSES - 1)
+    classes[np.argsort(-tokens, kind="stable")] = np.arange(symbols.size) % (CLASSES - 1)
     classes[-1] = CLASSES - 1
     random = np.random.default_rng(5)
-    best = (-np.inf, classes, table)
+    best, reached = (-np.inf, classes, encoded, np.zeros((CLASSES, CLASSES))), []
     for round_ in range(ROUNDS + 1):
         table = neighbours(encoded, classes)
-        reached = likelihood(transitions(table, classes))
-        if reached > best[0]:
-            best = (reached, classes, table)
+        follow = transitions(table, classes)
+        reached.append(likelihood(follow))
+        if reached[-1] > best[0]:
+            best = (reached[-1], classes, table, follow)
         if round_ < ROUNDS:
             movable = random.random(len(classes)) < (0.9 if round_ == 0 else 0.5)
             movable[-1] = False
-            classes = exchange(best[2], best[1], movable)
-    _, classes, table = best
+            classes = exchange(best[2], best[1], best[3], movable)
+    _, classes, _, follow = best
+
+    # All other words that were seen often enough, however many they are.
+    tokens = read.mapInArrow(_open_tokens(symbols, classes), _TOKENS)
+    moved = stored(
+        tokens.repartition("word").sortWithinPartitions("word").mapInArrow(_moves(follow), _MOVED), "moved-words"
+    )
+    for row in moved.filter(F.col("class") < 0).groupBy("word").agg(F.sum("n").alias("n")).collect():
+        follow[row["word"] // CLASSES, row["word"] % CLASSES] += row["n"]
+    np.maximum(follow, 0, out=follow)
+    by_ending = F.element_at(
+        F.array(*[F.lit(int(c)) for c in classes[symbols.own :]]), F.col("ending") + 1
+    )
+    own_class = moved.filter(F.col("class") >= 0).select("word", "class")
+    other = other.join(own_class, "word", "left").withColumn("class", F.coalesce("class", by_ending))
+    other = stored(other, "word-classes")
 
-    follow = transitions(table, classes)
-    tokens = follow.sum(axis=0)
-    frequency = (tokens + 1) / (tokens.sum() + CLASSES)
+    frequency = (follow.sum(axis=0) + 1) / (follow.sum() + CLASSES)
     transition = np.log10((follow + PRIOR * frequency) / (follow.sum(axis=1, keepdims=True) + PRIOR))
-    rare = counts.filter((F.col("n") < total * CLASS_SHARE) & (F.col("ending") < ENDINGS))
-    rare = rare.groupBy("ending").agg(F.count("*").alias("n")).toArrow()
-    members = np.bincount(classes[: symbols.own], minlength=CLASSES).astype(np.float64)
-    endings = rare["ending"].to_numpy().astype(np.int64)
-    members += np.bincount(classes[symbols.own + endings], rare["n"].to_numpy(), CLASSES)
+    held, members = np.zeros(CLASSES), np.zeros(CLASSES)
+    np.add.at(held, classes[symbol[named]], n[named])
+    np.add.at(members, classes[symbol[named]], 1)
+    for row in other.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():
+        held[row["class"]] += row["n"]
+        members[row["class"]] += row["words"]
+    end = counts.filter(~of_word).agg(F.sum("n")).first()[0]
+    held[CLASSES - 1] += end or 0
     members[CLASSES - 1] += 1
     # A class without words in training holds an unknown word only.
-    within = np.log10(np.maximum(tokens, 1))
+    within = np.log10(np.maximum(held, 1))
     unseen = np.log10(np.where(members > 0, DISCOUNT * members, 1))
-    return Model(counts, int(total), int(different), symbols, classes, transition, within, unseen)
+    # At most 1 / COUNT_SHARE rows again.
+    theirs = other.filter(F.col("n") >= total * COUNT_SHARE).select("word", "class").toArrow()
+    class_ = np.where(symbol >= 0, classes[symbol], 0)
+    class_[np.searchsorted(symbols.key, theirs["word"].to_numpy().view(np.uint64))] = theirs["class"].to_numpy()
+    symbols.class_ = class_
+    return Model(other, int(total), int(different), int(end or 0), symbols, classes, transition, within, unseen, reached)
 
 
 _PARTS = (
     T.StructType()
     .add("row", T.LongType())
     .add("doc_id", T.LongType())
+    .add("place", T.LongType())
     .add("word", T.LongType())
-    .add("class", T.IntegerType())
-    .add("times", T.LongType())
+    .add("ending_class", T.IntegerType())
+    .add("before", T.IntegerType())
+    .add("after", T.IntegerType())
     .add("n_tokens", T.LongType())
     .add("n_known", T.LongType())
     .add("base", T.DoubleType())
@@ -280,70 +491,57 @@ _PARTS = (
 )
 
 
-def _parts(model: Model, end_count: int):
-    """Per text one row with all that the task knows, and one for each word whose count it doesn't know."""
+def _parts(model: Model):
+    """Per text one row with all that the task knows, and one for each token whose word it doesn't know.
+
+    Such a token has its place, and the classes before and behind it where the task knows those (else -1).
+    """
     symbols, classes, transition, within = model.symbols, model.classes, model.transition, model.within
     every = np.log10(model.total + model.different + 1)
     end = CLASSES - 1
-    end_base = np.log10(end_count + 1) - every
-    end_score = np.log10(end_count - DISCOUNT) - within[end]
+    end_base = np.log10(model.ends + 1) - every
+    end_score = np.log10(model.ends - DISCOUNT) - within[end]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 2, _SLICE):
                 found = words(part.column(2))
                 texts = part.num_rows
-                symbol, count = symbols.of(found)
-                of = classes[symbol]
+                of, count = symbols.classes_of(found, classes)
+                known = count > 0
                 size = found.counts()
-                after = np.cumsum(size + 1) - 1  # where each text's end stands
-                stream = np.insert(of, np.cumsum(size), end)
-                before = np.concatenate(([end], stream[:-1]))
+                at = np.cumsum(size)
+                stream = np.insert(of, at, end)
+                sure = np.insert(known, at, True)
+                before, sure_before = np.append(end, stream[:-1]), np.append(True, sure[:-1])
                 row = np.repeat(np.arange(texts), size + 1)
-                score = np.bincount(row, transition[before, stream], texts) + end_score
-                score -= np.bincount(found.row, within[of], texts)
-                known = count > 0
+                both = sure & sure_before
+                score = np.bincount(row[both], transition[before[both], stream[both]], texts) + end_score
+                value = np.log10(np.maximum(count, 1) - DISCOUNT) - within[of]
+                score += np.bincount(found.row[known], value[known], texts)
                 base = np.bincount(found.row[known], np.log10(count[known] + 1), texts) - size * every + end_base
-                score += np.bincount(found.row[known], np.log10(count[known] - DISCOUNT), texts)
                 n_known = np.bincount(found.row[known], minlength=texts) + 1
-                rows = part.column(0).to_numpy()
-                # Spread over all tasks of the join like words; no word's count is taken for them.
-                place = mixed(rows.view(np.uint64)).view(np.int64)
-                nothing = np.full(texts, -1, np.int32)
+                rows = part.column(0)
+                null, none = pa.nulls(texts, pa.int64()), pa.nulls(texts, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column(0),
-                        part.column(1),
-                        pa.array(place),
-                        pa.array(nothing),
-                        pa.array(np.zeros(texts, np.int64)),
-                        pa.array(size + 1),
-                        pa.array(n_known),
-                        pa.array(base),
-                        pa.array(score),
+                        rows, part.column(1), null, null, none, none, none,
+                        pa.array(size + 1), pa.array(n_known), pa.array(base), pa.array(score),
                     ],
                     names=_PARTS.names,
                 )
-                other = np.flatnonzero(~known)
-                order = other[np.lexsort((found.key[other], found.row[other]))]
-                if not len(order):
+                open_ = np.flatnonzero(~known)
+                if not len(open_):
                     continue
-                key, text = found.key[order], found.row[order]
-                new = np.concatenate(([True], (key[1:] != key[:-1]) | (text[1:] != text[:-1])))
-                times = np.diff(np.append(np.flatnonzero(new), len(order)))
-                null = pa.nulls(len(times), pa.int64())
-                unknown = pa.nulls(len(times), pa.float64())
+                place = open_ + found.row[open_]
+                left = np.where(sure_before[place], before[place], -1)
+                right = np.where(sure[place + 1], stream[place + 1], -1)
+                null, unknown = pa.nulls(len(open_), pa.int64()), pa.nulls(len(open_), pa.float64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(rows[text[new]]),
-                        null,
-                        pa.array(key[new].view(np.int64)),
-                        pa.array(of[order][new].astype(np.int32)),
-                        pa.array(times),
-                        null,
-                        null,
-                        unknown,
-                        unknown,
+                        rows.take(pa.array(found.row[open_])), null, pa.array(place), pa.array(found.key[open_].view(np.int64)),
+                        *[pa.array(x.astype(np.int32)) for x in (of[open_], left, right)],
+                        null, null, unknown, unknown,
                     ],
                     names=_PARTS.names,
                 )
@@ -372,24 +570,39 @@ def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text: str =
             zero.alias("score"),
             F.lit(1.0).alias("perplexity"),
         )
-    end = model.counts.filter(F.col("word") == int(END_KEY.astype(np.int64))).first()
-    parts = rows.mapInArrow(_parts(model, end["n"]), _PARTS)
-    rare = model.counts.filter(F.col("n") < model.total * COUNT_SHARE).select("word", "n")
-    unseen = F.element_at(F.array(*[F.lit(float(x)) for x in model.unseen]), F.col("class") + 1)
-    times, n = F.col("times"), F.col("n")
-    summary = F.col("class") < 0
-    joined = parts.join(rare, "word", "left")
-    base = F.when(summary, F.col("base")).otherwise(times * F.log10(F.coalesce(n, F.lit(0)) + 1))
-    value = F.when(summary, F.col("score")).when(n.isNotNull(), times * F.log10(n - DISCOUNT)).otherwise(times * unseen)
-    known = F.when(summary, F.col("n_known")).when(n.isNotNull(), times).otherwise(0)
+    parts = stored(rows.mapInArrow(_parts(model), _PARTS), "scored-parts")
+    rare = model.counts.filter(F.col("n") < model.total * COUNT_SHARE).select("word", "n", "class")
+
+    def value_of(values: np.ndarray, index: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(float(x)) for x in values.ravel()]), (index + 1).cast("int"))
+
+    def step(first: Column, second: Column) -> Column:
+        return value_of(model.transition, first * CLASSES + second)
+
+    # Neighbours that both had to be joined follow each other in the text, so a window finds the one before.
+    joined = parts.filter(F.col("place").isNotNull()).join(rare, "word", "left")
+    joined = joined.withColumn("class", F.coalesce("class", "ending_class"))
+    follows = F.lag("class").over(Window.partitionBy("row").orderBy("place"))
+    joined = joined.withColumn("before", F.when(F.col("before") >= 0, F.col("before")).otherwise(follows))
+    n, class_ = F.col("n"), F.col("class")
+    token = F.when(n.isNotNull(), F.log10(n - DISCOUNT)).otherwise(value_of(model.unseen, class_))
+    token = token - value_of(model.within, class_) + step(F.col("before"), class_)
+    token = token + F.when(F.col("after") >= 0, step(class_, F.col("after"))).otherwise(0.0)
+    looked_up = joined.groupBy("row").agg(
+        F.count("n").alias("n_known"),
+        F.sum(F.log10(F.coalesce(n, F.lit(0)) + 1)).alias("base"),
+        F.sum(token).alias("score"),
+    )
+    own = parts.filter(F.col("place").isNull()).select("row", "doc_id", "n_tokens", "n_known", "base", "score")
+    joined = own.unionByName(looked_up, allowMissingColumns=True)
     return (
         joined.groupBy("row")
         .agg(
             F.max("doc_id").alias(id_column),
             F.max("n_tokens").alias("n_tokens"),
-            F.sum(known).alias("n_known"),
-            F.sum(base).alias("base_score"),
-            F.sum(value).alias("score"),
+            F.sum("n_known").alias("n_known"),
+            F.sum("base").alias("base_score"),
+            F.sum("score").alias("score"),
         )
         .drop("row")
         .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

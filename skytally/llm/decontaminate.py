@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skytally.llm.storage import stored
+from skytally.llm.storage import stored, with_row
 from skytally.llm.words import grams, slices, words
 
 SEED = 4
@@ -307,7 +307,8 @@ def find_leaks(
     )
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no item was found; rows without id stay."""
-    leaks = find_leaks(docs, benchmark, id_column, text).select(id_column).distinct()
-    return docs.join(leaks, id_column, "left_anti")
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no item was found. Every row is judged by its text, whatever its id."""
+    docs, row = with_row(docs, "leak-rows")
+    leaks = find_leaks(docs, benchmark, row, text).select(row).distinct()
+    return docs.join(leaks, row, "left_anti").drop(row)

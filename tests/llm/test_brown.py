@@ -62,21 +62,77 @@ def test_score_by_hand_and_mass(spark):
     assert np.allclose(mass, 1)
 
 
-def test_exchange_finds_the_better_classes():
-    """Two languages that never mix end in different classes."""
-    size = 12
-    random = np.random.default_rng(0)
-    stream = np.concatenate([random.integers(0, 6, 4000), random.integers(6, 12, 4000)])
-    classes = np.arange(size) % 3
+def plain_best(own, follows, precedes, counts):
+    """Every class tried: the likelihood of all transitions with the word in it."""
     reached = []
-    for _ in range(6):
-        table = np.zeros((size, 2, brown.CLASSES))
-        np.add.at(table[:, 0], (stream[:-1], classes[stream[1:]]), 1)
-        np.add.at(table[:, 1], (stream[1:], classes[stream[:-1]]), 1)
-        reached.append(brown.likelihood(brown.transitions(table, classes)))
-        movable = random.random(size) < 0.5
-        classes = brown.exchange(table, classes, movable)
-    assert reached[-1] > reached[0]
+    for c in range(brown.CLASSES):
+        moved = counts.copy()
+        moved[own] -= follows
+        moved[:, own] -= precedes
+        moved[c] += follows
+        moved[:, c] += precedes
+        reached.append(brown.likelihood(moved) if c < brown.CLASSES - 1 else -np.inf)
+    return reached
+
+
+def test_best_classes_against_trying_all(monkeypatch):
+    monkeypatch.setattr(brown, "CLASSES", 7)
+    random = np.random.default_rng(3)
+    stream = random.integers(0, 40, 3000)
+    classes = random.integers(0, 6, 40)
+    counts = np.zeros((7, 7))
+    np.add.at(counts, (classes[stream[:-1]], classes[stream[1:]]), 1)
+    keep = [w for w in range(40) if not ((stream[:-1] == w) & (stream[1:] == w)).any()]
+    follows, precedes = np.zeros((40, 7)), np.zeros((40, 7))
+    np.add.at(follows, (stream[:-1], classes[stream[1:]]), 1)
+    np.add.at(precedes, (stream[1:], classes[stream[:-1]]), 1)
+    both = np.hstack((follows, precedes))[keep]
+    owner, cell = np.nonzero(both)
+    best = brown.best_classes(classes[keep], owner, cell, both[owner, cell], counts)
+    for k, w in enumerate(keep):
+        reached = plain_best(classes[w], follows[w], precedes[w], counts)
+        # The ends of the stream have one neighbour, and transitions between the word and itself are left out above.
+        assert reached[best[k]] >= max(reached) - 1e-6 * abs(max(reached))
+    assert len(keep) > 5
+
+
+def test_likelihood_rises_from_round_to_round(spark):
+    """Two languages that never mix; every word that was seen often enough has a class, the likelihood rises."""
+    random = np.random.default_rng(0)
+    rows = []
+    for i in range(600):
+        names = [f"{'ab'[i % 2]}{k}" for k in range(40)]
+        rows.append((i, " ".join(random.choice(names, 30, p=(w := 1 / np.arange(1, 41)) / w.sum()))))
+    model = brown.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert len(model.reached) == brown.ROUNDS + 1
+    best = [max(model.reached[: k + 1]) for k in range(len(model.reached))]
+    assert model.reached[1] > model.reached[0] and best == sorted(best)
+
+
+def test_words_seen_often_enough_get_a_class_of_their_own_neighbours(spark, monkeypatch):
+    """Rare words of one meaning but other endings go where the common one is, not where their endings are."""
+    monkeypatch.setattr(brown, "CLASS_SHARE", 0.01)
+    random = np.random.default_rng(1)
+    rows = []
+    for i in range(12_000):
+        kind = i % 2
+        middle = f"{'xy'[kind]}{random.integers(0, 6)}q{random.integers(0, 90):02}"
+        if random.random() < 0.3:
+            middle = ["xavier", "yvonne"][kind]
+        rows.append((i, f"{['one alpha', 'two gamma'][kind]} {middle} {['beta', 'delta'][kind]}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = brown.train(docs)
+    count = Counter(t.split()[2] for _, t in rows if "q" in t)
+    import pyarrow as pa
+
+    from skytally.llm.words import words
+
+    of = {r["word"]: (r["n"], r["class"]) for r in model.counts.collect()}
+    found = {w: of[int(words(pa.array([w])).key.view(np.int64)[0])] for w in count}
+    assert all(found[w][0] == n for w, n in count.items()) and len(count) > 300
+    classes = [{c for w, (n, c) in found.items() if n >= brown.SEEN and w[0] == kind} for kind in "xy"]
+    assert all(classes) and not classes[0] & classes[1]
+    assert {c for _, (n, c) in found.items() if n < brown.SEEN} or min(count.values()) >= brown.SEEN
 
 
 def test_edges(spark):
@@ -97,9 +153,11 @@ def test_rare_words_are_looked_up(spark, monkeypatch):
     docs = spark.range(300).select(
         F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("the"), F.col("id") % 7, F.col("id") % 50, F.col("id")).alias("text")
     )
+    monkeypatch.setattr(brown, "CLASS_SHARE", 0.2)
     plain = {r.doc_id: r for r in brown.score(docs, brown.train(docs.filter("doc_id < 250"))).collect()}
     monkeypatch.setattr(brown, "COUNT_SHARE", 0.05)
     joined = {r.doc_id: r for r in brown.score(docs, brown.train(docs.filter("doc_id < 250"))).collect()}
     for i, r in plain.items():
         assert (r.n_tokens, r.n_known) == (joined[i].n_tokens, joined[i].n_known)
         assert abs(r.base_score - joined[i].base_score) < 1e-9
+        assert abs(r.score - joined[i].score) < 1e-9

@@ -48,3 +48,16 @@ def test_empty(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
+
+
+def test_rows_without_or_with_a_repeated_id_are_judged_by_their_text(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    text = " ".join(f"word{i}" for i in range(60))
+    extra = [(None, text), (None, text), (None, text + " end"), (5, text), (5, "x " + item + " y"), (None, item), (6, text + " once more")]
+    odd = spark.createDataFrame([(i, t, "en", f"odd{n}", 1) for n, (i, t) in enumerate(extra)], docs.schema)
+    stages = dict(corpus_pipeline.STAGES)
+    left = docs.unionByName(odd).repartition(4)
+    for name, sources in (("exact_dedup", {"odd3", "odd2", "odd4", "odd5", "odd6"}), ("near_dedup", {"odd3", "odd4"}), ("decontamination", {"odd3"})):
+        left = spark.createDataFrame(stages[name](spark, left, sf_dir).collect(), docs.schema)
+        assert {r.source for r in left.filter("source like 'odd%'").collect()} == sources, name
