@@ -1,8 +1,7 @@
 """A corpus from raw documents to tokens, each stage over all that the one before has kept.
 
 A stage takes the session, the documents and the folder of the tables and returns a DataFrame. All but the last
-return the columns of ``documents``. Documents without id can be judged by their text alone: the stages that compare
-documents by id keep them.
+return the columns of ``documents``. Every row is judged by its own text, whether its id is null, its own or repeated.
 """
 
 from __future__ import annotations
@@ -33,13 +32,13 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the smallest id stays."""
+    """Of equal texts one row stays, with the smallest id."""
     prepared(spark)
     return dedup.drop_exact(docs).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near copies, the document with the smallest id stays."""
+    """Of near copies one row stays, with the smallest id."""
     prepared(spark)
     return neardup.drop_near(docs).select(*docs.columns)
 
