@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skytally.llm.storage import stored
-from skytally.llm.words import Words, keys, slices, words
+from skytally.llm.words import Words, keys, mixed, slices, words
 
 CLASSES = 64
 #: Rounds of exchange.
@@ -284,11 +284,16 @@ def exchange(table: DataFrame, classes: np.ndarray, counts: np.ndarray, movable:
     return np.where(movable, after, classes)
 
 
-_TOKENS = T.StructType().add("word", T.LongType()).add("beside", T.IntegerType())
+#: Tokens that are worked on together, about.
+_PACK = 1 << 19
+_TOKENS = T.StructType().add("pack", T.LongType()).add("tokens", T.BinaryType())
 
 
-def _open_tokens(symbols: Symbols, classes: np.ndarray):
-    """For mapInArrow over (text): every token that is no symbol of its own, and the classes of it and beside it."""
+def _open_tokens(symbols: Symbols, classes: np.ndarray, packs: int):
+    """For mapInArrow over (text): every token that is no symbol of its own, and the classes of it and beside it.
+
+    A word's hash chooses its pack; the tokens of a pack in a slice are one row.
+    """
     end = CLASSES - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,85 +305,69 @@ def _open_tokens(symbols: Symbols, classes: np.ndarray):
                 stream = np.concatenate(([end], np.insert(of, np.cumsum(found.counts()), end)))
                 place = np.arange(len(of)) + found.row + 1
                 some = np.flatnonzero(symbol >= symbols.own)
+                if not len(some):
+                    continue
+                pack = (mixed(found.key[some]) % np.uint64(packs)).astype(np.int64)
+                order = np.argsort(pack, kind="stable")
+                some, pack = some[order], pack[order]
                 at = place[some]
-                beside = (stream[at] * CLASSES + stream[at + 1]) * CLASSES + stream[at - 1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.key[some].view(np.int64)), pa.array(beside.astype(np.int32))], names=_TOKENS.names
-                )
+                beside = ((stream[at] * CLASSES + stream[at + 1]) * CLASSES + stream[at - 1]).astype(np.int64)
+                token = np.stack((found.key[some].view(np.int64), beside), axis=1)
+                first = np.flatnonzero(np.append(True, pack[1:] != pack[:-1]))
+                packed = [token[low:high].tobytes() for low, high in zip(first, np.append(first[1:], len(pack)), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(pack[first]), pa.array(packed, pa.binary())], names=_TOKENS.names)
 
     return run
 
 
-def _combined(held: np.ndarray, waiting: list[np.ndarray]) -> np.ndarray:
-    """Rows (word, beside, n) and tokens (word, beside) together, in order, equal ones as one."""
-    tokens = np.concatenate([held[:2], *waiting], axis=1)
-    n = np.concatenate((held[2], np.ones(tokens.shape[1] - held.shape[1], np.int64)))
-    if not len(n):
-        return held
-    order = np.lexsort((tokens[1], tokens[0]))
-    tokens, n = tokens[:, order], n[order]
-    first = np.flatnonzero(np.append(True, (tokens[:, 1:] != tokens[:, :-1]).any(axis=0)))
-    return np.vstack((tokens[:, first], np.add.reduceat(n, first)))
+def _combined(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Different tokens (word, beside) in order, and how often each stands there."""
+    word, beside = np.concatenate(tokens, axis=1)
+    order = np.lexsort((beside, word))
+    word, beside = word[order], beside[order]
+    first = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (beside[1:] != beside[:-1])))
+    return word[first], beside[first], np.diff(np.append(first, len(word)))
 
 
 _MOVED = T.StructType().add("word", T.LongType()).add("class", T.IntegerType()).add("n", T.DoubleType())
 
 
 def _moves(counts: np.ndarray):
-    """For mapInArrow over tokens in order of their words: the class of each word seen often enough.
+    """For applyInArrow over the tokens of a pack: the class of each word seen often enough.
 
-    At the end of a task a row for each class transition, with class -1, says by how much these moves change it.
+    A row for each class transition, with class -1, says by how much these moves change it.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(table: pa.Table) -> pa.Table:
+        tokens = [np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 2).T for x in table.column("tokens")]
+        # Tokens with the same word and neighbours are one row with their number.
+        word, beside, n = _combined(tokens)
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+        often = np.repeat(np.add.reduceat(n, first) >= SEEN, np.diff(np.append(first, len(word))))
+        word, beside, n = word[often], beside[often], n[often]
+        first = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else first[:0]
+        key, own, best = word[first], beside[first] // CLASSES**2, []
+        owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
+        cells = np.concatenate((beside // CLASSES % CLASSES, CLASSES + beside % CLASSES))
+        pair, at = np.unique(np.tile(owner, 2) * (2 * CLASSES) + cells, return_inverse=True)
+        n = np.bincount(at, np.tile(n, 2), len(pair))
+        owner, cell = pair // (2 * CLASSES), pair % (2 * CLASSES)
+        for at in range(0, len(first), _WORDS):
+            part = slice(*np.searchsorted(owner, (at, at + _WORDS)))
+            best.append(best_classes(own[at : at + _WORDS], owner[part] - at, cell[part], n[part], counts))
+        found = np.concatenate(best) if best else own
         change = np.zeros((CLASSES, CLASSES))
-        # Tokens with the same word and neighbours are one row with their number, so a word has CLASSES**2 rows at most.
-        held = np.zeros((3, 0), np.int64)
-
-        def settle(word: np.ndarray, beside: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
-            often = np.repeat(np.add.reduceat(n, first) >= SEEN, np.diff(np.append(first, len(word))))
-            word, beside, n = word[often], beside[often], n[often]
-            first = np.flatnonzero(np.append(True, word[1:] != word[:-1])) if len(word) else first[:0]
-            key, own, best = word[first], beside[first] // CLASSES**2, []
-            owner = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(word))))
-            cells = np.concatenate((beside // CLASSES % CLASSES, CLASSES + beside % CLASSES))
-            pair, at = np.unique(np.tile(owner, 2) * (2 * CLASSES) + cells, return_inverse=True)
-            n = np.bincount(at, np.tile(n, 2), len(pair))
-            owner, cell = pair // (2 * CLASSES), pair % (2 * CLASSES)
-            for at in range(0, len(first), _WORDS):
-                part = slice(*np.searchsorted(owner, (at, at + _WORDS)))
-                best.append(best_classes(own[at : at + _WORDS], owner[part] - at, cell[part], n[part], counts))
-            found = np.concatenate(best) if best else own
-            after = cell < CLASSES
-            for sign, class_ in ((-1, own), (1, found)):
-                np.add.at(change, (class_[owner[after]], cell[after]), sign * n[after])
-                np.add.at(change, (cell[~after] - CLASSES, class_[owner[~after]]), sign * n[~after])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(found.astype(np.int32)), pa.nulls(len(key), pa.float64())], names=_MOVED.names
-            )
-
-        waiting: list[np.ndarray] = []
-        rows = 0
-        for batch in batches:
-            token = np.stack((batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)))
-            waiting.append(token)
-            rows += token.shape[1]
-            if rows < 1 << 16:
-                continue
-            held = _combined(held, waiting)
-            waiting, rows = [], 0
-            cut = int(np.searchsorted(held[0], held[0, -1]))  # the last word may go on
-            if cut:
-                yield settle(*held[:, :cut])
-                held = held[:, cut:]
-        held = _combined(held, waiting)
-        if held.shape[1]:
-            yield settle(*held)
+        after = cell < CLASSES
+        for sign, class_ in ((-1, own), (1, found)):
+            np.add.at(change, (class_[owner[after]], cell[after]), sign * n[after])
+            np.add.at(change, (cell[~after] - CLASSES, class_[owner[~after]]), sign * n[~after])
         cell = np.flatnonzero(change)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cell), pa.array(np.full(len(cell), -1, np.int32)), pa.array(change.ravel()[cell])], names=_MOVED.names
-        )
+        columns = [
+            np.concatenate((key, cell)),
+            np.concatenate((found, np.full(len(cell), -1))).astype(np.int32),
+            np.concatenate((np.zeros(len(key)), change.ravel()[cell])),
+        ]
+        return pa.table([pa.array(x) for x in columns], names=_MOVED.names)
 
     return run
 
@@ -439,10 +428,9 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     _, classes, _, follow = best
 
     # All other words that were seen often enough, however many they are.
-    tokens = read.mapInArrow(_open_tokens(symbols, classes), _TOKENS)
-    moved = stored(
-        tokens.repartition("word").sortWithinPartitions("word").mapInArrow(_moves(follow), _MOVED), "moved-words"
-    )
+    packs = max(1, int(endings["n"].to_numpy().sum()) // _PACK)
+    tokens = read.mapInArrow(_open_tokens(symbols, classes, packs), _TOKENS)
+    moved = stored(tokens.groupBy("pack").applyInArrow(_moves(follow), _MOVED), "moved-words")
     for row in moved.filter(F.col("class") < 0).groupBy("word").agg(F.sum("n").alias("n")).collect():
         follow[row["word"] // CLASSES, row["word"] % CLASSES] += row["n"]
     np.maximum(follow, 0, out=follow)
