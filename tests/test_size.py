@@ -1,0 +1,57 @@
+"""What a query shuffles and writes: narrow rows where it can, compressed text, wide rows at most once."""
+
+
+import pytest
+from pyspark.sql import functions as F
+
+from skytally import catalog, schemas
+from skytally.catalog import QUERIES
+from skytally.plans import bronze, silver
+from skytally.sources import files
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def sorted_whole(text):
+    """Partial aggregates that sort their rows before the shuffle and hold whole records."""
+    return [line for line in text.splitlines() if "SortAggregate" in line and "airline" in line]
+
+
+def details(spark, *rows):
+    """Details of (id, airline name, updated)."""
+    names = spark.createDataFrame(rows, "id string, name string, updated long")
+    texts = F.to_json(F.struct("id", F.struct("name").alias("airline"), F.struct(F.struct("updated").alias("other")).alias("time")))
+    return names.select(F.from_json(texts, schemas.DETAILS).alias("d")).select("d.*")
+
+
+def test_details_without_versions_are_not_sorted(spark):
+    found = bronze.newest_details(details(spark, ("a", "x", 1), ("b", "y", 2), (None, "z", 3)))
+    assert not sorted_whole(plan(found))
+    assert sorted(r["id"] for r in found.collect()) == ["a", "b"]
+
+
+VERSIONS = [("a", "x", 1), ("a", "y", 2), ("a", "y", 2), ("b", "z", None), ("c", "u", 1), ("c", "v", 1), (None, "w", 9), (None, "w", 9), ("d", "t", 5)]
+NEWEST = [("a", "y"), ("b", "z"), ("c", "v"), ("d", "t")]
+
+
+@pytest.mark.parametrize("most", [0, 1, 1_000_000])
+def test_newest_versions_on_either_way(spark, rows, monkeypatch, most):
+    monkeypatch.setattr(bronze, "MOST_REPEATED", most)
+    found = bronze.newest_details(details(spark, *VERSIONS))
+    assert rows(found, "id", "airline.name") == NEWEST
+    assert found.schema == schemas.DETAILS
+    # Only what comes again is sorted, and it is read from files.
+    assert bool(sorted_whole(plan(found))) == (most < 2)
+
+
+def compressed(spark, path):
+    found = spark.read.format("binaryFile").load(path).select("path").collect()
+    return bool(found) and all(r["path"].endswith(".gz") for r in found)
+
+
+def test_the_landing_is_compressed(spark, sf_dir):
+    landing = catalog._fresh(spark, "landing")
+    catalog._land(spark, sf_dir, landing)
+    assert compressed(spark, f"{landing}/details") and compressed(spark, f"{landing}/listing")
