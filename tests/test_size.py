@@ -46,6 +46,25 @@ def test_newest_versions_on_either_way(spark, rows, monkeypatch, most):
     assert bool(sorted_whole(plan(found))) == (most < 2)
 
 
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_copies_on_either_way(spark, rows, monkeypatch, most):
+    record = spark.range(1).select(F.from_json(F.lit('{"icao": "A", "flying": true}'), schemas.BRONZE_FLIGHT).alias("f")).select("f.*")
+    other = record.withColumn("icao", F.lit(None).cast("string")).withColumn("origin_airport", F.lit("X"))
+    monkeypatch.setattr(silver, "MOST_REPEATED", most)
+    found, copies = silver.flights_once(record.unionAll(other).unionAll(record).unionAll(record))
+    assert copies == 2
+    assert rows(found, "origin_airport", "flying") == [("X", 1), (None, 1)]
+    text = plan(found)
+    assert ("digest_a" in text) == (most > 0)
+
+
+def test_flights_without_copies_are_not_joined(spark):
+    record = spark.range(1).select(F.from_json(F.lit('{"icao": "A"}'), schemas.BRONZE_FLIGHT).alias("f")).select("f.*")
+    found, copies = silver.flights_once(record)
+    assert copies == 0 and found.count() == 1
+    assert "Join" not in plan(found) and "Exchange" not in plan(found)
+
+
 def compressed(spark, path):
     found = spark.read.format("binaryFile").load(path).select("path").collect()
     return bool(found) and all(r["path"].endswith(".gz") for r in found)
