@@ -358,10 +358,17 @@ def nested_fields(spark, sf_dir):
 
 def _sound_flights(spark, sf_dir) -> DataFrame:
     """Bronze flights of all listed line items, refused ones left out."""
-    shaped = bronze.shape_flights(star.listing(spark, sf_dir), star.details(spark, sf_dir))
+    shaped = bronze.shape_flights(star.listing(spark, sf_dir), _landed_details(spark, sf_dir))
     return shaped.filter(F.col("outcome") == "good")
 
 
+def _landed_details(spark, sf_dir) -> DataFrame:
+    """Details read from joined line items that are written once; each reading lays these out by id while narrow."""
+    lines = star.with_sides(spark, sf_dir, star.line_items(spark, sf_dir))
+    path = _once(spark, sf_dir, "lines", lambda path: files.write_parquet(lines, path, codec="zstd"))
+    return star.as_details(star.with_id(files.read_parquet(spark, path, lines.schema)).repartition("id"))
+
+
 # The silver view of the landed flights.
 _SILVER = """
     , silver AS (

@@ -131,8 +131,48 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: What details need of the line items and of the tables around them; conditions become flags before anything is joined.
+_LINE: dict[str, Callable[[], list[Column]]] = {
+    "lineitem": lambda: [
+        *map(F.col, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")),
+        F.col("l_quantity").cast("bigint").alias("l_quantity"),
+        (F.col("l_tax") != 0).alias("taxed"),
+        (F.col("l_discount") != 0).alias("discounted"),
+        (F.col("l_linestatus") == "O").alias("in_air"),
+    ],
+    "orders": lambda: [F.col("o_orderkey"), F.col("o_orderdate"), (F.col("o_orderstatus") != "P").alias("settled")],
+    "supplier": lambda: [*map(F.col, ("s_suppkey", "s_name", "s_nationkey")), (F.col("s_acctbal") >= 0).alias("solvent")],
+    "part": lambda: [*map(F.col, ("p_partkey", "p_name", "p_brand", "p_type", "p_size"))],
+}
+
+
+def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with what details need of them."""
+    return table(spark, sf_dir, "lineitem").select(*_LINE["lineitem"]())
+
+
+def with_sides(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
+    """Line items with their order, part and supplier, still in the columns of these tables.
+
+    Suppliers, the fewest, come last: most often they take no shuffle, and their columns none either.
+    """
+    for name in ("orders", "part", "supplier"):
+        _, foreign, key = _JOINS[name]
+        items = items.join(table(spark, sf_dir, name).select(*_LINE[name]()), F.col(foreign) == F.col(key), "left")
+    return items
+
+
+def with_id(lines: DataFrame) -> DataFrame:
+    """The flight id as a column; it is long, so lines get it after the joins."""
+    return lines.withColumn("id", _flight_id())
+
+
 def details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed flight details with the gaps real ones have.
+    return as_details(with_id(with_sides(spark, sf_dir, line_items(spark, sf_dir))))
+
+
+def as_details(lines: DataFrame, *kept: str) -> DataFrame:
+    """Landed flight details with the gaps real ones have; ``kept`` names further columns of the lines.
 
     No airline where the supplier's balance is negative, no airline code where the tax is zero, no
     aircraft where the discount is zero, no actual times where the order is pending, no actual
@@ -144,7 +184,7 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_name").alias("name"),
         F.reverse("s_name").alias("short"),
         F.lower("s_name").alias("url"),
-        F.when(F.col("l_tax") != 0, code).alias("code"),
+        F.when(F.col("taxed"), code).alias("code"),
     )
     aircraft = F.struct(
         F.col("p_size").cast("string").alias("age"),
@@ -156,25 +196,25 @@ def details(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.col("p_type").alias("src"))).alias("images"),
     )
     scheduled = F.struct(departure.alias("departure"), arrival.alias("arrival"))
-    in_air = F.col("l_linestatus") == "O"
-    real = F.struct(departure.alias("departure"), F.when(~in_air, arrival).alias("arrival"))
+    real = F.struct(departure.alias("departure"), F.when(~F.col("in_air"), arrival).alias("arrival"))
     estimated = F.struct((departure + 60).alias("departure"), (arrival + 120).alias("arrival"))
     past = F.struct(
         F.col("l_linenumber").cast("string").alias("delay"),
-        F.col("l_quantity").cast("bigint").cast("string").alias("flighttime"),
+        F.col("l_quantity").cast("string").alias("flighttime"),
     )
     time = F.struct(
-        F.when(F.col("o_orderstatus") != "P", real).alias("real"),
+        F.when(F.col("settled"), real).alias("real"),
         scheduled.alias("scheduled"),
         estimated.alias("estimated"),
         F.when(F.col("l_linenumber") > 1, past).alias("historical"),
         F.struct((arrival + 7).alias("eta"), (departure + 3).alias("updated")).alias("other"),
     )
-    return _joined(spark, sf_dir, {"orders", "supplier", "part"}).select(
-        _flight_id().alias("id"),
-        F.when(F.col("s_acctbal") >= 0, airline).alias("airline"),
-        F.when(F.col("l_discount") != 0, aircraft).alias("aircraft"),
+    return lines.select(
+        "id",
+        F.when(F.col("solvent"), airline).alias("airline"),
+        F.when(F.col("discounted"), aircraft).alias("aircraft"),
         time.alias("time"),
+        *kept,
     )
 
 

@@ -1,5 +1,6 @@
 """What a query shuffles and writes: narrow rows where it can, compressed text, wide rows at most once."""
 
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,6 +47,16 @@ def test_newest_versions_on_either_way(spark, rows, monkeypatch, most):
     assert bool(sorted_whole(plan(found))) == (most < 2)
 
 
+def test_good_flights_are_shuffled_alone(spark, sf_dir):
+    """The verdict is known before the shuffle by id, and columns that nobody asked for do not go through it."""
+    text = plan(QUERIES["flatten_flights"](spark, sf_dir))
+    assert not sorted_whole(text)
+    laid_out = [line for line in text.splitlines() if "Exchange hashpartitioning(id#" in line]
+    assert len(laid_out) == 2 and any("REPARTITION_BY_COL" in line for line in laid_out)
+    below = text.split("REPARTITION_BY_COL")[1]
+    assert re.search(r"Filter [^\n]*taxed", below) or re.search(r"Filter [^\n]*solvent", below)
+
+
 @pytest.mark.parametrize("most", [0, 100_000])
 def test_copies_on_either_way(spark, rows, monkeypatch, most):
     record = spark.range(1).select(F.from_json(F.lit('{"icao": "A", "flying": true}'), schemas.BRONZE_FLIGHT).alias("f")).select("f.*")
