@@ -19,7 +19,7 @@ from skytally.operators import aggregates, filters, joins, ranking
 from skytally.plans import batch, bronze, indicators, silver
 from skytally.session import configure
 from skytally.sources import files, star_tables as star, zones
-from skytally.sources.workspace import new_folder
+from skytally.sources.workspace import new_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -401,8 +401,9 @@ def flatten_flights(spark, sf_dir):
 @_register("dedup_flights", _SILVER + "\n    SELECT DISTINCT * FROM silver", "landed")
 def dedup_flights(spark, sf_dir):
     """Every flight that has an aircraft arrives twice."""
-    sound = _sound_flights(spark, sf_dir)
-    return silver.flights(sound.unionAll(sound.filter(F.col("aircraft").isNotNull())))
+    sound = written(_sound_flights(spark, sf_dir), "sound-flights", "zstd")
+    times = F.when(F.col("aircraft").isNotNull(), 2).otherwise(1)
+    return silver.flights(sound.withColumn("arrived", F.explode(F.sequence(F.lit(1), times))).drop("arrived"))
 
 
 # --- Joins ----------------------------------------------------------------------------------------

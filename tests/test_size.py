@@ -85,3 +85,10 @@ def test_the_landing_is_compressed(spark, sf_dir):
     landing = catalog._fresh(spark, "landing")
     catalog._land(spark, sf_dir, landing)
     assert compressed(spark, f"{landing}/details") and compressed(spark, f"{landing}/listing")
+
+
+def test_a_flight_that_arrives_twice_is_shuffled_once(spark, sf_dir, monkeypatch):
+    """Copies come from one reading of written flights and combine before the shuffle."""
+    monkeypatch.setattr(silver, "MOST_REPEATED", 0)
+    text = plan(QUERIES["dedup_flights"](spark, sf_dir))
+    assert text.count("Exchange") == 1 and "Union" not in text and "Join" not in text
