@@ -87,6 +87,11 @@ def test_the_landing_is_compressed(spark, sf_dir):
     assert compressed(spark, f"{landing}/details") and compressed(spark, f"{landing}/listing")
 
 
+def test_bronze_records_are_read_from_compressed_lines(spark, sf_dir):
+    assert compressed(spark, catalog._bronze_files(spark, sf_dir))
+    assert QUERIES["src_json_records"](spark, sf_dir).count() == QUERIES["flatten_flights"](spark, sf_dir).count() > 0
+
+
 def test_a_flight_that_arrives_twice_is_shuffled_once(spark, sf_dir, monkeypatch):
     """Copies come from one reading of written flights and combine before the shuffle."""
     monkeypatch.setattr(silver, "MOST_REPEATED", 0)
