@@ -1,5 +1,6 @@
 """What a query shuffles and writes: narrow rows where it can, compressed text, wide rows at most once."""
 
+import gzip
 import re
 
 import pytest
@@ -76,6 +77,18 @@ def test_flights_without_copies_are_not_joined(spark):
     assert "Join" not in plan(found) and "Exchange" not in plan(found)
 
 
+def test_json_is_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "_LINES_PER_FILE", 10)
+    path = tmp_path / "lines"
+    files.write_json(spark.range(0, 25, 1, 1).selectExpr("id", "if(id = 3, null, 'Orly – é') AS name"), str(path))
+    parts = sorted(path.glob("part-*"))
+    assert len(parts) == 3 and all(p.name.endswith(".json.gz") for p in parts)
+    texts = [line for p in parts for line in gzip.open(p, "rt", encoding="utf-8").read().splitlines()]
+    assert len(texts) == 25 and '{"id":3,"name":null}' in texts and '{"id":4,"name":"Orly – é"}' in texts
+    read = files.read_json_lines(spark, str(path), schemas.struct(id=schemas._LONG, name=schemas._TEXT))
+    assert read.count() == 25 and read.filter("name is null").count() == 1
+
+
 def compressed(spark, path):
     found = spark.read.format("binaryFile").load(path).select("path").collect()
     return bool(found) and all(r["path"].endswith(".gz") for r in found)
