@@ -89,6 +89,17 @@ def test_json_is_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
     assert read.count() == 25 and read.filter("name is null").count() == 1
 
 
+def test_spoilt_lines_are_compressed(spark, sf_dir, monkeypatch):
+    paths = []
+    fresh = catalog._fresh
+    monkeypatch.setattr(catalog, "_written", {})
+    monkeypatch.setattr(catalog, "_fresh", lambda spark, name: paths.append(fresh(spark, name)) or paths[-1])
+    QUERIES["reject_split"](spark, sf_dir)
+    for path in paths:
+        found = spark.read.format("binaryFile").load(path).select("path").collect()
+        assert found and all(r["path"].endswith(".gz") for r in found)
+
+
 def compressed(spark, path):
     found = spark.read.format("binaryFile").load(path).select("path").collect()
     return bool(found) and all(r["path"].endswith(".gz") for r in found)
