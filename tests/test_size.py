@@ -80,7 +80,7 @@ def test_flights_without_copies_are_not_joined(spark):
 def test_json_is_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "_LINES_PER_FILE", 10)
     path = tmp_path / "lines"
-    files.write_json(spark.range(0, 25, 1, 1).selectExpr("id", "if(id = 3, null, 'Orly – é') AS name"), str(path))
+    files.write_json(spark.range(0, 25, 1, 1).selectExpr("id", "if(id = 3, null, 'Orly – é') AS name"), str(path), compressed=True)
     parts = sorted(path.glob("part-*"))
     assert len(parts) == 3 and all(p.name.endswith(".json.gz") for p in parts)
     texts = [line for p in parts for line in gzip.open(p, "rt", encoding="utf-8").read().splitlines()]
