@@ -358,15 +358,26 @@ def nested_fields(spark, sf_dir):
 
 def _sound_flights(spark, sf_dir) -> DataFrame:
     """Bronze flights of all listed line items, refused ones left out."""
-    shaped = bronze.shape_flights(star.listing(spark, sf_dir), _landed_details(spark, sf_dir))
+    lines = _joined_lines(spark, sf_dir)
+    # Ids are counted by their hash, before details are laid out by id.
+    ids = star.with_id(lines).select("id")
+    shaped = bronze.shape_flights(star.as_listing(lines), _landed_details(lines), ids)
     return shaped.filter(F.col("outcome") == "good")
 
 
-def _landed_details(spark, sf_dir) -> DataFrame:
-    """Details read from joined line items that are written once; each reading lays these out by id while narrow."""
-    lines = star.with_sides(spark, sf_dir, star.line_items(spark, sf_dir))
+def _joined_lines(spark, sf_dir) -> DataFrame:
+    """Line items joined and written once, for the listing and each reading of the details.
+
+    A key that a side holds twice only repeats entries, of which bronze keeps one per id.
+    """
+    lines = star.with_sides(spark, sf_dir, star.line_items(spark, sf_dir), routes=True)
     path = _once(spark, sf_dir, "lines", lambda path: files.write_parquet(lines, path, codec="zstd"))
-    return star.as_details(star.with_id(files.read_parquet(spark, path, lines.schema)).repartition("id"))
+    return files.read_parquet(spark, path, lines.schema)
+
+
+def _landed_details(lines: DataFrame) -> DataFrame:
+    """Details of joined line items; each reading lays these out by id while narrow."""
+    return star.as_details(star.with_id(lines).repartition("id"))
 
 
 # The silver view of the landed flights.

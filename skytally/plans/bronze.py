@@ -95,16 +95,18 @@ def one_route_each(listing: DataFrame) -> DataFrame:
 MOST_REPEATED = 1_000_000
 
 
-def newest_details(details: DataFrame) -> DataFrame:
+def newest_details(details: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """One record per flight id, the newest version.
 
-    Ids are counted first, which takes narrow rows that combine inside the map tasks. Only records of ids that come
-    again are grouped whole, again combining inside the map tasks, and the newest of them are written; the others stay
-    where they are, so that filters and unused fields go on to their source.
+    Hashes of ids are counted first, eight bytes each that combine inside the map tasks. Only records whose hash comes
+    again are grouped whole by id, again combining inside the map tasks, and the newest of them are written; the others
+    stay where they are, so that filters and unused fields go on to their source. Two ids of one hash are grouped too,
+    each on its own. ``ids`` holds the ids of all records, where they can be had for less than by reading ``details``.
     """
     known = details.filter(F.col("id").isNotNull())
-    counts = known.groupBy("id").agg(F.count(F.lit(1)).alias("versions"))
-    repeated = written(counts.filter(F.col("versions") > 1).select(F.xxhash64("id").alias("key")), "repeated-ids")
+    counted = known if ids is None else ids.filter(F.col("id").isNotNull())
+    counts = counted.groupBy(F.xxhash64("id").alias("key")).agg(F.count(F.lit(1)).alias("versions"))
+    repeated = written(counts.filter(F.col("versions") > 1).select("key"), "repeated-ids")
     ids = repeated.count()
     if not ids:
         return known
@@ -120,15 +122,15 @@ def _newest(details: DataFrame) -> DataFrame:
     return newest_by(versions, "id", "updated").select(*details.columns)
 
 
-def shape_flights(listing: DataFrame, details: DataFrame) -> DataFrame:
+def shape_flights(listing: DataFrame, details: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Bronze flight records, each marked with its outcome and, where refused, the reason.
 
     Every listing entry leaves a row, but for further entries of the same id: entries without id (``no_id``)
     and without details (``no_details``) are rejects that hold the two airports. Both sides are one row per id when
-    they meet, so no flight id is hot in the join.
+    they meet, so no flight id is hot in the join. ``ids`` are those of ``newest_details``.
     """
     listed = one_route_each(with_id(listing))
-    known = newest_details(details).withColumn("has_details", F.lit(True))
+    known = newest_details(details, ids).withColumn("has_details", F.lit(True))
     met = with_details(listed, known, "left")
     nameless = listing.filter(F.col("id").isNull()).select(
         F.col("origin_airport_iata").alias("origin_airport"),

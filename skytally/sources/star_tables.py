@@ -124,14 +124,20 @@ def _flight_id() -> Column:
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed flight listing; returned items (``l_returnflag`` R) play the entries without an id."""
-    return _joined(spark, sf_dir, {"supplier", "customer"}).select(
-        F.when(F.col("l_returnflag") != "R", _flight_id()).alias("id"),
+    lines = _joined(spark, sf_dir, {"supplier", "customer"})
+    return as_listing(lines.withColumn("returned", F.col("l_returnflag") == "R"))
+
+
+def as_listing(lines: DataFrame) -> DataFrame:
+    """Landed flight listing of line items that are joined already."""
+    return lines.select(
+        F.when(~F.col("returned"), _flight_id()).alias("id"),
         F.col("s_nationkey").cast("string").alias("origin_airport_iata"),
         F.col("c_nationkey").cast("string").alias("destination_airport_iata"),
     )
 
 
-#: What details need of the line items and of the tables around them; conditions become flags before anything is joined.
+#: What listing and details need of the line items and of the tables around them; conditions become flags before anything is joined.
 _LINE: dict[str, Callable[[], list[Column]]] = {
     "lineitem": lambda: [
         *map(F.col, ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate")),
@@ -139,6 +145,7 @@ _LINE: dict[str, Callable[[], list[Column]]] = {
         (F.col("l_tax") != 0).alias("taxed"),
         (F.col("l_discount") != 0).alias("discounted"),
         (F.col("l_linestatus") == "O").alias("in_air"),
+        (F.col("l_returnflag") == "R").alias("returned"),
     ],
     "orders": lambda: [F.col("o_orderkey"), F.col("o_orderdate"), (F.col("o_orderstatus") != "P").alias("settled")],
     "supplier": lambda: [*map(F.col, ("s_suppkey", "s_name", "s_nationkey")), (F.col("s_acctbal") >= 0).alias("solvent")],
@@ -147,18 +154,24 @@ _LINE: dict[str, Callable[[], list[Column]]] = {
 
 
 def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with what details need of them."""
+    """Line items with what listing and details need of them."""
     return table(spark, sf_dir, "lineitem").select(*_LINE["lineitem"]())
 
 
-def with_sides(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
+def with_sides(spark: SparkSession, sf_dir: str, items: DataFrame, routes: bool = False) -> DataFrame:
     """Line items with their order, part and supplier, still in the columns of these tables.
 
-    Suppliers, the fewest, come last: most often they take no shuffle, and their columns none either.
+    Suppliers, the fewest, come last: most often they take no shuffle, and their columns none either. ``routes`` adds
+    the customer's nation, which the listing needs; customers join the orders before these join the line items.
     """
     for name in ("orders", "part", "supplier"):
         _, foreign, key = _JOINS[name]
-        items = items.join(table(spark, sf_dir, name).select(*_LINE[name]()), F.col(foreign) == F.col(key), "left")
+        columns = _LINE[name]()
+        side = table(spark, sf_dir, name)
+        if routes and name == "orders":
+            side = _joined(spark, sf_dir, {"customer"}, name)
+            columns.append(F.col("c_nationkey"))
+        items = items.join(side.select(*columns), F.col(foreign) == F.col(key), "left")
     return items
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from skytally import catalog, schemas
 from skytally.catalog import QUERIES
 from skytally.plans import bronze, silver
-from skytally.sources import files
+from skytally.sources import files, star_tables as star
 
 
 def plan(df):
@@ -48,6 +48,35 @@ def test_newest_versions_on_either_way(spark, rows, monkeypatch, most):
     assert bool(sorted_whole(plan(found))) == (most < 2)
 
 
+@pytest.mark.parametrize("most", [1, 1_000_000])
+def test_ids_of_one_hash_are_kept_apart(spark, rows, monkeypatch, most):
+    every = details(spark, *VERSIONS)
+    monkeypatch.setattr(bronze, "MOST_REPEATED", most)
+    monkeypatch.setattr(bronze.F, "xxhash64", lambda *_: F.length("id").cast("long"))
+    assert rows(bronze.newest_details(every, every.select("id")), "id", "airline.name") == NEWEST
+
+
+def test_hashes_of_ids_are_counted(spark, sf_dir, monkeypatch):
+    """One shuffle, of hashes; the layout of the details by id comes later."""
+    plans = []
+    written = bronze.written
+    monkeypatch.setattr(bronze, "written", lambda df, name, *more: plans.append((name, plan(df))) or written(df, name, *more))
+    catalog._sound_flights(spark, sf_dir)
+    counted = dict(plans)["repeated-ids"]
+    assert counted.count("Exchange") == 1 and "hashpartitioning(id#" not in counted
+
+
+def test_line_items_are_joined_once(spark, sf_dir):
+    """Listing and details come from the same written lines, so line items meet their orders in one shuffle."""
+    read = catalog._sound_flights(spark, sf_dir).inputFiles()
+    assert read and not any(f"{sf_dir}/" in file for file in read)
+
+
+def test_listing_of_joined_lines(spark, sf_dir, rows):
+    lines = catalog._joined_lines(spark, sf_dir)
+    assert rows(star.as_listing(lines)) == rows(star.listing(spark, sf_dir))
+
+
 def test_good_flights_are_shuffled_alone(spark, sf_dir):
     """The verdict is known before the shuffle by id, and columns that nobody asked for do not go through it."""
     text = plan(QUERIES["flatten_flights"](spark, sf_dir))
