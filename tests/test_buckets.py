@@ -68,14 +68,15 @@ def laid_out(spark, tmp_path, n, *tables):
 
 
 @pytest.mark.parametrize("n", [1, 5, 40])
-@pytest.mark.parametrize("most", [0, 1_000_000])
-def test_flights_shaped_in_place_are_the_same(spark, sides, rows, tmp_path, monkeypatch, most, n):
+@pytest.mark.parametrize("hot", [1, 2, 100_000])
+def test_flights_shaped_in_place_are_the_same(spark, sides, rows, tmp_path, monkeypatch, hot, n):
+    """Whether ids that come again are all hot, some or none of them."""
     expected = rows(bronze.shape_flights(*sides))
     by_id = laid_out(spark, tmp_path, n, *sides)
-    monkeypatch.setattr(bronze, "MOST_REPEATED", most)
+    monkeypatch.setattr(bronze, "HOT", hot)
     shaped = bronze.shape_flights(*sides, by_id=by_id)
     assert rows(shaped) == expected and len(expected) == 7
-    assert rows(by_id.repeated(), "id") == [("a",), ("b",), ("c",)]
+    assert rows(by_id.repeated()) == [("a", hot < 3), ("b", hot < 2), ("c", hot < 2)]
     copies = [quality.listing_copies(df) for df in (sides[0], by_id.listing)]
     assert copies == [2, 2]
 
@@ -91,6 +92,29 @@ def test_ids_that_come_once_are_not_shuffled(spark, sides, rows, tmp_path):
     assert "hashpartitioning(id" not in counts
 
 
+def test_ids_that_come_again_are_grouped_in_place(spark, sides, rows, tmp_path):
+    """Also where they are too many for a broadcast."""
+    by_id = laid_out(spark, tmp_path, 5, *sides)
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        shaped = bronze._met_in_place(*sides, by_id)
+        text = plan(shaped)
+        assert shaped.count() == 5
+    assert "Exchange" not in text and text.count("LeftAnti") == text.count("LeftSemi") == 2
+
+
+def test_run_metrics_are_counted_in_place(spark, tmp_path, monkeypatch):
+    """Copies, versions and details that are not listed are counted without a shuffle by id."""
+    plans = []
+    counts = quality.listing_counts
+    monkeypatch.setattr(quality, "listing_counts", lambda *sides: plans.append(plan(counts(*sides))) or counts(*sides))
+    landing, root = snapshot(tmp_path / "in", DETAILS), str(tmp_path / "out")
+    run = batch.run(spark, landing, root, SIX)
+    assert not run.failed and len(plans) == 1 and "hashpartitioning(id" not in plans[0]
+    log = run.read(zones.GOLD, "run_metrics", schemas.RUN_METRICS).filter("step = 'extract' AND detail IS NULL").collect()
+    found = {r["metric"]: r["value"] for r in log if r["metric"] != "milliseconds"}
+    assert found == {"listing_copies": 1, "details_versions": 1, "unlisted_details": 0, "details_without_id": 0}
+
+
 def test_a_run_lays_out_what_it_stages(spark, tmp_path, rows):
     """Extract writes listing and details by id, compressed; later steps know it from the commit record."""
     landing, root = snapshot(tmp_path / "in", DETAILS), str(tmp_path / "out")
@@ -100,7 +124,8 @@ def test_a_run_lays_out_what_it_stages(spark, tmp_path, rows):
     assert zones.committed(spark, f"{root}/{zones.BRONZE}", SIX)["buckets"] == {"listing": n, "details": n}
     for name in ("listing", "details"):
         schema = schemas.with_corrupt(batch.LANDED[name])
-        read = buckets.read(spark, run.path(zones.BRONZE, name), schema, "id", n)
+        read = run.read_by_id(zones.BRONZE, name, schema)
+        assert "Exchange" not in plan(read.filter("id is not null").groupBy("id").count())
         assert rows(read) == rows(run.read(zones.BRONZE, name, schema))
     written = [p.name for p in (tmp_path / "out").rglob("part-*")]
     assert written and all(name.endswith(".zstd.parquet") for name in written)
